@@ -42,6 +42,8 @@ class HistoryTable:
         # an unfinished write may have left a folder behind: name the committed ones
         folders = [version_path(self.path, n) for n in known]
         rows = self.spark.read.option("basePath", self.path).parquet(*folders)
+        # partition values are read back as text
+        rows = rows.withColumn(self.window.current, F.col(self.window.current).cast("boolean"))
         open_row = F.col(self.window.current)
         rows = rows.where(~open_row | (F.col("v") == known[-1]))
         return rows if with_version else rows.drop("v")
