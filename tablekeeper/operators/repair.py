@@ -64,8 +64,9 @@ def repair_until(
     """
     of_run = F.col("run_ts") == run_ts
     for number in range(passes):
-        failing = results.where(of_run & F.col("valid_status").isin(*FAILING)).join(
-            converted.select("object_id", "converted_code"), "object_id"
+        errors = results.where(of_run & F.col("valid_status").isin(*FAILING)).select("object_id", "valid_error")
+        failing = errors.join(
+            converted.select("object_id", "object_type", "full_name", "converted_code"), "object_id"
         )
         if failing.isEmpty():
             break

@@ -1,8 +1,8 @@
 """All registered queries and their SQL, by name."""
 
-from . import history, reports, tables
+from . import dialect, history, reports, routing, tables, texts
 
-_MODULES = (history, tables, reports)
+_MODULES = (history, tables, reports, texts, dialect, routing)
 
 QUERIES = {name: fn for module in _MODULES for name, fn in module.QUERIES.items()}
 ORACLE = {name: sql for module in _MODULES for name, sql in module.ORACLE.items()}
