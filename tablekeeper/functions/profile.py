@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,8 +41,19 @@ SIGNALS_WIDE = {
     "has_transaction": r"\b(BEGIN|COMMIT)\s+TRAN(SACTION)?\b|\bROLLBACK\b",
 }
 
-# The possessive groups keep Java's matcher from recursing on long literals.
-_BLOCK = r"/\*[\s\S]*?\*/"
+# Words of which a match of a signal must hold one. Looking for a plain word is
+# far cheaper than a pattern, so texts without any are settled by that alone.
+NEEDLES = {
+    "has_cursor": ("cursor",), "has_while": ("while",), "has_temp_table": ("#",), "has_table_var": ("@",),
+    "has_dynamic_sql": ("exec",), "has_merge": ("merge",), "has_try_catch": ("begin",),
+    "has_transaction": ("tran", "rollback"), "has_pivot": ("pivot",), "has_identity": ("identity",),
+    "has_temporal": ("system_versioning", "period", "generated"), "has_output_param": ("@",), "has_cte": ("with",),
+}
+# Letters that match an ASCII letter without regard to case but are not its lower case.
+_ODD_LETTERS = ("\u017f", "\u0131", "\u0130")
+
+# The possessive groups keep Java's matcher from recursing on long texts.
+_BLOCK = r"/\*[^*]*+(?:\*(?!/)[^*]*+)*+\*/"
 _LINE = r"--[^\n]*"
 _LITERAL = r"'[^']*+'(?:'[^']*+')*+"
 
@@ -57,15 +70,29 @@ def strip_comments(text: Column) -> Column:
 
 
 def signal_flags(
-    df: DataFrame, col: str, patterns: Mapping[str, str] = SIGNALS, *, prefix: str = "sig_"
+    df: DataFrame, col: str, patterns: Mapping[str, str] = SIGNALS, *, prefix: str = "sig_",
+    needles: Mapping[str, Sequence[str]] = NEEDLES,
 ) -> DataFrame:
-    """One boolean column per pattern; word classes and case follow Unicode."""
-    return df.withColumns({f"{prefix}{k}": F.col(col).rlike("(?iU)" + p) for k, p in patterns.items()})
+    """One boolean column per pattern; word classes and case follow Unicode.
+
+    ``needles`` gives lower-case words every match of a pattern must hold one
+    of; patterns without an entry are always tried.
+    """
+    odd = reduce(or_, [F.col(col).contains(c) for c in _ODD_LETTERS])
+    df = df.withColumns({"_folded": F.lower(col), "_odd": odd})
+
+    def flag(name: str, pattern: str) -> Column:
+        hit = F.col(col).rlike("(?iU)" + pattern)
+        if name not in needles:
+            return hit
+        return reduce(or_, [F.col("_folded").contains(w) for w in needles[name]], F.col("_odd")) & hit
+
+    return df.withColumns({f"{prefix}{k}": flag(k, p) for k, p in patterns.items()}).drop("_folded", "_odd")
 
 
 def line_count(stripped: Column) -> Column:
     """Lines of noise-free text; breaks inside block comments are gone by then."""
-    return F.regexp_count(stripped, F.lit("\n")).cast("long") + F.lit(1)
+    return F.size(F.split(stripped, "\n")).cast("long")
 
 
 def weighted_score(loc: Column, flags: Mapping[str, Column], weights: Mapping[str, float] = WEIGHTS) -> Column:

@@ -56,13 +56,14 @@ def append_new(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataF
 def new_rows(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The rows ``append_new`` adds; what to write when the target is a stored table."""
     held = target.select(*keys).distinct()
-    return rows.join(held, list(keys), "left_anti")
+    return rows.join(held, list(keys), "left_anti").select(*rows.columns)
 
 
 def replace_where(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Delete the target rows of every key value in ``rows``, then insert ``rows``."""
     gone = rows.select(*keys).distinct()
-    return target.join(gone, list(keys), "left_anti").unionByName(rows, allowMissingColumns=True)
+    kept = target.join(gone, list(keys), "left_anti").select(*target.columns)
+    return kept.unionByName(rows, allowMissingColumns=True)
 
 
 def union_parts(spark, parts: Sequence[DataFrame], schema) -> DataFrame:

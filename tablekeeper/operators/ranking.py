@@ -83,7 +83,7 @@ def keep_leading(
     keys = keyed.select("_p", "_k")
     sizes = (
         keys.groupBy("_p").agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("k", quota(F.col("n")).cast("long"))
+        .withColumn("k", F.least(quota(F.col("n")).cast("long"), F.col("n")))
     )
     whole = keyed.columns
 

@@ -112,7 +112,6 @@ def scd2_step(
         raise ValueError("deletes must be 'keep' or 'close'")
     if check:
         assert_unique(source, key, "scd2 source")
-        assert_unique(current, key, "scd2 open versions")
     schema = current.schema
     at = _at(effective_at, schema[window.start].dataType)
     forever = _at(OPEN_END, schema[window.end].dataType)

@@ -10,11 +10,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.tables import spread
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def corpus(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A text table, for work that is bound by the processor."""
+    return spread(table(spark, sf_dir, name))
+
+
 def cols(df: DataFrame, exprs: dict[str, str]) -> DataFrame:
     """Projection from a dict of name -> SQL text."""
     return df.select(*[F.expr(e).alias(n) for n, e in exprs.items()])
@@ -98,4 +105,4 @@ SCRIPTS_SQL = f"scripts AS (SELECT {sql_cols(SCRIPTS)} FROM documents)"
 
 
 def scripts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cols(table(spark, sf_dir, "documents"), SCRIPTS)
+    return cols(corpus(spark, sf_dir, "documents"), SCRIPTS)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import labels as L
 from ..operators import report as R
-from .common import RESULTS_SQL, cols, results, sql_cols, table
+from .common import RESULTS_SQL, cols, results, sql_cols, corpus, table
 
 _SUCCESS = "valid_status IN ('pass', 'unresolved_ext_dep', 'sound_dep')"
 _NAMES_A = "".join(f" WHEN valid_error LIKE '{p}' THEN '{n}'" for p, n in L.REVIEW_CLASSES)
@@ -56,7 +56,7 @@ def q_review_queue(spark, sf):
 
 def q_excerpt(spark, sf):
     text = F.col("text")
-    return table(spark, sf, "documents").select("doc_id", F.md5(L.excerpt(text, 220).cast("binary")).alias("excerpt"))
+    return corpus(spark, sf, "documents").select("doc_id", F.md5(L.excerpt(text, 220).cast("binary")).alias("excerpt"))
 
 
 _TEMPLATE = (
@@ -66,7 +66,7 @@ _TEMPLATE = (
 
 
 def q_template(spark, sf):
-    c = table(spark, sf, "conversations").withColumn("template", F.expr(_TEMPLATE))
+    c = corpus(spark, sf, "conversations").withColumn("template", F.expr(_TEMPLATE))
     filled = L.render_template(
         F.col("template"),
         {"role": F.col("role"), "turn": F.col("turn"), "conv": F.col("conv_id"), "text": F.col("text")},

@@ -9,7 +9,7 @@ from ..operators import outcome as O
 from ..operators import repair as Fix
 from ..operators import route as R
 from ..sources.tables import lookup, map_table, observe_counts, stage
-from .common import RESULTS_SQL, TYPE, cols, results, sql_cols, table
+from .common import RESULTS_SQL, TYPE, cols, results, sql_cols, corpus, table
 
 # One document stands for one request.
 _REQUEST = {
@@ -22,7 +22,7 @@ _REQUEST = {
 
 
 def _requests(spark, sf):
-    rows = cols(table(spark, sf, "documents"), _REQUEST)
+    rows = cols(corpus(spark, sf, "documents"), _REQUEST)
     return rows.withColumn("oversized", L.flag_oversized(F.col("source_bytes"), 8000))
 
 
@@ -142,7 +142,7 @@ _OBJECT = {**_REQUEST, "converted_code": "CASE WHEN doc_id % 23 <> 0 THEN text E
 
 
 def q_validation_set(spark, sf):
-    rows = cols(table(spark, sf, "documents"), _OBJECT)
+    rows = cols(corpus(spark, sf, "documents"), _OBJECT)
     rows = rows.withColumn("oversized", L.flag_oversized(F.col("source_bytes"), 8000))
     return O.validation_set(rows, 0.5).select("object_id", "object_type", "stage_no")
 
@@ -151,7 +151,7 @@ _PY = "CASE doc_id % 3 WHEN 0 THEN 'create or  replace function f() ' || text WH
 
 
 def q_is_python(spark, sf):
-    rows = table(spark, sf, "documents").select("doc_id", F.expr(_PY).alias("code"))
+    rows = corpus(spark, sf, "documents").select("doc_id", F.expr(_PY).alias("code"))
     return rows.select("doc_id", Fix.is_python(F.col("code")).alias("is_python"))
 
 
@@ -171,7 +171,7 @@ _OLD_RUN = {**_CHECKED, "run_ts": "'2024-01-30'"}
 
 def q_repair(spark, sf):
     """Even ids pass after one repair, odd ones after two, every third never; every seventh answer is cut off."""
-    docs = table(spark, sf, "documents")
+    docs = corpus(spark, sf, "documents")
     number = F.col("object_id").cast("long")
 
     def repair(context, pass_no):
@@ -198,7 +198,7 @@ def q_repair(spark, sf):
 
 
 def q_context(spark, sf):
-    docs = table(spark, sf, "documents").where("doc_id % 5 < 2")
+    docs = corpus(spark, sf, "documents").where("doc_id % 5 < 2")
     failing = cols(docs, _STATE).join(cols(docs, _CHECKED), "object_id")
     failing = failing.withColumn("converted_code", F.concat(F.lit("_tmp___tmp__"), F.col("converted_code")))
     kinds = {k: k.lower() for k in Fix.DIRECTIVES}

@@ -27,7 +27,7 @@ def scan_files(spark: SparkSession, path: str, glob: str = "*.sql") -> DataFrame
 
 
 # On the hex digits of UTF-16 text: a run of well-formed units, then a lone surrogate.
-_LONE_LE = r"\G((?:..(?!D[89A-F])..|..D[89AB]...D[C-F].)*+)..D[89A-F]."
+_LONE_LE = r"\G((?:..(?!D[89A-F])..|..D[89AB]..D[C-F])*+)..D[89A-F]"
 _LONE_BE = r"\G((?:(?!D[89A-F])....|D[89AB]..D[C-F]..)*+)D[89A-F].."
 
 

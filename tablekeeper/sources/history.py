@@ -1,6 +1,6 @@
 """Stored SCD Type 2 history that never rewrites closed versions.
 
-Version ``v=N`` of the table folder holds the rows closed by step N
+Version N of the table folder holds the rows closed by step N
 (``IsCurrent=false``) and all rows open after it (``IsCurrent=true``). The
 history is the closed rows of every version plus the open rows of the last, so
 a step writes the open rows and its own closures, in one job with one commit.
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.scd2 import Window, open_history, scd2_step
-from .tables import version_path, versions
+from .tables import VERSION, version_path, versions
 
 
 class HistoryTable:
@@ -45,8 +45,8 @@ class HistoryTable:
         # partition values are read back as text
         rows = rows.withColumn(self.window.current, F.col(self.window.current).cast("boolean"))
         open_row = F.col(self.window.current)
-        rows = rows.where(~open_row | (F.col("v") == known[-1]))
-        return rows if with_version else rows.drop("v")
+        rows = rows.where(~open_row | (F.col(VERSION) == known[-1]))
+        return rows if with_version else rows.drop(VERSION)
 
     def current(self) -> DataFrame:
         return self.read().where(F.col(self.window.current))

@@ -53,6 +53,12 @@ def map_table(df: DataFrame, fn: Callable[[DataFrame], DataFrame], partitions: i
     return fn(df.repartition(partitions))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on an input that comes in fewer partitions than there are; larger inputs pass as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def rows_df(spark: SparkSession, rows: Sequence, schema: T.StructType | str) -> DataFrame:
     return spark.createDataFrame(list(rows), schema)
 
@@ -107,8 +113,10 @@ def stage(df: DataFrame, tag: str) -> DataFrame:
 
 
 # --- versioned tables -------------------------------------------------------
-# A table folder holds one sub-folder ``v=N`` per version. A version counts once
-# its write has left the commit marker, so readers never see a half-written one.
+# A table folder holds one sub-folder per version. A version counts once its
+# write has left the commit marker, so readers never see a half-written one.
+VERSION = "tk_version"
+
 
 def _file_system(spark: SparkSession, path: str):
     jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -124,13 +132,13 @@ def versions(spark: SparkSession, path: str) -> list[int]:
     for status in fs.listStatus(root):
         name = status.getPath().getName()
         marker = spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-        if name.startswith("v=") and fs.exists(marker):
-            found.append(int(name[2:]))
+        if name.startswith(f"{VERSION}=") and fs.exists(marker):
+            found.append(int(name.partition("=")[2]))
     return sorted(found)
 
 
 def version_path(path: str, version: int) -> str:
-    return f"{path}/v={version}"
+    return f"{path}/{VERSION}={version}"
 
 
 def read_version(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
