@@ -25,6 +25,7 @@ STYLES = {
     121: "yyyy-MM-dd HH:mm:ss.SSS",
     126: "yyyy-MM-dd'T'HH:mm:ss.SSS",
 }
+CELL_BYTES = 2**30
 NUMERIC = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 UNITS = {
     "yy": "year", "yyyy": "year", "qq": "quarter", "q": "quarter", "mm": "month", "m": "month",
@@ -169,14 +170,24 @@ def offset(n: Column) -> Column:
     return n.cast("int")
 
 
-def string_agg(df: DataFrame, keys: Sequence[str], col: str, sep: str, order: Sequence[str]) -> DataFrame:
+def string_agg(
+    df: DataFrame, keys: Sequence[str], col: str, sep: str, order: Sequence[str], *, check: bool = True
+) -> DataFrame:
     """One string per key, parts in order (``STUFF ... FOR XML PATH``). NULL parts are left out.
 
-    The result of a key is one cell, which bounds it to what a string can hold.
+    The result of a key is one cell, so its parts must fit one. Sizes are summed
+    first (map-side, one number per key) and a key beyond the limit is refused
+    before any task starts to gather it.
     """
+    rows = df.where(F.col(col).isNotNull())
+    if check:
+        size = F.sum(F.octet_length(col) + F.lit(len(sep.encode())))
+        wide = rows.groupBy(*keys).agg(size.alias("n")).where(F.col("n") > CELL_BYTES).limit(1).collect()
+        if wide:
+            raise ValueError(f"string_agg: key {tuple(wide[0])[:-1]} needs {wide[0]['n']} bytes in one cell")
     part = F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(order)], F.col(col).alias("part"))
     parts = F.transform(F.sort_array(F.collect_list(part)), lambda p: p["part"])
-    return df.where(F.col(col).isNotNull()).groupBy(*keys).agg(F.array_join(parts, sep).alias(col))
+    return rows.groupBy(*keys).agg(F.array_join(parts, sep).alias(col))
 
 
 def pivot(df: DataFrame, keys: Sequence[str], for_col: str, values: Sequence, agg: Column) -> DataFrame:

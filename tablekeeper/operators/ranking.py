@@ -72,11 +72,18 @@ def keep_leading(
     order: Sequence[str],
     quota: Callable[[Column], Column],
     *,
+    unique: bool = False,
     small: int = SMALL,
     splits: int = SPLITS,
 ) -> DataFrame:
-    """In each group of ``part`` the first ``quota(n)`` rows, ``n`` being the size of the group."""
-    order = total_order(df, order)
+    """In each group of ``part`` the first ``quota(n)`` rows, ``n`` being the size of the group.
+
+    Rows that tie in ``order`` are put in order by all other columns. With
+    ``unique`` the order is taken to identify a row, so the search for the cut
+    reads no other column.
+    """
+    if not unique:
+        order = total_order(df, order)
     keyed = df.withColumn("_k", sort_key(df, order))
     group = [F.col(f"`{c}`") for c in part] or [F.lit(0)]
     keyed = keyed.withColumn("_p", F.struct(*[g.alias(f"p{i}") for i, g in enumerate(group)]))
@@ -93,10 +100,15 @@ def keep_leading(
     sizes = stage(sizes, "group-sizes")
     large = sizes.where(F.col("n") > small)
     cuts = _find_cuts(keys, large, small, splits)
+    if unique and cuts.where(F.col("take") < F.col("ties")).limit(1).collect():
+        raise ValueError(f"order {list(order)} does not identify a row: rows tie at the cut")
 
     rest = _by_window(keyed.join(_checked(large.select("_p")), "_p", "left_anti"), quota).select(*whole)
     at_cut = keyed.join(_checked(cuts), "_p").withColumn("_same", F.col("_k") == F.col("cut"))
     before = at_cut.where((F.col("_k") < F.col("cut")) | (F.col("_same") & (F.col("take") == F.col("ties"))))
+    kept = rest.unionByName(before.select(*whole))
+    if unique:
+        return kept.select(*df.columns)
     # rows that tie in every column are copies of each other: write out as many as fit
     copies = (
         at_cut.where(F.col("_same") & (F.col("take") < F.col("ties")))
@@ -109,9 +121,7 @@ def keep_leading(
         .withColumn("left", F.least(F.lit(block), F.col("take") - F.col("b") * block).cast("int"))
         .withColumn("i", F.explode(F.sequence(F.lit(1), F.col("left"))))
     )
-    return (
-        rest.unionByName(before.select(*whole)).unionByName(copies.select(*whole)).select(*df.columns)
-    )
+    return kept.unionByName(copies.select(*whole)).select(*df.columns)
 
 
 def _checked(groups: DataFrame) -> DataFrame:

@@ -17,14 +17,17 @@ from .ranking import SMALL, keep_leading, sort_key
 def prefix_sample(
     df: DataFrame, part: Sequence[str], order: Sequence[str], fraction: float, *, small: int = SMALL
 ) -> DataFrame:
-    """First ``max(1, int(n * fraction))`` rows of each group, so a smaller fraction is a subset of a larger one."""
+    """First ``max(1, int(n * fraction))`` rows of each group, so a smaller fraction is a subset of a larger one.
+
+    ``order`` must identify a row: only these columns are read to find the cut.
+    """
     if fraction >= 1.0:
         return df
 
     def quota(n: Column) -> Column:
         return F.greatest(F.lit(1), F.floor(n.cast("double") * F.lit(float(fraction))))
 
-    return keep_leading(df, part, order, quota, small=small)
+    return keep_leading(df, part, order, quota, unique=True, small=small)
 
 
 def sort_columns(order: Sequence[str]) -> list[Column]:
@@ -59,12 +62,15 @@ def top_n_with_ties(
 
 
 def top_percent(
-    df: DataFrame, percent: float, order: Sequence[str], part: Sequence[str] = (), *, small: int = SMALL
+    df: DataFrame, percent: float, order: Sequence[str], part: Sequence[str] = (), *,
+    unique: bool = False, small: int = SMALL,
 ) -> DataFrame:
     """``TOP p PERCENT``: the first ``ceil(n * p / 100)`` rows, overall or per group."""
-    return keep_leading(
-        df, part, order, lambda n: F.ceil(n.cast("double") * F.lit(float(percent)) / F.lit(100.0)), small=small
-    )
+
+    def quota(n: Column) -> Column:
+        return F.ceil(n.cast("double") * F.lit(float(percent)) / F.lit(100.0))
+
+    return keep_leading(df, part, order, quota, unique=unique, small=small)
 
 
 def dependency_stage(column: Column, order: Sequence[str]) -> Column:

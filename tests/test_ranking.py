@@ -45,6 +45,13 @@ def test_copies_at_the_cut(spark):
     assert {r.a: r["count"] for r in got.groupBy("a").count().collect()} == {0: 15000, 1: 10001}
 
 
+def test_unique_order(spark, data):
+    same(keep_leading(data, ["g"], ["-id"], lambda n: F.floor(n / 2), unique=True, small=100, splits=8),
+         brute(data, ["g"], ["-id"], lambda n: F.floor(n / 2)))
+    with pytest.raises(ValueError, match="tie at the cut"):
+        keep_leading(data, [], ["s"], lambda n: F.lit(10), unique=True, small=100)
+
+
 def test_quota_of_nothing_and_everything(spark, data):
     assert keep_leading(data, ["g"], ["id"], lambda n: F.lit(0), small=100).count() == 0
     assert keep_leading(data, ["g"], ["id"], lambda n: n + 5, small=100).count() == 3000

@@ -53,6 +53,10 @@ def test_scalar_forms(spark):
 def test_string_agg_and_unpivot(spark):
     df = spark.createDataFrame([(1, 2, "b"), (1, 1, "a"), (1, 3, None), (2, 1, "z")], "k int, o int, v string")
     assert {r.k: r.v for r in tsql.string_agg(df, ["k"], "v", "-", ["o"]).collect()} == {1: "a-b", 2: "z"}
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(tsql, "CELL_BYTES", 3)
+        with pytest.raises(ValueError, match="needs 4 bytes"):
+            tsql.string_agg(df, ["k"], "v", "-", ["o"])
     wide = spark.createDataFrame([(1, 5, None)], "k int, a int, b int")
     assert tsql.unpivot(wide, ["k"], ["a", "b"], "n", "x").collect() == [(1, "a", 5)]
     assert tsql.unpivot(wide, ["k"], ["a", "b"], "n", "x", keep_nulls=True).count() == 2
