@@ -1,10 +1,11 @@
 """Leading rows of an order, for groups of any size.
 
-``row_number() <= k`` sends a whole group through one task. Here only the cut
-is looked for: the sort key of the last row to keep. Groups up to ``small`` rows
-take the window; for larger ones the range that holds the cut is narrowed by
-counting rows between sampled split keys, pass by pass, until it is small. The
-kept rows then come from a filter, so the data itself is never sorted.
+``row_number() <= k`` over whole rows sends a group, however wide, through one
+task. Here only the cut is looked for: the sort key of the last row to keep. The
+kept rows then come from a filter, so the data itself is neither shuffled nor
+sorted. Groups of up to ``small`` rows have their keys ranked in a window; for
+larger ones the range that holds the cut is first narrowed, pass by pass, by
+counting rows between sampled split keys, until it is small.
 """
 
 from __future__ import annotations
@@ -88,32 +89,29 @@ def keep_leading(
     group = [F.col(f"`{c}`") for c in part] or [F.lit(0)]
     keyed = keyed.withColumn("_p", F.struct(*[g.alias(f"p{i}") for i, g in enumerate(group)]))
     keys = keyed.select("_p", "_k")
-    sizes = (
-        keys.groupBy("_p").agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("k", F.least(quota(F.col("n")).cast("long"), F.col("n")))
-    )
-    whole = keyed.columns
-
-    if not sizes.where(F.col("n") > small).limit(1).collect():
-        return _by_window(keyed, quota).select(*df.columns)
-
-    sizes = stage(sizes, "group-sizes")
-    large = sizes.where(F.col("n") > small)
-    cuts = _find_cuts(keys, large, small, splits)
-    if unique and cuts.where(F.col("take") < F.col("ties")).limit(1).collect():
-        raise ValueError(f"order {list(order)} does not identify a row: rows tie at the cut")
-
-    rest = _by_window(keyed.join(_checked(large.select("_p")), "_p", "left_anti"), quota).select(*whole)
-    at_cut = keyed.join(_checked(cuts), "_p").withColumn("_same", F.col("_k") == F.col("cut"))
-    before = at_cut.where((F.col("_k") < F.col("cut")) | (F.col("_same") & (F.col("take") == F.col("ties"))))
-    kept = rest.unionByName(before.select(*whole))
+    sizes = keys.groupBy("_p").agg(F.count(F.lit(1)).alias("n"))
+    groups, largest = sizes.agg(F.count(F.lit(1)), F.max("n")).first()
+    if not groups:
+        return df
+
+    if largest <= small:
+        cuts = _cuts(keys.withColumn("below", F.lit(0).cast("long")), quota, unique)
+    else:
+        wanted = sizes.withColumn("k", F.least(quota(F.col("n")).cast("long"), F.col("n"))).where("k > 0")
+        cuts = _narrowed_cuts(keys, stage(wanted, "group-sizes"), small, splits, unique)
+    if not unique:
+        cuts = stage(cuts, "cuts")
+    marks = F.broadcast(cuts) if groups <= BROADCAST_ROWS else cuts
+    at_cut = keyed.join(marks, "_p").withColumn("_same", F.col("_k") == F.col("cut"))
     if unique:
-        return kept.select(*df.columns)
+        return at_cut.where((F.col("_k") < F.col("cut")) | F.col("_same")).select(*df.columns)
+
+    fits = F.col("take") == F.col("ties")
+    kept = at_cut.where((F.col("_k") < F.col("cut")) | (F.col("_same") & fits)).select(*df.columns)
+    if cuts.where(~fits).isEmpty():
+        return kept
     # rows that tie in every column are copies of each other: write out as many as fit
-    copies = (
-        at_cut.where(F.col("_same") & (F.col("take") < F.col("ties")))
-        .groupBy(*whole).agg(F.max("take").alias("take"))
-    )
+    copies = at_cut.where(F.col("_same") & ~fits).groupBy(*keyed.columns).agg(F.max("take").alias("take"))
     block = 10_000
     copies = (
         copies.withColumn("b", F.explode(F.sequence(F.lit(0), F.floor((F.col("take") - 1) / block))))
@@ -121,36 +119,64 @@ def keep_leading(
         .withColumn("left", F.least(F.lit(block), F.col("take") - F.col("b") * block).cast("int"))
         .withColumn("i", F.explode(F.sequence(F.lit(1), F.col("left"))))
     )
-    return kept.unionByName(copies.select(*whole)).select(*df.columns)
+    return kept.unionByName(copies.select(*df.columns))
 
 
-def _checked(groups: DataFrame) -> DataFrame:
-    """One row per group: broadcast while they are few; beyond that a join adaptive execution can split."""
-    return F.broadcast(groups) if groups.count() <= BROADCAST_ROWS else groups
+def _cuts(rows: DataFrame, quota: Callable[[Column], Column], unique: bool) -> DataFrame:
+    """For each group the key of its last kept row (``cut``), how many rows share it (``ties``) and fit (``take``).
 
-
-def _by_window(keyed: DataFrame, quota) -> DataFrame:
+    ``rows`` holds a small range of each group: ``_p``, ``_k`` and the number of
+    its rows ``below`` the range. ``quota`` is given the number of rows at hand.
+    """
     group = Window.partitionBy("_p")
-    return (
-        keyed.withColumn("_rn", F.row_number().over(group.orderBy("_k")))
-        .withColumn("_n", F.count(F.lit(1)).over(group))
-        .where(F.col("_rn") <= quota(F.col("_n")))
+    order = group.orderBy("_k")
+    if unique:
+        placed = rows.withColumns(
+            {
+                "_upto": F.row_number().over(order) + F.col("below"), "_next": F.lead("_k").over(order),
+                "_n": F.count(F.lit(1)).over(group),
+            }
+        )
+        ties = F.raise_error(F.lit("the order does not identify a row: rows tie at the cut"))
+        cut = F.when(F.col("_next") == F.col("_k"), ties).otherwise(F.col("_k"))
+        k = F.least(quota(F.col("_n")).cast("long"), F.col("_n") + F.col("below"))
+        return placed.where(F.col("_upto") == k).select("_p", cut.alias("cut"))
+    # copies are counted before the running sum
+    extra = [c for c in rows.columns if c not in ("_p", "_k")]
+    counted = rows.groupBy("_p", "_k", *extra).agg(F.count(F.lit(1)).alias("ties"))
+    placed = counted.withColumns(
+        {"_upto": F.sum("ties").over(order) + F.col("below"), "_n": F.sum("ties").over(group)}
+    )
+    k = F.least(quota(F.col("_n")).cast("long"), F.col("_n") + F.col("below"))
+    under = F.col("_upto") - F.col("ties")
+    return placed.where((F.col("_upto") >= k) & (under < k)).select(
+        "_p", F.col("_k").alias("cut"), "ties", (k - under).alias("take")
     )
 
 
-def _find_cuts(keys: DataFrame, large: DataFrame, small: int, splits: int) -> DataFrame:
-    """For each large group the key of its last kept row (``cut``), how many rows share it (``ties``) and fit (``take``)."""
+def _checked(groups: DataFrame) -> DataFrame:
+    """One row per group: broadcast while they are few; beyond that a join adaptive execution can split."""
+    return F.broadcast(groups) if groups.count() <= BROADCAST_ROWS else groups
+
+
+def _narrowed_cuts(keys: DataFrame, wanted: DataFrame, small: int, splits: int, unique: bool) -> DataFrame:
+    """The cuts of groups of any size (``wanted``: group, size ``n``, rows to keep ``k``)."""
     empty = F.lit(None).cast(keys.schema["_k"].dataType)
-    state = stage(
-        keys.join(_checked(large.where("k > 0").select("_p", "k")), "_p")
-        .groupBy("_p", "k")
+    count, no = F.lit(0).cast("long"), F.lit(False)
+    large = wanted.where(F.col("n") > small).select("_p", "k")
+    ranges = (
+        keys.join(_checked(large), "_p").groupBy("_p", "k")
         .agg(F.count(F.lit(1)).alias("inside"), *_range_stats())
         .select(
-            "_p", "k", "inside", F.lit(0).cast("long").alias("below"), empty.alias("lo"),
-            F.col("top").alias("hi"), "low", "kinds", (F.col("low") == F.col("top")).alias("single"),
-        ),
-        "cut-range",
+            "_p", "k", "inside", count.alias("below"), empty.alias("lo"), F.col("top").alias("hi"),
+            "low", "kinds", (F.col("low") == F.col("top")).alias("single"),
+        )
+    )
+    rest = wanted.where(F.col("n") <= small).select(
+        "_p", "k", F.col("n").alias("inside"), count.alias("below"), empty.alias("lo"), empty.alias("hi"),
+        empty.alias("low"), count.alias("kinds"), no.alias("single"),
     )
+    state = stage(ranges.unionByName(rest), "cut-range")
     while state.where((F.col("inside") > small) & ~F.col("single")).limit(1).collect():
         inside = _within(keys, state.where((F.col("inside") > small) & ~F.col("single")), "low", "kinds")
         points = _split_points(inside, splits)
@@ -177,21 +203,19 @@ def _find_cuts(keys: DataFrame, large: DataFrame, small: int, splits: int) -> Da
         done = state.where((F.col("inside") <= small) | F.col("single"))
         state = stage(done.unionByName(hit), "cut-range")
 
-    solved = state.where("single").select(
-        "_p", F.col("hi").alias("cut"), F.col("inside").alias("ties"),
-        (F.col("k") - F.col("below")).alias("take"),
-    )
-    # inside a small range copies are counted before the running sum
-    running = Window.partitionBy("_p").orderBy("_k")
-    counted = (
-        _within(keys, state.where("not single"), "k", "below")
-        .groupBy("_p", "_k", "k", "below").agg(F.count(F.lit(1)).alias("ties"))
-        .withColumn("upto", F.sum("ties").over(running) + F.col("below"))
-    )
-    found = counted.where("upto >= k and upto - ties < k").select(
-        "_p", F.col("_k").alias("cut"), "ties", (F.col("k") - (F.col("upto") - F.col("ties"))).alias("take")
+    found = _cuts(_within(keys, state.where("not single"), "k", "below"), lambda n: F.col("k"), unique)
+    solved = state.where("single")
+    if unique:
+        # a range with one key left and more than one row in it breaks the promise
+        broken = F.raise_error(F.lit("the order does not identify a row: rows tie at the cut"))
+        cut = F.when(F.col("inside") > 1, broken).otherwise(F.col("hi"))
+        return stage(found.unionByName(solved.select("_p", cut.alias("cut"))), "cuts")
+    return found.unionByName(
+        solved.select(
+            "_p", F.col("hi").alias("cut"), F.col("inside").alias("ties"),
+            (F.col("k") - F.col("below")).alias("take"),
+        )
     )
-    return stage(solved.unionByName(found), "cuts")
 
 
 def _range_stats() -> list[Column]:

@@ -8,7 +8,7 @@ from ..functions import labels as L
 from ..operators import outcome as O
 from ..operators import repair as Fix
 from ..operators import route as R
-from ..sources.tables import lookup, map_table, observe_counts, stage
+from ..sources.tables import map_table, observe_counts, stage
 from .common import RESULTS_SQL, TYPE, cols, results, sql_cols, corpus, table
 
 # One document stands for one request.
@@ -41,7 +41,7 @@ def q_misses(spark, sf):
 def q_lookup(spark, sf):
     rows = _requests(spark, sf)
     ends = {"trivial": "small-model", "simple": "mid-model", "medium": "mid-model"}
-    return rows.select("object_id", lookup(F.col("complexity_tier"), ends).alias("endpoint"), "oversized")
+    return rows.select("object_id", L.lookup(F.col("complexity_tier"), ends).alias("endpoint"), "oversized")
 
 
 def _deterministic(spark, sf):
@@ -50,7 +50,7 @@ def _deterministic(spark, sf):
     def shorten(texts):
         if (texts.str.len() > 2000).any():
             raise ValueError("text too long")
-        return [t[:20].upper() if "tion" in t else "" for t in texts]
+        return [">" + t[:20] if "tion" in t else "" for t in texts]
 
     rows = _requests(spark, sf).where("not oversized")
     return R.try_map(rows, shorten, "prompt", F.col("object_type").isin("TABLE", "VIEW", "SCHEMA"))
@@ -215,7 +215,7 @@ QUERIES = {
 _REQ = f"req AS (SELECT {sql_cols(_REQUEST)}, n_chars > 8000 AS oversized FROM documents)"
 _ELIGIBLE = "object_type IN ('TABLE', 'VIEW', 'SCHEMA') AND length(prompt) > 0"
 _DET = f"""det AS (SELECT object_id,
-  CASE WHEN {_ELIGIBLE} AND length(prompt) <= 2000 AND contains(prompt, 'tion') THEN upper(substr(prompt, 1, 20)) END AS value,
+  CASE WHEN {_ELIGIBLE} AND length(prompt) <= 2000 AND contains(prompt, 'tion') THEN '>' || substr(prompt, 1, 20) END AS value,
   CASE WHEN ({_ELIGIBLE}) IS NOT TRUE THEN 'skipped' WHEN length(prompt) > 2000 THEN 'text too long'
        WHEN NOT contains(prompt, 'tion') THEN 'empty' END AS error FROM req WHERE NOT oversized)"""
 _CAP = "CASE complexity_tier WHEN 'trivial' THEN 280 WHEN 'simple' THEN 900 WHEN 'medium' THEN 4000 END"

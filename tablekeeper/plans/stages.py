@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.labels import flag_oversized, render_template
+from ..functions.labels import flag_oversized, lookup, render_template
 from ..functions.profile import SIGNALS
 from ..functions.rewrite import NORMALIZE_RULES, Rule, apply_rules, clean_output
 from ..operators.conform import register_companions, select_temporal
@@ -22,7 +22,7 @@ from ..operators.repair import repair_until
 from ..operators.report import latest_run, pair_companions, reconcile, review_queue, run_summary
 from ..operators.route import batch_infer, merge_outputs, route_misses, try_map, with_audit
 from ..sources.files import ingest_objects, scan_files
-from ..sources.tables import lookup, read_version, replace_partitions, rewrite_table, stage
+from ..sources.tables import read_version, replace_partitions, rewrite_table, stage
 
 # Default size limit, types the deterministic pass takes, and
 # the numbers of partitions costly calls are spread over.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +21,7 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
 def materialize(df: DataFrame, path: str) -> DataFrame:
     """Create or replace the table from a query and read it back: one evaluation for many readers."""
     write_table(df, path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def append_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -170,9 +170,3 @@ def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> list[int
         fs, folder = _file_system(spark, version_path(path, number))
         fs.delete(folder, True)
     return old
-
-
-def lookup(column: Column, mapping: Mapping[str, str]) -> Column:
-    """Value of a small literal map; NULL for keys it does not hold."""
-    pairs = [F.lit(x) for item in mapping.items() for x in item]
-    return F.element_at(F.create_map(*pairs), column)

@@ -30,13 +30,15 @@ def same(a, b):
     assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
 
 
-@pytest.mark.parametrize("order", [["x", "-id"], ["-x", "id"], ["-s", "x", "id"]])
+@pytest.mark.parametrize("order", [["x", "-id"], ["-s", "-x", "id"]])
 @pytest.mark.parametrize("part", [[], ["g"]])
 def test_cut_equals_window(spark, data, order, part):
     def quota(n):
         return F.floor(n * 0.3)
 
-    same(keep_leading(data, part, order, quota, small=150, splits=16), brute(data, part, order, quota))
+    want = brute(data, part, order, quota)
+    same(keep_leading(data, part, order, quota, small=150, splits=16), want)
+    same(keep_leading(data, part, order, quota), want)
 
 
 def test_copies_at_the_cut(spark):
@@ -45,11 +47,18 @@ def test_copies_at_the_cut(spark):
     assert {r.a: r["count"] for r in got.groupBy("a").count().collect()} == {0: 15000, 1: 10001}
 
 
+def test_null_group(spark, data):
+    for small in (100, 10_000):
+        same(keep_leading(data, ["s"], ["id"], lambda n: F.floor(n / 2), unique=True, small=small, splits=64),
+             brute(data, ["s"], ["id"], lambda n: F.floor(n / 2)))
+
+
 def test_unique_order(spark, data):
     same(keep_leading(data, ["g"], ["-id"], lambda n: F.floor(n / 2), unique=True, small=100, splits=8),
          brute(data, ["g"], ["-id"], lambda n: F.floor(n / 2)))
-    with pytest.raises(ValueError, match="tie at the cut"):
-        keep_leading(data, [], ["s"], lambda n: F.lit(10), unique=True, small=100)
+    for small in (100, 10_000):
+        with pytest.raises(Exception, match="tie at the cut"):
+            keep_leading(data, [], ["s"], lambda n: F.lit(10), unique=True, small=small).collect()
 
 
 def test_quota_of_nothing_and_everything(spark, data):
