@@ -82,10 +82,13 @@ def conform_types(
     """
     casts = _casts(df, declared, widen_tinyint=widen_tinyint)
     columns = [casts[c].alias(c) if c in casts else F.col(f"`{c}`") for c in df.columns]
-    if failures:
-        lost = [F.when(F.col(f"`{c}`").isNotNull() & v.isNull(), F.lit(c)) for c, v in casts.items()]
-        columns.append(F.array_compact(F.array(*lost)).alias(failures))
-    return df.select(*columns)
+    if not failures:
+        return df.select(*columns)
+    # a projection of its own holds the cast values, so none is cast again to be tested
+    given = [F.col(f"`{c}`").isNotNull().alias(f"_had_{c}") for c in casts]
+    cast = df.select(*columns, *given)
+    lost = [F.when(F.col(f"`_had_{c}`") & F.col(f"`{c}`").isNull(), F.lit(c)) for c in casts]
+    return cast.select(*[F.col(f"`{c}`") for c in df.columns], F.array_compact(F.array(*lost)).alias(failures))
 
 
 def conform_report(df: DataFrame, declared: Mapping[str, str], *, widen_tinyint: bool = False) -> DataFrame:
