@@ -61,12 +61,6 @@ def sort_key(df: DataFrame, order: Sequence[str]) -> Column:
     return F.struct(*[c.alias(f"k{i}") for i, c in enumerate(parts)])
 
 
-def total_order(df: DataFrame, order: Sequence[str]) -> list[str]:
-    """``order`` followed by all other columns, so that only identical rows tie."""
-    named = {item.removeprefix("-") for item in order}
-    return [*order, *[c for c in df.columns if c not in named]]
-
-
 def keep_leading(
     df: DataFrame,
     part: Sequence[str],
@@ -79,47 +73,75 @@ def keep_leading(
 ) -> DataFrame:
     """In each group of ``part`` the first ``quota(n)`` rows, ``n`` being the size of the group.
 
-    Rows that tie in ``order`` are put in order by all other columns. With
-    ``unique`` the order is taken to identify a row, so the search for the cut
-    reads no other column.
+    Rows that tie in ``order`` where the cut falls are put in order by all other
+    columns. With ``unique`` the order is taken to identify a row.
     """
-    if not unique:
-        order = total_order(df, order)
-    keyed = df.withColumn("_k", sort_key(df, order))
     group = [F.col(f"`{c}`") for c in part] or [F.lit(0)]
-    keyed = keyed.withColumn("_p", F.struct(*[g.alias(f"p{i}") for i, g in enumerate(group)]))
-    keys = keyed.select("_p", "_k")
-    sizes = keys.groupBy("_p").agg(F.count(F.lit(1)).alias("n"))
+    keyed = df.withColumns(
+        {"_k": sort_key(df, order), "_p": F.struct(*[g.alias(f"p{i}") for i, g in enumerate(group)])}
+    )
+    kept, tied, most = _split(keyed, quota, unique, small, splits)
+    kept = kept.select(*df.columns)
+    if tied is None:
+        return kept
+    # the rows that tie at a cut: a first few of them complete the group
+    named = {item.removeprefix("-") for item in order}
+    others = [c for c in df.columns if c not in named and c not in part]
+    if most <= small:
+        place = F.row_number().over(Window.partitionBy("_p").orderBy(*[F.col(f"`{c}`") for c in others or ["_k"]]))
+        chosen = tied.withColumn("_rn", place).where(F.col("_rn") <= F.col("_quota"))
+        return kept.unionByName(chosen.select(*df.columns))
+    if others:
+        rest = tied.withColumn("_k", sort_key(df, others))
+        more, tied, _ = _split(rest, lambda n: F.col("_quota"), False, small, splits, ["_quota"])
+        kept = kept.unionByName(more.select(*df.columns))
+    return kept if tied is None else kept.unionByName(_copies(tied, df.columns))
+
+
+def _split(
+    keyed: DataFrame, quota: Callable[[Column], Column], unique: bool, small: int, splits: int,
+    extra: Sequence[str] = (),
+) -> tuple[DataFrame, DataFrame | None, int]:
+    """Rows surely kept; rows tying at a cut of which only ``_quota`` fit, if any; the most of these in a group."""
+    whole = keyed.columns
+    keys = keyed.select("_p", "_k", *extra)
+    sizes = keys.groupBy("_p", *extra).agg(F.count(F.lit(1)).alias("n"))
     groups, largest = sizes.agg(F.count(F.lit(1)), F.max("n")).first()
     if not groups:
-        return df
+        return keyed, None, 0
 
     if largest <= small:
         cuts = _cuts(keys.withColumn("below", F.lit(0).cast("long")), quota, unique)
     else:
         wanted = sizes.withColumn("k", F.least(quota(F.col("n")).cast("long"), F.col("n"))).where("k > 0")
-        cuts = _narrowed_cuts(keys, stage(wanted, "group-sizes"), small, splits, unique)
+        wanted = stage(wanted.select("_p", "n", "k"), "group-sizes")
+        cuts = _narrowed_cuts(keys.select("_p", "_k"), wanted, small, splits, unique)
     if not unique:
         cuts = stage(cuts, "cuts")
     marks = F.broadcast(cuts) if groups <= BROADCAST_ROWS else cuts
-    at_cut = keyed.join(marks, "_p").withColumn("_same", F.col("_k") == F.col("cut"))
+    at_cut = keyed.join(marks, "_p")
+    same = F.col("_k") == F.col("cut")
     if unique:
-        return at_cut.where((F.col("_k") < F.col("cut")) | F.col("_same")).select(*df.columns)
+        return at_cut.where((F.col("_k") < F.col("cut")) | same).select(*whole), None, 0
 
     fits = F.col("take") == F.col("ties")
-    kept = at_cut.where((F.col("_k") < F.col("cut")) | (F.col("_same") & fits)).select(*df.columns)
-    if cuts.where(~fits).isEmpty():
-        return kept
-    # rows that tie in every column are copies of each other: write out as many as fit
-    copies = at_cut.where(F.col("_same") & ~fits).groupBy(*keyed.columns).agg(F.max("take").alias("take"))
+    kept = at_cut.where((F.col("_k") < F.col("cut")) | (same & fits)).select(*whole)
+    most = cuts.where(~fits).agg(F.max("ties")).first()[0]
+    if most is None:
+        return kept, None, 0
+    plain = [c for c in whole if c != "_quota"]
+    return kept, at_cut.where(same & ~fits).select(*plain, F.col("take").alias("_quota")), most
+
+
+def _copies(tied: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows that tie in every column are copies of each other: write out as many as fit, in blocks."""
     block = 10_000
-    copies = (
-        copies.withColumn("b", F.explode(F.sequence(F.lit(0), F.floor((F.col("take") - 1) / block))))
-        .repartition("b", "_p")
-        .withColumn("left", F.least(F.lit(block), F.col("take") - F.col("b") * block).cast("int"))
-        .withColumn("i", F.explode(F.sequence(F.lit(1), F.col("left"))))
-    )
-    return kept.unionByName(copies.select(*df.columns))
+    once = tied.groupBy("_p", *columns).agg(F.max("_quota").alias("_quota"))
+    blocks = once.withColumn(
+        "_b", F.explode(F.sequence(F.lit(0), F.floor((F.col("_quota") - 1) / block)))
+    ).repartition("_b", "_p")
+    left = F.least(F.lit(block), F.col("_quota") - F.col("_b") * block).cast("int")
+    return blocks.withColumn("_i", F.explode(F.sequence(F.lit(1), left))).select(*columns)
 
 
 def _cuts(rows: DataFrame, quota: Callable[[Column], Column], unique: bool) -> DataFrame:

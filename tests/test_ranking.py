@@ -37,7 +37,7 @@ def test_cut_equals_window(spark, data, order, part):
         return F.floor(n * 0.3)
 
     want = brute(data, part, order, quota)
-    same(keep_leading(data, part, order, quota, small=150, splits=16), want)
+    same(keep_leading(data, part, order, quota, small=150, splits=64), want)
     same(keep_leading(data, part, order, quota), want)
 
 
@@ -54,7 +54,7 @@ def test_null_group(spark, data):
 
 
 def test_unique_order(spark, data):
-    same(keep_leading(data, ["g"], ["-id"], lambda n: F.floor(n / 2), unique=True, small=100, splits=8),
+    same(keep_leading(data, ["g"], ["-id"], lambda n: F.floor(n / 2), unique=True, small=200, splits=16),
          brute(data, ["g"], ["-id"], lambda n: F.floor(n / 2)))
     for small in (100, 10_000):
         with pytest.raises(Exception, match="tie at the cut"):
