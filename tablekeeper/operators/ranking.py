@@ -74,7 +74,8 @@ def keep_leading(
     """In each group of ``part`` the first ``quota(n)`` rows, ``n`` being the size of the group.
 
     Rows that tie in ``order`` where the cut falls are put in order by all other
-    columns. With ``unique`` the order is taken to identify a row.
+    columns. With ``unique`` the order is taken to identify a row. The input is
+    read more than once: costly or unrepeatable input should be staged first.
     """
     group = [F.col(f"`{c}`") for c in part] or [F.lit(0)]
     keyed = df.withColumns(

@@ -8,12 +8,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Output caps per tier and the reasons a row has no value.
+# Output caps per tier, the reasons a row has no value, and the
+# labels of the two ways a value can come about.
 CAPS = {"trivial": 4096, "simple": 8192, "medium": 16000, "complex": 32000}
 DEFAULT_CAP = 8192
 SKIPPED = "skipped"
 EMPTY = "empty"
-ERROR_CHARS = 300
+DETERMINISTIC, INFERRED = "sqlglot", "ai"
 
 BatchFn = Callable[[pd.Series], Sequence]
 
@@ -132,6 +133,6 @@ def merge_outputs(requests: DataFrame, deterministic: DataFrame, inferred: DataF
     """
     first = deterministic.select(key, F.col("value").alias("_det"))
     second = inferred.select(key, F.col("result").alias("_inf"), F.col("errorMessage").alias("convert_error"))
-    value, method = coalesce_with_provenance([("sqlglot", F.col("_det")), ("ai", F.col("_inf"))])
+    value, method = coalesce_with_provenance([(DETERMINISTIC, F.col("_det")), (INFERRED, F.col("_inf"))])
     joined = requests.join(first, key, "left").join(second, key, "left")
     return joined.withColumns({"method": method, "raw_code": value}).drop("_det", "_inf")
