@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, leaks, minhash
+from . import exact, html, leaks, lines, minhash, packing, quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that an earlier line is nearly equal to."""
+    return lines.duplicate_lines(table(spark, sf_dir, "documents"))
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = leaks.find_benchmark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -20,6 +26,26 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = quality.score(docs.select("doc_id", "text"), quality.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset",
+    )
+
+
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.deduplicate(table(spark, sf_dir, "documents"), exact.DigestIndex.fresh(spark))
 
@@ -29,7 +55,11 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op4_quality_classifier": op4_quality_classifier,
+    "op6_packing": op6_packing,
+    "op7_html_extraction": op7_html_extraction,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
@@ -37,6 +67,21 @@ QUERIES = {
 _FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE = {
+    "op1_line_dedup": r"""
+WITH l AS (
+  SELECT doc_id, CAST(k - 1 AS BIGINT) AS line_no, trim(w[k], chr(9) || chr(11) || chr(12) || chr(13) || ' ') AS line
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS k
+        FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS w FROM documents))),
+t AS (
+  SELECT line, min({'d': doc_id, 'n': line_no}) AS first, strlen(line) AS n FROM l WHERE strlen(line) >= 20 GROUP BY line),
+near AS (
+  SELECT a.line, min(b.first) AS near
+  FROM t a JOIN (SELECT *, unnest(range(n - 2, n + 3)) AS m FROM t) b ON a.n = b.m AND a.line <> b.line
+  WHERE levenshtein(a.line, b.line) <= 2 GROUP BY a.line)
+SELECT DISTINCT doc_id, line_no
+FROM l JOIN t USING (line) LEFT JOIN near USING (line)
+WHERE {'d': doc_id, 'n': line_no} > least(first, coalesce(near, first))
+""",
     "op3_benchmark_decontamination": rf"""
 WITH d AS (SELECT doc_id, regexp_extract_all({_FOLD}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 i AS (SELECT item_id, regexp_extract_all({_FOLD}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
