@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact, html, leaks, lines, minhash, packing, passages, quality
+from . import chat, exact, html, leaks, licences, lines, minhash, packing, passages, quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.duplicate_lines(table(spark, sf_dir, "documents"))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return licences.scan(docs, licences.train(docs))
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = leaks.find_benchmark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -64,6 +69,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_license_scan": op2_license_scan,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_substring_dedup": op5_substring_dedup,
