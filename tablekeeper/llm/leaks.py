@@ -301,32 +301,38 @@ def remove_benchmark(docs: DataFrame, benchmark: DataFrame, text_col: str = "tex
     Texts are searched again after a cut until nothing is found, since a cut can bring the two ends of a split passage
     together. Rows, ids and other columns stay as they are; NULL texts stay NULL.
     """
-    cleaned = docs
-    for block in [*_blocks(benchmark, "item_id", "text")] or [[]]:
-        phrases = Phrases(block, window)
-
-        def clean(batches, phrases=phrases):
-            for batch in batches:
-                k = batch.schema.get_field_index(text_col)
-                values = tx.column(batch, text_col)
-                out = batch.column(k).to_pylist()
-                for a, _, raw, bounds in tx.slices(values):
-                    _, n_hit, found, _ = _scan(phrases, raw, bounds)
-                    for r in np.flatnonzero(n_hit):
-                        mine = found[0] == r
-                        text = _cut(raw[bounds[r] : bounds[r + 1]].tobytes(), found[1][mine], found[2][mine])
-                        while True:
-                            again = np.frombuffer(text, np.uint8)
-                            _, n, (_, begin, stop), _ = _scan(phrases, again, np.array([0, len(again)]))
-                            if not n[0]:
-                                break
-                            text = _cut(text, begin, stop)
-                        out[a + r] = text.decode()
-                columns = [pa.array(out, batch.schema.field(k).type) if i == k else batch.column(i) for i in range(batch.num_columns)]
-                yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
-
-        cleaned = cleaned.mapInArrow(clean, docs.schema)
-    return cleaned
+    blocks = [Phrases(block, window) for block in _blocks(benchmark, "item_id", "text")]
+
+    def clean(batches):
+        for batch in batches:
+            k = batch.schema.get_field_index(text_col)
+            values = tx.column(batch, text_col)
+            out = batch.column(k).to_pylist()
+            for a, b, raw, bounds in tx.slices(values):
+                hit = np.zeros(b - a, bool)
+                for phrases in blocks:
+                    hit |= _scan(phrases, raw, bounds)[1] > 0
+                for r in np.flatnonzero(hit):
+                    out[a + r] = _without(raw[bounds[r] : bounds[r + 1]].tobytes(), blocks).decode()
+            columns = [pa.array(out, batch.schema.field(k).type) if i == k else batch.column(i) for i in range(batch.num_columns)]
+            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+
+    return docs.mapInArrow(clean, docs.schema)
+
+
+def _without(text: bytes, blocks: list[Phrases]) -> bytes:
+    """The text without hit words of any block, until no block hits."""
+    clean = 0
+    while clean < len(blocks):
+        clean = 0
+        for phrases in blocks:
+            raw = np.frombuffer(text, np.uint8)
+            _, n_hit, (_, begin, stop), _ = _scan(phrases, raw, np.array([0, len(raw)]))
+            if n_hit[0]:
+                text = _cut(text, begin, stop)
+            else:
+                clean += 1
+    return text
 
 
 def _cut(text: bytes, begin, stop) -> bytes:
