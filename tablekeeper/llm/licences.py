@@ -121,24 +121,39 @@ def _templates(spark: SparkSession) -> DataFrame:
 def _needles(templates: list[tuple[str, list[str]]]) -> list[str]:
     """Words of which every paragraph that any template can confirm has at least one.
 
-    A confirmed paragraph lacks less than a share of 1 - SHARE of the template's pairs, so of one pair more than that
-    it has at least one, and with it the longer of its words.
+    A confirmed paragraph lacks at most a share of 1 - SHARE of the template's pairs, so of one pair more than that it
+    has at least one. Words are taken until so many pairs of every template hold one, the word that most templates
+    need first.
     """
-    found: set[str] = set()
-    for _, own in templates:
-        lacking = int((1 - SHARE) * len(own) + 1e-9)
-        ranked = sorted(own, key=lambda p: (-max(map(len, p.split())), p))
-        longest = [max(p.split(), key=len) for p in ranked]
-        found.update(longest[: lacking + 1])
-    return sorted(w for w in found if not any(o != w and o in w for o in found))
+    needs = [int((1 - SHARE) * len(own) + 1e-9) + 1 for _, own in templates]
+    open_ = [set(own) for _, own in templates]
+    every = {w for _, own in templates for p in own for w in p.split()}
+    candidates = {w for w in every if len(w) >= 6} or every
+    found: list[str] = []
+    while any(n > 0 for n in needs):
+        def gain(w: str) -> tuple[int, str]:
+            return sum(min(n, sum(w in p for p in own)) for n, own in zip(needs, open_, strict=True) if n > 0), w
+
+        best = max(candidates - set(found) or every - set(found), key=gain)
+        if not gain(best)[0]:
+            candidates = every
+            best = max(every - set(found), key=gain)
+        found.append(best)
+        for k, own in enumerate(open_):
+            hit = {p for p in own if best in p}
+            needs[k] -= len(hit)
+            own -= hit
+    return sorted(found)
 
 
 def _has(text, needles: list[str]) -> F.Column:
-    low = F.lower(text)
-    test = F.lit(False)
-    for needle in needles:
-        test = test | F.contains(low, F.lit(needle))
-    return test
+    def any_of(low):
+        test = F.lit(False)
+        for needle in needles:
+            test = test | F.contains(low, F.lit(needle))
+        return test
+
+    return F.exists(F.array(F.lower(F.coalesce(text, F.lit("")))), any_of)  # an array of one, so the text is folded once
 
 
 def paragraphs(docs: DataFrame, needles: list[str] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
