@@ -123,43 +123,58 @@ def _with_nodes(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _fine_keys(texts: DataFrame, width: int) -> DataFrame:
-    """node, label and the finer band keys of (node, label, text) rows."""
+    """node and the finer band keys of (node, text) rows."""
 
     def sign(batches):
         for batch in batches:
             for a, b, raw, bounds in tx.slices(tx.column(batch, "text")):
                 keys = band_keys(*shingle_sets(raw, bounds, width), FINE_BANDS, FINE_ROWS)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), tx.lists(_signed(keys.ravel()), np.arange(b - a + 1) * FINE_BANDS)],
-                    ["node", "label", "bands"],
+                    [batch.column(0).slice(a, b - a), tx.lists(_signed(keys.ravel()), np.arange(b - a + 1) * FINE_BANDS)],
+                    ["node", "bands"],
                 )
 
-    return texts.select("node", "label", "text").mapInArrow(sign, "node long, label long, bands array<long>")
+    return texts.select("node", "text").mapInArrow(sign, "node long, bands array<long>")
 
 
-def _similar(pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The (a, b) pairs whose texts x and y have 100 * |intersection| >= percent * |union| of their shingle sets."""
+def _own_shingles(texts: DataFrame, width: int) -> DataFrame:
+    """node and the number ``own`` of shingles that no other of the (node, text) rows has."""
+
+    def spell(batches):
+        for batch in batches:
+            for a, b, raw, bounds in tx.slices(tx.column(batch, "text")):
+                sets, at = shingle_sets(raw, bounds, width)
+                node = batch.column(0).slice(a, b - a).take(pa.array(tx.rows_of(at)))
+                yield pa.RecordBatch.from_arrays([node, _signed(sets)], ["node", "shingle"])
+
+    spelt = texts.select("node", "text").mapInArrow(spell, "node long, shingle long")
+    once = spelt.groupBy("shingle").agg(F.min("node").alias("node"), F.count(F.lit(1)).alias("n")).where("n = 1")
+    return once.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+
+
+def _compared(pairs: DataFrame, width: int) -> DataFrame:
+    """a, b, the sizes of their shingle sets and of the common part, from the texts x and y."""
 
     def compare(batches):
         for batch in batches:
-            keep = np.zeros(batch.num_rows, bool)
+            size_x, size_y, common = (np.zeros(batch.num_rows, np.int64) for _ in range(3))
             x, y = tx.column(batch, "x"), tx.column(batch, "y")
             for a, b, raw, bounds in tx.slices(x):
                 left, at = shingle_sets(raw, bounds, width)
+                size_x[a:b] = np.diff(at)
                 done = a
                 for c, d, raw_y, bounds_y in tx.slices(y.slice(a, b - a)):
                     right, to = shingle_sets(raw_y, bounds_y, width)
+                    size_y[done : done + d - c] = np.diff(to)
                     for k in range(d - c):
                         r = done - a + k
-                        one, two = left[at[r] : at[r + 1]], right[to[k] : to[k + 1]]
-                        both = np.concatenate([one, two])
+                        both = np.concatenate([left[at[r] : at[r + 1]], right[to[k] : to[k + 1]]])
                         both.sort()
-                        common = int(np.count_nonzero(both[1:] == both[:-1]))
-                        keep[done + k] = 100 * common >= percent * (len(both) - common)
+                        common[done + k] = np.count_nonzero(both[1:] == both[:-1])
                     done += d - c
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *map(pa.array, (size_x, size_y, common))], ["a", "b", "na", "nb", "common"])
 
-    return pairs.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
+    return pairs.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long, na long, nb long, common long")
 
 
 def near_duplicates(
@@ -178,8 +193,11 @@ def near_duplicates(
 
     Candidates are compared twice. First each node of a band's bucket with the smallest node of the bucket, so a bucket
     of many copies costs as many comparisons as it has nodes. Then the nodes of buckets that still hold several
-    components get many narrower bands, and those of different components that share one are compared: so a large
-    group of loosely similar texts does not meet in all pairs. Either time a pair of similarity 0.8 is missed with a
+    components get many narrower bands, and those of different components that share one are compared, unless the
+    distances to a center they have in common already tell them apart: texts x and y differ in at least
+    far(x) + far(y) - 2 * min(far(x) - own(x), far(y) - own(y)) shingles, where ``own`` counts those that no other of
+    these nodes and centers has. So
+    a large group of loosely similar texts does not meet in all pairs. Either time a pair of similarity 0.8 is missed with a
     probability near 1e-7, and every link is verified on the full sets.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -194,23 +212,41 @@ def near_duplicates(
     holders = linkable.join(wanted, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
     texts = stage(_with_nodes(rows.join(holders, "doc_id", "left_semi"), width).dropDuplicates(["node"]), "texts")
 
-    def linked(pairs: DataFrame) -> DataFrame:
+    def compared(pairs: DataFrame) -> DataFrame:
         left = texts.select(F.col("node").alias("a"), F.col("text").alias("x"))
         right = texts.select(F.col("node").alias("b"), F.col("text").alias("y"))
-        return stage(_similar(pairs.join(left, "a").join(right, "b"), width, percent), "links")
+        return stage(_compared(pairs.join(left, "a").join(right, "b"), width), "compared")
 
-    stars = stage(members.where("node <> center").select(F.col("node").alias("a"), F.col("center").alias("b")).distinct(), "stars")
-    labels = components(linked(stars))
+    linked = F.expr(f"100 * common >= {percent} * (na + nb - common)")
+    stars = members.where("node <> center").select(F.col("node").alias("a"), F.col("center").alias("b")).distinct()
+    stars = compared(stars)
+    labels = components(stars.where(linked).select("a", "b"))
 
     placed = members.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
     mixed = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
     mixed = placed.join(mixed.select("key"), "key").select("node", "label").distinct()
-    fine = stage(_fine_keys(texts.join(mixed, "node"), width), "fine").select("node", "label", F.explode("bands").alias("key"))
-    one = fine.select("key", F.col("node").alias("a"), F.col("label").alias("la"))
-    two = fine.select("key", F.col("node").alias("b"), F.col("label").alias("lb"))
-    rest = one.join(two, "key").where("a > b AND la <> lb").groupBy("a", "b").agg(F.first("la").alias("la"), F.first("lb").alias("lb"))
-    rest = stage(rest.join(stars, ["a", "b"], "left_anti"), "rest")
-    more = linked(rest.select("a", "b")).join(rest, ["a", "b"]).select(F.col("la").alias("a"), F.col("lb").alias("b"))
+    mixed_texts = stage(texts.join(mixed, "node"), "mixed")
+    # each node's smallest center, how far it is from it (shingles that one of them has alone), and its own shingles
+    away = stars.groupBy(F.col("a").alias("node")).agg(
+        F.min(F.struct(F.col("b").alias("pivot"), (F.col("na") + F.col("nb") - 2 * F.col("common")).alias("far"), F.col("na").alias("size"))).alias("p")
+    )
+    away = stage(mixed_texts.select("node").join(away, "node"), "away")
+    around = mixed_texts.select("node").unionAll(away.select("p.pivot")).distinct()  # own shingles are in no center either
+    own = _own_shingles(texts.join(around, "node"), width)
+    known = (
+        mixed_texts.select("node", "label").join(away, "node", "left").join(own, "node", "left")
+        .select("node", "label", F.coalesce("p.pivot", "node").alias("pivot"), F.coalesce("p.far", F.lit(0)).alias("far"),
+                F.col("p.size").alias("size"), F.coalesce("own", F.lit(0)).alias("own"))
+    )
+    fine = stage(_fine_keys(mixed_texts, width).join(known, "node"), "fine")
+    fine = fine.select(F.explode("bands").alias("key"), "node", "label", "pivot", "far", "size", "own")
+    one, two = (fine.select("key", *[F.col(c).alias(f"{c}_{side}") for c in fine.columns[1:]]) for side in "ab")
+    apart = F.expr("far_a + far_b - 2 * least(far_a - own_a, far_b - own_b)")  # at least so many shingles differ
+    near = (F.col("pivot_a") != F.col("pivot_b")) | (apart * (100 + percent) <= (F.col("size_a") + F.col("size_b")) * (100 - percent))
+    cross = one.join(two, "key").where((F.col("node_a") > F.col("node_b")) & (F.col("label_a") != F.col("label_b")) & F.coalesce(near, F.lit(True)))
+    rest = cross.groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b")).agg(F.first("label_a").alias("la"), F.first("label_b").alias("lb"))
+    rest = stage(rest.join(stars.select("a", "b"), ["a", "b"], "left_anti"), "rest")
+    more = compared(rest.select("a", "b")).where(linked).join(rest, ["a", "b"]).select(F.col("la").alias("a"), F.col("lb").alias("b"))
     merged = components(more).select(F.col("node").alias("label"), F.col("label").alias("merged"))
 
     labels = labels.join(merged, "label", "left").select("node", F.coalesce("merged", "label").alias("label"))
