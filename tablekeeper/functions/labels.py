@@ -32,7 +32,6 @@ CHART_CLASSES = (
 )
 REVIEW_CHARS = 1000
 CHART_CHARS = 220
-RESULT_CHARS = 2000
 
 
 def is_success(status: Column) -> Column:
@@ -98,5 +97,6 @@ def lookup(column: Column, mapping: Mapping[str, str]) -> Column:
     return F.element_at(F.create_map(*pairs), column)
 
 
-def flag_oversized(size: Column, limit: int = 180_000) -> Column:
-    return size > F.lit(limit)
+def flag_oversized(size: Column, limit: int | None = None) -> Column:
+    """Rows over a limit the caller sets, in the unit of ``size``; without one no row is too large."""
+    return F.lit(False) if limit is None else F.coalesce(size > F.lit(limit), F.lit(False))

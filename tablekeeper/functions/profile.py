@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from operator import or_
 
@@ -34,9 +34,12 @@ LINES_PER_POINT = 200.0
 TIERS = (("complex", 4.0, 600), ("medium", 1.5, 150))
 DDL_TYPES = ("TABLE", "SCHEMA", "SYNONYM")
 
-# The wide form: EXEC( before a variable or literal and the TRANSACTION spelling count too.
+# The wide form: EXEC( before a variable or literal and the TRANSACTION spelling count too, and a cursor or a common
+# table expression may be declared over any distance.
 SIGNALS_WIDE = {
     **SIGNALS,
+    "has_cursor": r"\bDECLARE\b[^;]*?\bCURSOR\b",
+    "has_cte": r"\bWITH\b[\s\S]*?\bAS\s*\(",
     "has_dynamic_sql": r"\bEXEC(UTE)?\s*\(|\bsp_executesql\b",
     "has_transaction": r"\b(BEGIN|COMMIT)\s+TRAN(SACTION)?\b|\bROLLBACK\b",
 }
@@ -71,13 +74,16 @@ def strip_comments(text: Column) -> Column:
 
 def signal_flags(
     df: DataFrame, col: str, patterns: Mapping[str, str] = SIGNALS, *, prefix: str = "sig_",
-    needles: Mapping[str, Sequence[str]] = NEEDLES,
+    needles: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
     """One boolean column per pattern; word classes and case follow Unicode.
 
     ``needles`` gives lower-case words every match of a pattern must hold one
-    of; patterns without an entry are always tried.
+    of; patterns without an entry are always tried. By default the patterns of
+    this module have theirs, and a caller's own have none.
     """
+    if needles is None:
+        needles = {k: NEEDLES[k] for k, p in patterns.items() if k in NEEDLES and p in (SIGNALS.get(k), SIGNALS_WIDE.get(k))}
     odd = reduce(or_, [F.col(col).contains(c) for c in _ODD_LETTERS])
     df = df.withColumns({"_folded": F.lower(col), "_odd": odd})
 
@@ -98,13 +104,15 @@ def line_count(stripped: Column) -> Column:
 def weighted_score(loc: Column, flags: Mapping[str, Column], weights: Mapping[str, float] = WEIGHTS) -> Column:
     score = loc / F.lit(LINES_PER_POINT)
     for name, weight in weights.items():
-        score = score + F.lit(float(weight)) * flags[name].cast("int")
+        if name in flags:
+            score = score + F.lit(float(weight)) * flags[name].cast("int")
     return score
 
 
 def force_flag(flags: Mapping[str, Column]) -> Column:
     """Cursor, dynamic SQL, or a temp table together with a loop."""
-    return flags["has_cursor"] | flags["has_dynamic_sql"] | (flags["has_temp_table"] & flags["has_while"])
+    has = {k: flags.get(k, F.lit(False)) for k in ("has_cursor", "has_dynamic_sql", "has_temp_table", "has_while")}
+    return has["has_cursor"] | has["has_dynamic_sql"] | (has["has_temp_table"] & has["has_while"])
 
 
 def target_form(object_type: Column, force: Column) -> Column:
@@ -125,20 +133,22 @@ def tier(object_type: Column, score: Column, loc: Column, rules=TIERS, default:
 
 
 def profile_text(
-    df: DataFrame, text: str, object_type: str, patterns: Mapping[str, str] = SIGNALS
+    df: DataFrame, text: str, object_type: str, patterns: Mapping[str, str] = SIGNALS, *,
+    weights: Mapping[str, float] = WEIGHTS, force: Callable[[Mapping[str, Column]], Column] = force_flag,
 ) -> DataFrame:
     """Add ``loc``, ``target_form``, ``complexity_tier``, ``complexity_score`` and the signals.
 
-    The stripped text is a column of its own, so it is computed once per row.
+    Patterns of the caller's own come with ``weights`` by their names and a rule that forces the procedural form; names
+    without a pattern count as not found. The stripped text is a column of its own, so it is computed once per row.
     """
     flagged = signal_flags(df.withColumn("_clean", strip_noise(F.col(text))), "_clean", patterns)
     flagged = flagged.withColumn("loc", line_count(F.col("_clean"))).drop("_clean")
     flags = {k: F.col(f"sig_{k}") for k in patterns}
-    scored = flagged.withColumn("_score", weighted_score(F.col("loc"), flags))
+    scored = flagged.withColumn("_score", weighted_score(F.col("loc"), flags, weights))
     kind = F.col(object_type)
     return scored.withColumns(
         {
-            "target_form": target_form(kind, force_flag(flags)),
+            "target_form": target_form(kind, force(flags)),
             "complexity_tier": tier(kind, F.col("_score"), F.col("loc")),
             "complexity_score": F.round("_score", 2),
         }

@@ -64,13 +64,14 @@ def len_(text: Column, *, ignore_trailing: bool = False) -> Column:
     return F.length(F.rtrim(text) if ignore_trailing else text)
 
 
-def datalength(text: Column) -> Column:
-    return F.length(text)
+def datalength(text: Column, *, in_bytes: bool = False) -> Column:
+    """Length in characters, as scripts mean it once text has no code page; ``in_bytes`` counts UTF-8 bytes."""
+    return F.octet_length(text) if in_bytes else F.length(text)
 
 
 def charindex(sub: Column | str, text: Column, start: Column | int = 1) -> Column:
-    """1-based place of ``sub`` from ``start`` on, 0 if absent."""
-    start = start if isinstance(start, Column) else F.lit(start)
+    """1-based place of ``sub`` from ``start`` on, 0 if absent; a start below 1 counts as 1."""
+    start = F.greatest(start if isinstance(start, Column) else F.lit(start), F.lit(1))
     sub = sub if isinstance(sub, Column) else F.lit(sub)
     return F.position(sub, text, start)
 

@@ -154,8 +154,8 @@ def infer_business_key(columns_meta: DataFrame, keys_meta: DataFrame, *, table:
     # a table may own a large share of the columns: the flag is joined in salted form
     plain = spread_join(
         columns_meta.where(
-            ~F.col("row_start") & ~F.col("row_end") & ~F.col("identity")
-            & ~F.upper("name").startswith(AUDIT_PREFIX)
+            ~F.coalesce("row_start", F.lit(False)) & ~F.coalesce("row_end", F.lit(False))
+            & ~F.coalesce("identity", F.lit(False)) & ~F.upper("name").startswith(AUDIT_PREFIX)
         ),
         has_key, [table], salt_by=[table, "name"],
     )

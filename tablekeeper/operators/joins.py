@@ -31,23 +31,40 @@ def null_safe(left: str, right: str, keys: Sequence[str]) -> Column:
     )
 
 
+PER_SALT = 1_000_000
+"""Rows of one key that one task takes."""
+
+
 def spread_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    *,
-    salt_by: Sequence[str],
-    how: str = "left",
-    salts: int = 16,
+    left: DataFrame, right: DataFrame, on: Sequence[str], *, salt_by: Sequence[str], how: str = "left",
+    per_salt: int = PER_SALT,
 ) -> DataFrame:
-    """Equi join for a left side in which a key (or NULL) may hold most rows.
+    """Left or inner equi join for a left side in which a key (or NULL) may hold most rows.
 
-    Every left row gets one of ``salts`` numbers from its ``salt_by`` columns
-    (an id), the right side - unique on ``on`` - is repeated once per number.
-    A hot key thus spreads over ``salts`` tasks; when the right side turns out
-    small at run time, adaptive execution broadcasts it instead.
+    Rows with a NULL key match nothing and bypass the join. Keys are counted first (map-side); one with more than
+    ``per_salt`` rows gets as many salts as it has shares of that size, which its left rows draw from their ``salt_by``
+    columns (an id), and only such keys of the right side - unique on ``on`` - are repeated. There is at most one such
+    key per ``per_salt`` rows, so their list is broadcast.
     """
-    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int"))
-    numbers = F.array(*[F.lit(i) for i in range(salts)])
-    repeated = right.withColumn("_salt", F.explode(numbers))
-    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+    if how not in ("left", "inner"):
+        raise ValueError("how must be 'left' or 'inner'")
+    whole = reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in on])
+    named = left.where(whole)
+    counts = named.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > per_salt)
+    hot = counts.select(*on, F.ceil(F.col("_n") / per_salt).cast("int").alias("_salts"))
+    salts = F.coalesce("_salts", F.lit(1))
+    salted = named.join(F.broadcast(hot), list(on), "left").withColumn("_salt", F.pmod(F.xxhash64(*salt_by), salts).cast("int")).drop("_salts")
+    repeated = right.join(F.broadcast(hot), list(on), "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
+    joined = salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+    if how == "inner":
+        return joined
+    return joined.unionByName(left.where(~whole), allowMissingColumns=True)
+
+
+MARK_BYTES = 8 << 20
+
+
+def small_side(keys: DataFrame, limit: int = MARK_BYTES) -> DataFrame:
+    """Broadcast a side whose bytes, as counted now, stay below ``limit``; a larger one is left to adaptive execution."""
+    size = keys.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))) + F.lit(32))).first()[0] or 0
+    return F.broadcast(keys) if size <= limit else keys

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import assert_unique
+from .joins import assert_unique, null_safe, small_side
 
 
 def merge_update(
@@ -24,14 +26,15 @@ def merge_update(
     ``set_exprs`` maps target columns to expressions over the aliases ``t``
     (target row) and ``s`` (source row), e.g. ``{"attempt": F.col("t.attempt") + 1}``.
     ``target_pred`` limits the rows that can match. Keys compare with ``=``, so
-    NULL keys never match. The source must be unique on ``keys``.
+    NULL keys never match and such target rows pass by the join. The source must be unique on ``keys``.
     """
     if check:
         assert_unique(source, keys, "merge source", skip_null=True)
     unknown = set(set_exprs) - set(target.columns)
     if unknown:
         raise ValueError(f"not in target: {sorted(unknown)}")
-    t = target.alias("t")
+    whole = reduce(and_, [F.col(f"`{k}`").isNotNull() for k in keys])
+    t = target.where(whole).alias("t")
     s = source.withColumn("_hit", F.lit(True)).alias("s")
     on = F.lit(True) if target_pred is None else target_pred
     for k in keys:
@@ -45,23 +48,26 @@ def merge_update(
         new = set_exprs[field.name].cast(field.dataType)
         return F.when(hit, new).otherwise(old).alias(field.name)
 
-    return t.join(s, on, "left").select(*[cell(f) for f in target.schema])
+    return t.join(s, on, "left").select(*[cell(f) for f in target.schema]).unionByName(target.where(~whole))
 
 
 def append_new(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Target plus those rows whose key it does not hold yet."""
+    """Target plus those rows whose key it does not hold yet; a NULL key is held like any other."""
     return target.unionByName(new_rows(target, rows, keys), allowMissingColumns=True)
 
 
 def new_rows(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The rows ``append_new`` adds; what to write when the target is a stored table."""
-    held = target.select(*keys).distinct()
-    return rows.join(held, list(keys), "left_anti").select(*rows.columns)
+    held = target.select(*keys).distinct().alias("h")
+    return rows.alias("r").join(held, null_safe("r", "h", keys), "left_anti").select(*rows.columns)
 
 
 def replace_where(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Delete the target rows of every key value in ``rows``, then insert ``rows``."""
-    gone = rows.select(*keys).distinct()
+    """Delete the target rows of every key value in ``rows``, then insert ``rows``.
+
+    Few key values are broadcast, so whole target rows are not shuffled by a key of few values.
+    """
+    gone = small_side(rows.select(*keys).distinct())
     kept = target.join(gone, list(keys), "left_anti").select(*target.columns)
     return kept.unionByName(rows, allowMissingColumns=True)
 

@@ -9,8 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.labels import FAILING, RESULT_CHARS
-from .joins import spread_join
+from ..functions.labels import FAILING
+from .joins import null_safe, spread_join
 from .ranking import SMALL
 from .sample import dependency_stage, prefix_sample
 
@@ -23,9 +23,13 @@ BUILD_ORDER = ("SCHEMA", "TABLE", "SYNONYM", "FUNCTION", "VIEW", "PROCEDURE")
 TRANSIENT = "rejected from java.util.concurrent"
 
 
+# Fixed value: how an engine quotes a name; a name is ASCII letters, digits and underscores.
+_NAME, _DOT = "[A-Za-z0-9_]+", r"`?\s*\.\s*`?"
+
+
 def missing_name_pattern(prefix: str) -> str:
     """Object name (group 1) behind a prefixed schema in an error text."""
-    return re.escape(prefix) + r"[A-Za-z0-9_]+`?\s*\.\s*`?([A-Za-z0-9_]+)"
+    return f"{re.escape(prefix)}{_NAME}{_DOT}({_NAME})"
 
 
 def inventory_names(inventory: DataFrame, name: str) -> DataFrame:
@@ -39,13 +43,13 @@ def classify_outcomes(
     """Add ``valid_status`` to outcomes (``state``, ``error``).
 
     A not-found error with a readable name is ``sound_dep`` if the inventory
-    holds the name and ``unresolved_ext_dep`` if not; other failures are ``fail``.
+    holds the name and ``unresolved_ext_dep`` if not; other failures are ``fail``. A NULL state is no success.
     Many errors may name one object and most rows name none, so the inventory is
     joined in salted form.
     """
     coded = reduce(lambda a, b: a | b, [F.col("error").contains(c) for c in NOT_FOUND])
     found = F.lower(F.regexp_extract("error", pattern, 1))
-    open_case = ~F.col("state").isin(PASSED, *BROKEN) & coded
+    open_case = ~F.coalesce(F.col("state").isin(PASSED, *BROKEN), F.lit(False)) & coded
     named = outcomes.withColumn("_name", F.when(open_case & (found != ""), found))
     known = inventory_names(inventory, name).withColumn("_known", F.lit(True))
     joined = spread_join(named, known, ["_name"], salt_by=[key])
@@ -76,23 +80,29 @@ def referenced_namespaces(
 def resolve_references(
     df: DataFrame, key: Sequence[str], col: str, pattern: str, inventory: DataFrame, *, name: str
 ) -> DataFrame:
-    """Per row: references found, references the inventory holds, and whether it holds them all."""
+    """Per row of ``df``: references found, references the inventory holds, and whether it holds them all.
+
+    A row without references or text has none, all of them held. ``key`` must identify a row.
+    """
     refs = extract_references(df, key, col, pattern)
     known = inventory_names(inventory, name).withColumn("_known", F.lit(True))
     joined = spread_join(refs, known, ["_name"], salt_by=list(key))
     counted = joined.groupBy(*key).agg(
         F.count(F.lit(1)).alias("n_refs"), F.count("_known").alias("n_known")
     )
-    return counted.withColumn("all_known", F.col("n_refs") == F.col("n_known"))
+    every = df.select(*key).alias("d").join(counted.alias("c"), null_safe("d", "c", key), "left")
+    n_refs, n_known = (F.coalesce(F.col(f"c.{c}"), F.lit(0)).alias(c) for c in ("n_refs", "n_known"))
+    return every.select(*[F.col(f"d.`{k}`") for k in key], n_refs, n_known).withColumn("all_known", F.col("n_refs") == F.col("n_known"))
 
 
 def validation_set(
     objects: DataFrame, fraction: float, *, key: str = "object_id", order: Sequence[str] = BUILD_ORDER,
     small: int = SMALL,
 ) -> DataFrame:
-    """Objects to check: not oversized, converted, the leading fraction of each type, with a build stage."""
-    ready = objects.where(~F.col("oversized") & F.col("converted_code").isNotNull())
-    ready = ready.withColumn("stage_no", dependency_stage(F.col("object_type"), order)).where("stage_no > 0")
+    """Objects to check: converted, the leading fraction of each type, with a build stage; unknown types come last."""
+    ready = objects.where(F.col("converted_code").isNotNull())
+    place = dependency_stage(F.col("object_type"), order)
+    ready = ready.withColumn("stage_no", F.when(place > 0, place).otherwise(len(order) + 1))
     return prefix_sample(ready, ["object_type"], [key], fraction, small=small)
 
 
@@ -102,7 +112,7 @@ def to_results(outcomes: DataFrame, run_ts: str | Column, fraction: float | Colu
     share = fraction if isinstance(fraction, Column) else F.lit(float(fraction))
     return outcomes.select(
         run.alias("run_ts"), share.cast("double").alias("fraction"), "object_id", "object_type", "full_name",
-        "valid_status", F.substring(F.coalesce("error", F.lit("")), 1, RESULT_CHARS).alias("valid_error"),
+        "valid_status", F.coalesce("error", F.lit("")).alias("valid_error"),
     )
 
 

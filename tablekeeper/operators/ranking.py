@@ -36,13 +36,24 @@ def _descending(column: Column, kind: T.DataType) -> list[Column]:
         return [missing, ~column]
     if isinstance(kind, T.DateType):
         return [missing, F.bitwise_not(F.unix_date(column))]
-    if isinstance(kind, (T.StringType, T.TimestampType, T.TimestampNTZType)):
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return [missing, F.bitwise_not(_micros(column, kind))]
+    if isinstance(kind, T.StringType):
         # complement of the hex digits; the closing G ranks a prefix behind its extensions
         digits = F.hex(F.encode(column.cast("string"), "UTF-8"))
         return [missing, F.concat(F.translate(digits, "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("G"))]
     raise TypeError(f"no descending order for {kind.simpleString()}")
 
 
+def _micros(column: Column, kind: T.DataType) -> Column:
+    """Microseconds since 1970, which order as the timestamps do in any zone."""
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(column)
+    day = F.unix_date(column.cast("date")).cast("long") * 86_400
+    seconds = day + F.hour(column) * 3_600 + F.minute(column) * 60
+    return seconds * 1_000_000 + (F.date_part(F.lit("SECOND"), column) * 1_000_000).cast("long")
+
+
 def sort_key(df: DataFrame, order: Sequence[str]) -> Column:
     """One ascending struct for an order such as ``["-l_quantity", "l_orderkey"]``; a minus sign means descending.
 
@@ -55,7 +66,7 @@ def sort_key(df: DataFrame, order: Sequence[str]) -> Column:
         if item.startswith("-"):
             parts += _descending(column, df.schema[name].dataType)
         elif isinstance(df.schema[name].dataType, (T.TimestampType, T.TimestampNTZType)):
-            parts.append(column.cast("string"))
+            parts.append(_micros(column, df.schema[name].dataType))
         else:
             parts.append(column)
     return F.struct(*[c.alias(f"k{i}") for i, c in enumerate(parts)])

@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.labels import FAILING, RESULT_CHARS
+from ..functions.labels import FAILING
 from ..functions.rewrite import clean_output, is_python, looks_truncated, strip_prefix
 from ..sources.tables import stage
 from .merge import merge_update
@@ -59,40 +59,42 @@ def repair_until(
     ``check_fn(fixes)`` gets ``object_id, object_type, code`` and returns
     ``object_id, valid_status, valid_error``. A fix that is cut off is dropped,
     any other replaces the prior text and raises ``attempt``, even if it fails again.
-    Both relations are written once per pass, so a lost executor repeats at most
-    one pass and no repair is called twice.
+    Only the failing objects go through the passes; each pass writes them once, so a
+    lost executor repeats at most one pass and no repair is called twice. Both
+    relations take over the outcome in one merge at the end.
     """
     of_run = F.col("run_ts") == run_ts
+    errors = results.where(of_run & F.col("valid_status").isin(*FAILING)).select("object_id", "valid_status", "valid_error")
+    known = converted.select("object_id", "object_type", "full_name", "converted_code", "attempt")
+    live = stage(errors.join(known, "object_id"), "failing")
     for number in range(passes):
-        errors = results.where(of_run & F.col("valid_status").isin(*FAILING)).select("object_id", "valid_error")
-        failing = errors.join(
-            converted.select("object_id", "object_type", "full_name", "converted_code"), "object_id"
-        )
+        failing = live.where(F.col("valid_status").isin(*FAILING))
         if failing.isEmpty():
             break
         answered = repair_fn(repair_context(failing, prefix), number)
         fixes = answered.select(
             "object_id", "object_type", strip_prefix(clean_output(F.col("fixed")), prefix).alias("code")
         )
-        # the answers are written before they are read for the check and both merges
+        # the answers are written before they are read for the check and the merges
         fixes = stage(fixes.where(~looks_truncated(F.col("code"))), "fixes")
         checked = stage(check_fn(fixes).select("object_id", "valid_status", "valid_error"), "checked")
-        converted = stage(
-            merge_update(
-                converted, fixes, ["object_id"],
-                {"converted_code": F.col("s.code"), "attempt": F.col("t.attempt") + 1},
-            ),
-            "converted",
+        fixed = merge_update(
+            live, fixes, ["object_id"], {"converted_code": F.col("s.code"), "attempt": F.col("t.attempt") + 1}
         )
-        results = stage(
+        live = stage(
             merge_update(
-                results, checked, ["object_id"],
-                {
-                    "valid_status": F.col("s.valid_status"),
-                    "valid_error": F.substring(F.coalesce("s.valid_error", F.lit("")), 1, RESULT_CHARS),
-                },
-                target_pred=F.col("t.run_ts") == run_ts,
+                fixed, checked, ["object_id"],
+                {"valid_status": F.col("s.valid_status"), "valid_error": F.coalesce("s.valid_error", F.lit(""))},
             ),
-            "results",
+            "failing",
         )
+    converted = merge_update(
+        converted, live, ["object_id"],
+        {"converted_code": F.col("s.converted_code"), "attempt": F.col("s.attempt")},
+    )
+    results = merge_update(
+        results, live, ["object_id"],
+        {"valid_status": F.col("s.valid_status"), "valid_error": F.col("s.valid_error")},
+        target_pred=F.col("t.run_ts") == run_ts,
+    )
     return converted, results

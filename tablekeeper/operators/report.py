@@ -116,20 +116,20 @@ def generated_only(source: DataFrame, converted: DataFrame, key: str = "object_i
     return extra.groupBy("object_type").agg(F.count(F.lit(1)).alias("generated_n"))
 
 
-def review_queue(results: DataFrame, converted: DataFrame) -> DataFrame:
-    """Every failing object with its method, error class and one-line error."""
+def review_queue(results: DataFrame, converted: DataFrame, n: int = REVIEW_CHARS) -> DataFrame:
+    """Every failing object with its method (NULL if it is not among ``converted``), error class and one-line error."""
     failing = results.where(F.col("valid_status").isin(*FAILING))
     label = classify_text(F.col("valid_error"), REVIEW_CLASSES, status=F.col("valid_status"))
-    return failing.join(converted.select("object_id", "method"), "object_id").select(
+    return failing.join(converted.select("object_id", "method"), "object_id", "left").select(
         "object_type", "full_name", "method", label.alias("error_class"), "valid_status",
-        excerpt(F.col("valid_error"), REVIEW_CHARS).alias("error_detail"),
+        excerpt(F.col("valid_error"), n).alias("error_detail"),
     )
 
 
-def review_list(rows: DataFrame) -> DataFrame:
+def review_list(rows: DataFrame, n: int = CHART_CHARS) -> DataFrame:
     """Failing objects with a short error, for a table on a screen."""
     return rows.where(F.col("valid_status").isin(*FAILING)).select(
-        "object_type", "full_name", excerpt(F.col("valid_error"), CHART_CHARS).alias("error")
+        "object_type", "full_name", excerpt(F.col("valid_error"), n).alias("error")
     )
 
 

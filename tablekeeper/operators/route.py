@@ -16,36 +16,51 @@ SKIPPED = "skipped"
 EMPTY = "empty"
 DETERMINISTIC, INFERRED = "sqlglot", "ai"
 
+OVERSIZED = "oversized"
+
 BatchFn = Callable[[pd.Series], Sequence]
 
 
+def call_halving(fn: BatchFn, batch: pd.Series, values: pd.Series, errors: pd.Series) -> None:
+    """Fill ``values`` and ``errors`` for a batch; a batch that fails is tried in halves.
+
+    One failing row of n thus costs about 2 * log2(n) calls more.
+    """
+    try:
+        values.loc[batch.index] = list(fn(batch))
+    except Exception as failure:
+        if len(batch) == 1:
+            errors.loc[batch.index] = str(failure)
+            return
+        middle = len(batch) // 2
+        call_halving(fn, batch.iloc[:middle], values, errors)
+        call_halving(fn, batch.iloc[middle:], values, errors)
+
+
+def _nothing(n: int) -> pd.Series:
+    return pd.Series([None] * n, dtype=object)
+
+
 def try_map(
     df: DataFrame, fn: BatchFn, col: str, eligible: Column, *, value: str = "value", error: str = "error"
 ) -> DataFrame:
     """Map a text column by a batch function that may fail, as columns ``value`` and ``error``.
 
     Rows that are not eligible (or empty) are ``skipped`` and never reach Python.
-    Only the text column travels there, in Arrow batches. If a batch raises,
-    its rows are tried one by one, so an error stays with the row that caused it.
+    Only the text column travels there, in Arrow batches. If a batch raises, it is
+    tried in halves, so an error stays with the row that caused it.
     """
 
     def run(texts: pd.Series) -> pd.DataFrame:
-        out = pd.DataFrame({"value": [None] * len(texts), "error": [None] * len(texts)}, dtype=object)
+        values, errors = _nothing(len(texts)), _nothing(len(texts))
         live = texts.reset_index(drop=True).dropna()
         if len(live):
-            try:
-                out.loc[live.index, "value"] = list(fn(live))
-            except Exception:
-                for i, text in live.items():
-                    try:
-                        out.at[i, "value"] = list(fn(pd.Series([text])))[0]
-                    except Exception as failure:
-                        out.at[i, "error"] = str(failure)[:300]
-            missing = out.loc[live.index, "value"].isin([None, ""]) & out.loc[live.index, "error"].isna()
+            call_halving(fn, live, values, errors)
+            missing = values.loc[live.index].isin([None, ""]) & errors.loc[live.index].isna()
             hit = missing[missing].index
-            out.loc[hit, "value"] = None
-            out.loc[hit, "error"] = "empty"
-        return out
+            values.loc[hit] = None
+            errors.loc[hit] = EMPTY
+        return pd.DataFrame({"value": values, "error": errors})
 
     mapper = F.pandas_udf(run, "value string, error string").asNondeterministic()
     usable = F.coalesce(eligible & (F.length(F.col(col)) > 0), F.lit(False))
@@ -61,7 +76,10 @@ def route_misses(
     requests: DataFrame, done: DataFrame, key: str, *, oversized: str | None = None,
     template: str | None = None, error_prefix: str | None = None,
 ) -> DataFrame:
-    """Requests still to do: not oversized, template present and no error marker, key not done."""
+    """Requests still to do: template present and no error marker, key not done.
+
+    Rows that ``oversized`` marks are left out of the calls; ``merge_outputs`` keeps them with that as their error.
+    """
     rows = requests
     if oversized:
         rows = rows.where(~F.col(oversized))
@@ -92,21 +110,14 @@ def batch_infer(
 
     def run(tiers: pd.Series, texts: pd.Series) -> pd.DataFrame:
         tiers, texts = tiers.reset_index(drop=True), texts.reset_index(drop=True)
-        got = pd.DataFrame({"result": [None] * len(texts), "errorMessage": [None] * len(texts)}, dtype=object)
+        values, errors = _nothing(len(texts)), _nothing(len(texts))
         for name, batch in texts.groupby(tiers, dropna=False):
             fn = functions.get(name)
             if fn is None:
-                got.loc[batch.index, "errorMessage"] = f"no function for tier {name}"
-                continue
-            try:
-                got.loc[batch.index, "result"] = list(fn(batch, limits[name]))
-            except Exception:
-                for i, text in batch.items():
-                    try:
-                        got.at[i, "result"] = list(fn(pd.Series([text]), limits[name]))[0]
-                    except Exception as failure:
-                        got.at[i, "errorMessage"] = str(failure)[:300]
-        return got
+                errors.loc[batch.index] = f"no function for tier {name}"
+            else:
+                call_halving(lambda rows, fn=fn, cap=limits[name]: fn(rows, cap), batch, values, errors)
+        return pd.DataFrame({"result": values, "errorMessage": errors})
 
     infer = F.pandas_udf(run, "result string, errorMessage string").asNondeterministic()
     rows = df.repartition(partitions) if partitions else df
@@ -129,10 +140,15 @@ def with_audit(df: DataFrame, *, attempt: int = 1, stamp: str = "converted_at")
 def merge_outputs(requests: DataFrame, deterministic: DataFrame, inferred: DataFrame, key: str) -> DataFrame:
     """Requests with the value of the deterministic pass, else of inference, and where it came from.
 
-    ``deterministic`` holds key and ``value``; ``inferred`` key, ``result`` and ``errorMessage``.
+    ``deterministic`` holds key and ``value``; ``inferred`` key, ``result`` and ``errorMessage``. Requests marked in a
+    column ``oversized`` that got no value have that as their ``convert_error``.
     """
     first = deterministic.select(key, F.col("value").alias("_det"))
     second = inferred.select(key, F.col("result").alias("_inf"), F.col("errorMessage").alias("convert_error"))
     value, method = coalesce_with_provenance([(DETERMINISTIC, F.col("_det")), (INFERRED, F.col("_inf"))])
     joined = requests.join(first, key, "left").join(second, key, "left")
-    return joined.withColumns({"method": method, "raw_code": value}).drop("_det", "_inf")
+    columns = {"method": method, "raw_code": value}
+    if OVERSIZED in requests.columns:
+        too_large = F.when(F.col(OVERSIZED) & value.isNull(), F.lit(OVERSIZED))
+        columns["convert_error"] = F.coalesce("convert_error", too_large)
+    return joined.withColumns(columns).drop("_det", "_inf")

@@ -112,6 +112,7 @@ def scd2_step(
         raise ValueError("deletes must be 'keep' or 'close'")
     if check:
         assert_unique(source, key, "scd2 source")
+        assert_unique(current, key, "open versions")
     schema = current.schema
     at = _at(effective_at, schema[window.start].dataType)
     forever = _at(OPEN_END, schema[window.end].dataType)
@@ -174,13 +175,13 @@ def scd2_apply(
     deletes: str = "keep",
     check: bool = True,
 ) -> DataFrame:
-    """History after one snapshot. Closed versions pass by the join untouched.
+    """History after one snapshot. Closed versions (also those whose flag is NULL) pass by the join untouched.
 
     Keys absent from the source stay open unless ``deletes="close"``; applying
     the same snapshot twice changes nothing.
     """
-    current = dim.where(F.col(window.current))
-    closed = dim.where(~F.col(window.current))
+    is_open = F.coalesce(F.col(window.current), F.lit(False))
+    current, closed = dim.where(is_open), dim.where(~is_open)
     step = scd2_step(
         current, source, key, track, effective_at, window=window, deletes=deletes, check=check
     )

@@ -10,16 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.tables import spread
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def corpus(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A text table, for work that is bound by the processor."""
-    return spread(table(spark, sf_dir, name))
+    """A text table. How many tasks read it is set by the session (``spark.sql.files.*``)."""
+    return table(spark, sf_dir, name)
 
 
 def cols(df: DataFrame, exprs: dict[str, str]) -> DataFrame:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import labels as L
 from ..operators import outcome as O
 from ..operators import repair as Fix
 from ..operators import route as R
-from ..sources.tables import map_table, observe_counts, stage
+from ..sources.tables import map_table, observe_counts, rows_df, stage
 from .common import RESULTS_SQL, TYPE, cols, results, sql_cols, corpus, table
 
 # One document stands for one request.
@@ -17,13 +19,13 @@ _REQUEST = {
     "object_type": TYPE,
     "complexity_tier": "CASE WHEN n_chars < 300 THEN 'trivial' WHEN n_chars < 1000 THEN 'simple' WHEN n_chars < 5000 THEN 'medium' ELSE 'complex' END",
     "source_bytes": "n_chars",
-    "prompt": "CASE WHEN doc_id % 17 = 0 THEN NULL WHEN doc_id % 19 = 0 THEN 'ERROR: no form' ELSE text END",
+    "prompt": "CASE WHEN doc_id % 17 = 0 THEN NULL WHEN doc_id % 19 = 0 THEN 'ERROR: no form' "
+              "WHEN doc_id % 23 = 0 THEN 'FAULT ' || text ELSE text END",
 }
 
 
 def _requests(spark, sf):
-    rows = cols(corpus(spark, sf, "documents"), _REQUEST)
-    return rows.withColumn("oversized", L.flag_oversized(F.col("source_bytes"), 8000))
+    return cols(corpus(spark, sf, "documents"), _REQUEST)
 
 
 def _done(spark, sf):
@@ -32,8 +34,7 @@ def _done(spark, sf):
 
 def q_misses(spark, sf):
     rows = R.route_misses(
-        _requests(spark, sf), _done(spark, sf), "object_id", oversized="oversized", template="prompt",
-        error_prefix="ERROR",
+        _requests(spark, sf), _done(spark, sf), "object_id", template="prompt", error_prefix="ERROR",
     )
     return rows.select("object_id", "complexity_tier", "source_bytes")
 
@@ -41,19 +42,18 @@ def q_misses(spark, sf):
 def q_lookup(spark, sf):
     rows = _requests(spark, sf)
     ends = {"trivial": "small-model", "simple": "mid-model", "medium": "mid-model"}
-    return rows.select("object_id", L.lookup(F.col("complexity_tier"), ends).alias("endpoint"), "oversized")
+    return rows.select("object_id", L.lookup(F.col("complexity_tier"), ends).alias("endpoint"))
 
 
 def _deterministic(spark, sf):
-    """A batch function that cannot take long texts and finds nothing in some."""
+    """A batch function that fails for some texts and finds nothing in others."""
 
-    def shorten(texts):
-        if (texts.str.len() > 2000).any():
-            raise ValueError("text too long")
-        return [">" + t[:20] if "tion" in t else "" for t in texts]
+    def mark(texts):
+        if texts.str.startswith("FAULT").any():
+            raise ValueError("injected fault")
+        return [">" + t + "<" if "tion" in t else "" for t in texts]
 
-    rows = _requests(spark, sf).where("not oversized")
-    return R.try_map(rows, shorten, "prompt", F.col("object_type").isin("TABLE", "VIEW", "SCHEMA"))
+    return R.try_map(_requests(spark, sf), mark, "prompt", F.col("object_type").isin("TABLE", "VIEW", "SCHEMA"))
 
 
 def q_try_map(spark, sf):
@@ -63,22 +63,19 @@ def q_try_map(spark, sf):
 def _functions():
     def measured(name):
         def call(texts, cap):
-            if (texts.str.len() > cap).any():
-                raise ValueError(f"over {cap}")
-            return [f"{name}:{len(t)}" for t in texts]
+            if texts.str.startswith("FAULT").any():
+                raise ValueError(f"injected fault under {cap}")
+            return [f"{name}:{cap}:{len(t)}" for t in texts]
 
         return call
 
-    return {name: measured(name) for name in ("trivial", "simple", "medium")}
-
-
-_CAPS = {"trivial": 280, "simple": 900, "medium": 4000}
+    return {name: measured(name) for name in ("trivial", "simple", "medium", "complex")}
 
 
 def _inferred(spark, sf):
     rows = _requests(spark, sf).where("prompt is not null")
     called = map_table(
-        rows, lambda df: R.batch_infer(df, _functions(), "complexity_tier", "prompt", caps=_CAPS), 8
+        rows, lambda df: R.batch_infer(df, _functions(), "complexity_tier", "prompt"), 8
     )
     return called.select("object_id", "complexity_tier", "resp.*")
 
@@ -97,9 +94,15 @@ def q_provenance(spark, sf):
 
 
 def q_observed(spark, sf):
-    """Counts taken on the way; the rows themselves come out unchanged."""
-    rows, _ = observe_counts(_requests(spark, sf), "requests", chars=F.sum("source_bytes"))
-    return rows.groupBy("complexity_tier").agg(F.count(F.lit(1)).alias("n"))
+    """Counts taken on the way, while another aggregate runs."""
+    rows, seen = observe_counts(_requests(spark, sf), f"requests-{uuid.uuid4().hex}", chars=F.sum("source_bytes"))
+    tiers = rows.groupBy("complexity_tier").agg(F.count(F.lit(1)).alias("n")).count()
+    return rows_df(spark, [(seen.get["n"], seen.get["chars"], tiers)], "n long, chars long, tiers long")
+
+
+def q_audit(spark, sf):
+    audited = R.with_audit(_requests(spark, sf).select("object_id"), attempt=2)
+    return audited.select("object_id", "attempt", (F.col("converted_at") > "2020-01-01").alias("stamped"))
 
 
 # --- outcomes ---------------------------------------------------------------
@@ -113,7 +116,8 @@ _OUTCOME = {
     "object_id": "CAST(event_id AS STRING)", "object_type": "event_type",
     "full_name": "'dbo.' || CAST(event_id AS STRING)",
     "state": "CASE WHEN value < 20 THEN 'SUCCEEDED' WHEN value < 25 THEN 'CANCELED' WHEN value < 28 THEN 'SUBMIT_ERR' ELSE 'FAILED' END",
-    "error": f"CASE WHEN value < 20 THEN NULL ELSE {_MISSING} END",
+    # every seventh error is long, and what counts stands at its end
+    "error": f"CASE WHEN value < 20 THEN NULL WHEN event_id % 7 = 0 THEN repeat('trace line ', 300) || {_MISSING} ELSE {_MISSING} END",
 }
 _INVENTORY = "SELECT 'OBJ' || CAST(c_custkey AS STRING) AS object_name FROM customer WHERE c_custkey % 2 = 0"
 
@@ -138,13 +142,14 @@ def q_retry(spark, sf):
     return O.retry_set(results(spark, sf), "PARSE_SYNTAX", object_type="click").select("object_id", "valid_status")
 
 
-_OBJECT = {**_REQUEST, "converted_code": "CASE WHEN doc_id % 23 <> 0 THEN text END"}
+_OBJECT = {
+    **_REQUEST, "object_type": f"CASE WHEN doc_id % 31 = 0 THEN 'TRIGGER' ELSE {TYPE} END",
+    "converted_code": "CASE WHEN doc_id % 23 <> 0 THEN text END",
+}
 
 
 def q_validation_set(spark, sf):
-    rows = cols(corpus(spark, sf, "documents"), _OBJECT)
-    rows = rows.withColumn("oversized", L.flag_oversized(F.col("source_bytes"), 8000))
-    return O.validation_set(rows, 0.5).select("object_id", "object_type", "stage_no")
+    return O.validation_set(cols(corpus(spark, sf, "documents"), _OBJECT), 0.5).select("object_id", "object_type", "stage_no")
 
 
 _PY = "CASE doc_id % 3 WHEN 0 THEN 'create or  replace function f() ' || text WHEN 1 THEN text ELSE 'CREATE PROCEDURE IF ' || text END"
@@ -208,21 +213,20 @@ def q_context(spark, sf):
 
 QUERIES = {
     "route_misses": q_misses, "tier_lookup": q_lookup, "try_map": q_try_map, "batch_infer": q_infer,
-    "merge_provenance": q_provenance, "observe_counts": q_observed, "classify_outcomes": q_classify,
+    "merge_provenance": q_provenance, "observe_counts": q_observed, "with_audit": q_audit, "classify_outcomes": q_classify,
     "to_results": q_to_results, "retry_set": q_retry, "validation_set": q_validation_set, "is_python": q_is_python,
     "repair_until": q_repair, "repair_context": q_context,
 }
-_REQ = f"req AS (SELECT {sql_cols(_REQUEST)}, n_chars > 8000 AS oversized FROM documents)"
+_REQ = f"req AS (SELECT {sql_cols(_REQUEST)} FROM documents)"
 _ELIGIBLE = "object_type IN ('TABLE', 'VIEW', 'SCHEMA') AND length(prompt) > 0"
 _DET = f"""det AS (SELECT object_id,
-  CASE WHEN {_ELIGIBLE} AND length(prompt) <= 2000 AND contains(prompt, 'tion') THEN '>' || substr(prompt, 1, 20) END AS value,
-  CASE WHEN ({_ELIGIBLE}) IS NOT TRUE THEN 'skipped' WHEN length(prompt) > 2000 THEN 'text too long'
-       WHEN NOT contains(prompt, 'tion') THEN 'empty' END AS error FROM req WHERE NOT oversized)"""
-_CAP = "CASE complexity_tier WHEN 'trivial' THEN 280 WHEN 'simple' THEN 900 WHEN 'medium' THEN 4000 END"
+  CASE WHEN {_ELIGIBLE} AND prompt NOT LIKE 'FAULT%' AND contains(prompt, 'tion') THEN '>' || prompt || '<' END AS value,
+  CASE WHEN ({_ELIGIBLE}) IS NOT TRUE THEN 'skipped' WHEN prompt LIKE 'FAULT%' THEN 'injected fault'
+       WHEN NOT contains(prompt, 'tion') THEN 'empty' END AS error FROM req)"""
+_CAP = "CASE complexity_tier WHEN 'trivial' THEN '4096' WHEN 'simple' THEN '8192' WHEN 'medium' THEN '16000' ELSE '32000' END"
 _INF = f"""inf AS (SELECT object_id, complexity_tier,
-  CASE WHEN length(prompt) <= {_CAP} THEN complexity_tier || ':' || CAST(length(prompt) AS STRING) END AS result,
-  CASE WHEN complexity_tier = 'complex' THEN 'no function for tier complex'
-       WHEN length(prompt) > {_CAP} THEN 'over ' || CAST({_CAP} AS STRING) END AS errorMessage FROM req WHERE prompt IS NOT NULL)"""
+  CASE WHEN prompt NOT LIKE 'FAULT%' THEN complexity_tier || ':' || {_CAP} || ':' || CAST(length(prompt) AS STRING) END AS result,
+  CASE WHEN prompt LIKE 'FAULT%' THEN 'injected fault under ' || {_CAP} END AS errorMessage FROM req WHERE prompt IS NOT NULL)"""
 _CLASSIFIED = f"""WITH o AS (SELECT {sql_cols(_OUTCOME)} FROM events), inv AS (SELECT DISTINCT lower(object_name) AS name FROM ({_INVENTORY})),
 n AS (SELECT *, CASE WHEN contains(error, 'TABLE_OR_VIEW_NOT_FOUND') OR contains(error, 'ROUTINE_NOT_FOUND') OR contains(error, 'UNRESOLVED_ROUTINE')
       THEN nullif(lower(regexp_extract(error, '_tmp__[A-Za-z0-9_]+`?\\s*\\.\\s*`?([A-Za-z0-9_]+)', 1)), '') END AS missing FROM o),
@@ -240,15 +244,17 @@ FROM e JOIN runs USING (doc_id)"""
 _W = f"WITH {_REQ}"
 ORACLE = {
     "route_misses": f"""{_W} SELECT object_id, complexity_tier, source_bytes FROM req
-        WHERE NOT oversized AND prompt NOT LIKE 'ERROR%' AND object_id NOT IN (SELECT CAST(doc_id AS STRING) FROM labels WHERE quality = 1)""",
+        WHERE prompt NOT LIKE 'ERROR%' AND object_id NOT IN (SELECT CAST(doc_id AS STRING) FROM labels WHERE quality = 1)""",
     "tier_lookup": f"""{_W} SELECT object_id, CASE complexity_tier WHEN 'trivial' THEN 'small-model' WHEN 'complex' THEN NULL ELSE 'mid-model' END
-        AS endpoint, oversized FROM req""",
+        AS endpoint FROM req""",
     "try_map": f"{_W}, {_DET} SELECT object_id, md5(value) AS value, error FROM det",
     "batch_infer": f"{_W}, {_INF} SELECT object_id, complexity_tier, result, errorMessage FROM inf",
     "merge_provenance": f"""{_W}, {_DET}, {_INF} SELECT object_id, CASE WHEN value IS NOT NULL THEN 'sqlglot' WHEN result IS NOT NULL THEN 'ai' END AS method,
         md5(coalesce(value, result)) AS raw_code, errorMessage AS convert_error
         FROM req LEFT JOIN det USING (object_id) LEFT JOIN inf USING (object_id)""",
-    "observe_counts": f"{_W} SELECT complexity_tier, count(*) AS n FROM req GROUP BY 1",
+    "observe_counts": f"""{_W} SELECT count(*) AS n, CAST(sum(source_bytes) AS BIGINT) AS chars,
+        count(DISTINCT complexity_tier) AS tiers FROM req""",
+    "with_audit": f"{_W} SELECT object_id, 2 AS attempt, TRUE AS stamped FROM req",
     "classify_outcomes": f"{_CLASSIFIED} SELECT object_id, state, valid_status FROM c",
     "to_results": f"""{_CLASSIFIED} SELECT '2024-01-31' AS run_ts, CAST(0.5 AS DOUBLE) AS fraction, object_id, object_type, full_name,
         valid_status, coalesce(error, '') AS valid_error FROM c""",
@@ -256,9 +262,9 @@ ORACLE = {
         AND valid_status IN ('fail', 'timeout') AND contains(valid_error, 'PARSE_SYNTAX')""",
     "validation_set": f"""WITH o AS (SELECT {sql_cols(_OBJECT)} FROM documents),
         r AS (SELECT *, row_number() OVER (PARTITION BY object_type ORDER BY object_id) AS rn, count(*) OVER (PARTITION BY object_type) AS n
-              FROM o WHERE source_bytes <= 8000 AND converted_code IS NOT NULL)
+              FROM o WHERE converted_code IS NOT NULL)
         SELECT object_id, object_type, CASE object_type WHEN 'SCHEMA' THEN 1 WHEN 'TABLE' THEN 2 WHEN 'SYNONYM' THEN 3 WHEN 'FUNCTION' THEN 4
-        WHEN 'VIEW' THEN 5 ELSE 6 END AS stage_no FROM r WHERE rn <= greatest(1, n // 2)""",
+        WHEN 'VIEW' THEN 5 WHEN 'PROCEDURE' THEN 6 ELSE 7 END AS stage_no FROM r WHERE rn <= greatest(1, n // 2)""",
     "is_python": f"""SELECT doc_id, NOT regexp_matches({_PY}, '(?is)\\bCREATE\\s+(?:OR\\s+REPLACE\\s+)?(?:IF\\s+NOT\\s+EXISTS\\s+)?(?:PROCEDURE|FUNCTION)\\b')
         AS is_python FROM documents""",
     "repair_until": _REPAIRED,

@@ -14,19 +14,18 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import flag_oversized, lookup, render_template
 from ..functions.profile import SIGNALS
-from ..functions.rewrite import NORMALIZE_RULES, Rule, apply_rules, clean_output
+from ..functions.rewrite import NORMALIZE_RULES, SCRIPT_RULES, Rule, apply_rules, clean_output, leak_check, rewrite_namespace
 from ..operators.conform import register_companions, select_temporal
 from ..operators.merge import append_new, merge_update
-from ..operators.outcome import classify_outcomes, to_results, validation_set
+from ..operators.outcome import classify_outcomes, referenced_namespaces, retry_set, to_results, validation_set
 from ..operators.repair import repair_until
 from ..operators.report import latest_run, pair_companions, reconcile, review_queue, run_summary
 from ..operators.route import batch_infer, merge_outputs, route_misses, try_map, with_audit
 from ..sources.files import ingest_objects, scan_files
 from ..sources.tables import read_version, replace_partitions, rewrite_table, stage
 
-# Default size limit, types the deterministic pass takes, and
-# the numbers of partitions costly calls are spread over.
-MAX_BYTES = 180_000
+# Types the deterministic pass takes, and the numbers of partitions
+# costly calls are spread over.
 DETERMINISTIC_TYPES = ("TABLE", "VIEW", "SCHEMA")
 REQUEST_PARTITIONS = 48
 CALL_PARTITIONS = 64
@@ -68,9 +67,12 @@ class Workspace:
 
 def ingest(
     ws: Workspace, source_path: str, templates: Mapping[str, str], endpoints: Mapping[str, str],
-    *, max_bytes: int = MAX_BYTES, partitions: int = REQUEST_PARTITIONS, patterns: Mapping[str, str] = SIGNALS,
+    *, max_bytes: int | None = None, partitions: int = REQUEST_PARTITIONS, patterns: Mapping[str, str] = SIGNALS,
 ) -> DataFrame:
-    """Files to ``source_objects`` and ``convert_requests`` (size flag, endpoint, prompt)."""
+    """Files to ``source_objects`` and ``convert_requests`` (size flag, endpoint, prompt).
+
+    Objects above ``max_bytes``, if given, are not converted but stay, with that as their error.
+    """
     objects = ws.save("source_objects", ingest_objects(scan_files(ws.spark, source_path), patterns))
     prompt = render_template(
         lookup(F.col("target_form"), templates),
@@ -93,13 +95,21 @@ def convert(
     ws: Workspace, deterministic_fn: Callable, fn_by_tier: Mapping[str, Callable],
     *, partitions: int = CALL_PARTITIONS,
 ) -> DataFrame:
-    """Deterministic pass, inference for its misses, and the merge of both: ``converted_objects``."""
+    """Deterministic pass, inference for its misses, and the merge of both: ``converted_objects``.
+
+    The deterministic function gets scripts without batch separators and session options. Its value counts as a miss
+    where it still shows unconverted identifiers.
+    """
     requests = ws.read("convert_requests")
     tried = try_map(
-        requests.where("not oversized"), deterministic_fn, "source_sql",
-        F.col("object_type").isin(*DETERMINISTIC_TYPES),
+        apply_rules(requests, "source_sql", None, SCRIPT_RULES), deterministic_fn, "source_sql",
+        F.col("object_type").isin(*DETERMINISTIC_TYPES) & ~F.col("oversized"),
+    )
+    tested = tried.withColumn("_leak", leak_check(F.col("value")))
+    first = ws.save(
+        "deterministic",
+        tested.select("object_id", F.col("_leak.value").alias("value"), F.coalesce("_leak.error", "error").alias("error")),
     )
-    first = ws.save("deterministic", tried.select("object_id", "value", "error"))
     misses = route_misses(
         requests, first.where("value is not null"), "object_id", oversized="oversized", template="prompt"
     )
@@ -154,16 +164,35 @@ def _checker(ws: Workspace, check_fn: Callable[[DataFrame], DataFrame], miss_pat
 
 
 def validate(
-    ws: Workspace, run_ts: str, fraction: float, check_fn: Callable[[DataFrame], DataFrame], miss_pattern: str
+    ws: Workspace, run_ts: str, fraction: float, check_fn: Callable[[DataFrame], DataFrame], miss_pattern: str,
+    *, isolate: tuple[str, str, str] | None = None, retry: bool = True,
 ) -> DataFrame:
-    """Check the leading fraction of each type; ``check_fn`` adds ``state`` and ``error`` to the rows it gets."""
+    """Check the leading fraction of each type; ``check_fn`` adds ``state`` and ``error`` to the rows it gets.
+
+    ``isolate`` (source catalog, scratch catalog, prefix) moves the names in the code to scratch namespaces before the
+    check; ``scratch_namespaces`` lists those to be there. Objects whose check only met an overload are checked once more.
+    """
+    code = F.col("converted_code") if isolate is None else rewrite_namespace(F.col("converted_code"), *isolate)
     chosen = validation_set(ws.read("converted_objects"), fraction)
-    rows = chosen.select("object_id", "object_type", "full_name", "stage_no", F.col("converted_code").alias("code"))
-    outcomes = _checker(ws, check_fn, miss_pattern)(rows)
-    ws.save_run("validation_results", to_results(outcomes, run_ts, fraction))
+    rows = chosen.select("object_id", "object_type", "full_name", "stage_no", code.alias("code"))
+    check = _checker(ws, check_fn, miss_pattern)
+    outcomes = to_results(check(rows), run_ts, fraction)
+    if retry:
+        outcomes = stage(outcomes, "outcomes")
+        again = rows.join(retry_set(outcomes).select("object_id"), "object_id", "left_semi").select(rows.columns)
+        second = stage(to_results(check(again), run_ts, fraction), "outcomes-again")
+        outcomes = outcomes.join(second.select("object_id"), "object_id", "left_anti").select(outcomes.columns).unionByName(second)
+    ws.save_run("validation_results", outcomes)
     return ws.runs("validation_results", RESULT_SCHEMA).where(F.col("run_ts") == run_ts)
 
 
+def scratch_namespaces(ws: Workspace, source_catalog: str, prefix: str) -> DataFrame:
+    """Names of the scratch namespaces that the converted code needs once it is isolated."""
+    pattern = rf"`?{source_catalog}`?\s*\.\s*`?([A-Za-z0-9_]+)`?\s*\."
+    found = referenced_namespaces(ws.read("converted_objects"), "converted_code", pattern)
+    return found.select(F.concat(F.lit(prefix), "namespace").alias("namespace"))
+
+
 def repair(
     ws: Workspace, run_ts: str, repair_fn: Callable, check_fn: Callable[[DataFrame], DataFrame],
     miss_pattern: str, *, passes: int = 2, prefix: str,

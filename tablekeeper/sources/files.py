@@ -12,8 +12,11 @@ from ..functions.profile import SIGNALS, profile_text
 OBJECT_FOLDERS = ("SCHEMA", "SYNONYM", "TABLE", "FUNCTION", "VIEW", "PROCEDURE")
 DEFAULT_FOLDER = "TABLE"
 DEFAULT_SCHEMA = "dbo"
-NUL_WINDOW = 200
-NUL_LIMIT = 20
+
+# Bytes that plain text does not hold, but half of UTF-16 text of most alphabets does.
+CONTROLS = "".join(chr(c) for c in range(32) if c not in (9, 10, 12, 13))
+CONTROL_LIMIT = 20
+CONTROL_SHARE = 0.25
 
 
 def scan_files(spark: SparkSession, path: str, glob: str = "*.sql") -> DataFrame:
@@ -41,17 +44,28 @@ def _utf16(content: Column, little: bool) -> Column:
     return F.ltrim(text, F.lit("\ufeff"))
 
 
+def _controls(chars: Column) -> Column:
+    return F.length(chars) - F.length(F.translate(chars, CONTROLS, ""))
+
+
 def decode_text(content: Column) -> Column:
-    """Text of a file: by byte order mark, else UTF-16LE if NULs abound, else UTF-8, else Latin-1."""
+    """Text of a file: by byte order mark, else UTF-16 if control bytes abound, else UTF-8, else Latin-1.
+
+    All bytes count: in UTF-16 text of an alphabet every other byte is one of the first few, so more than CONTROL_LIMIT
+    control bytes and CONTROL_SHARE of the content mean UTF-16, and their places tell which byte comes first.
+    """
     head = F.hex(F.substring(content, F.lit(1), F.lit(3)))
-    start = F.decode(F.substring(content, F.lit(1), F.lit(NUL_WINDOW)), "ISO-8859-1")
-    nuls = F.length(start) - F.length(F.translate(start, "\0", ""))
+    chars = F.decode(content, "ISO-8859-1")
+    controls = _controls(chars)
+    wide = (controls > CONTROL_LIMIT) & (controls >= F.octet_length(content) * CONTROL_SHARE)
+    high_first = _controls(F.regexp_replace(chars, "(?s)(.).?", "$1")) * 2 > controls
     utf8 = content.cast("string")
     return (
         F.when(head.startswith("FFFE"), _utf16(content, True))
         .when(head.startswith("FEFF"), _utf16(content, False))
         .when(head == "EFBBBF", F.make_valid_utf8(F.substring(content, F.lit(4), F.octet_length(content)).cast("string")))
-        .when(nuls > NUL_LIMIT, _utf16(content, True))
+        .when(wide & high_first, _utf16(content, False))
+        .when(wide, _utf16(content, True))
         .when(F.is_valid_utf8(utf8), utf8)
         .otherwise(F.decode(content, "ISO-8859-1"))
     )

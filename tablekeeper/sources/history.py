@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.scd2 import Window, open_history, scd2_step
-from .tables import VERSION, version_path, versions
+from .tables import VERSION, publish, version_path, versions
 
 
 class HistoryTable:
@@ -30,9 +30,7 @@ class HistoryTable:
         self.key, self.track = list(key), list(track)
 
     def _write(self, df: DataFrame, number: int) -> None:
-        df.write.mode("overwrite").partitionBy(self.window.current).parquet(
-            version_path(self.path, number)
-        )
+        publish(df, self.path, number, [self.window.current])
 
     def read(self, *, with_version: bool = False) -> DataFrame:
         """The whole history, pruned to the partitions that belong to it."""
@@ -44,10 +42,18 @@ class HistoryTable:
         rows = self.spark.read.option("basePath", self.path).parquet(*folders)
         # partition values are read back as text
         rows = rows.withColumn(self.window.current, F.col(self.window.current).cast("boolean"))
-        open_row = F.col(self.window.current)
+        open_row = F.coalesce(F.col(self.window.current), F.lit(False))
         rows = rows.where(~open_row | (F.col(VERSION) == known[-1]))
         return rows if with_version else rows.drop(VERSION)
 
+    def drop_stale(self) -> list[int]:
+        """Delete the open rows of all versions but the last; closed rows, which are the history, stay."""
+        old = versions(self.spark, self.path)[:-1]
+        for number in old:
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{version_path(self.path, number)}/{self.window.current}=true")
+            folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        return old
+
     def current(self) -> DataFrame:
         return self.read().where(F.col(self.window.current))
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Sequence
 
@@ -53,12 +52,6 @@ def map_table(df: DataFrame, fn: Callable[[DataFrame], DataFrame], partitions: i
     return fn(df.repartition(partitions))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on an input that comes in fewer partitions than there are; larger inputs pass as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def rows_df(spark: SparkSession, rows: Sequence, schema: T.StructType | str) -> DataFrame:
     return spark.createDataFrame(list(rows), schema)
 
@@ -92,18 +85,9 @@ def has_column(df: DataFrame, name: str) -> bool:
 # --- cutting lineage --------------------------------------------------------
 
 def stage_folder(spark: SparkSession) -> str:
-    """Shared folder for intermediate tables: ``spark.checkpoint.dir`` where it is set.
-
-    Only a local session without the setting gets a temporary folder of its own.
-    """
+    """Shared folder for intermediate tables: ``spark.checkpoint.dir``, else one in the warehouse, which all share too."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="tablekeeper-")
-        spark.sparkContext.setCheckpointDir(folder)
-        folder = spark.sparkContext.getCheckpointDir()
-    return folder
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_stage"
 
 
 def stage(df: DataFrame, tag: str) -> DataFrame:
@@ -159,10 +143,26 @@ def rewrite_table(
     known = versions(spark, path)
     new = df if fn is None else fn(read_version(spark, path))
     number = known[-1] + 1 if known else 1
-    new.write.mode("overwrite").parquet(version_path(path, number))
+    publish(new, path, number)
     return number
 
 
+def publish(df: DataFrame, path: str, number: int, partition_by: Sequence[str] = ()) -> None:
+    """Write a version to a folder of its own, then give that its final name: seen whole or not at all.
+
+    A second writer that has taken the number meanwhile keeps it, and this one raises.
+    """
+    spark, draft = df.sparkSession, f"{path}/_draft-{uuid.uuid4().hex}"
+    df.write.partitionBy(*partition_by).parquet(draft)
+    fs, done = _file_system(spark, version_path(path, number))
+    source = spark._jvm.org.apache.hadoop.fs.Path(draft)
+    if fs.exists(done) and not fs.exists(spark._jvm.org.apache.hadoop.fs.Path(done, "_SUCCESS")):
+        fs.delete(done, True)  # what an older release left unfinished
+    if fs.exists(done) or not fs.rename(source, done):
+        fs.delete(source, True)
+        raise FileExistsError(f"version {number} of {path} was written by someone else")
+
+
 def drop_old_versions(spark: SparkSession, path: str, keep: int = 2) -> list[int]:
     """Delete all but the newest ``keep`` committed versions of a fully rewritten table."""
     old = versions(spark, path)[:-keep]

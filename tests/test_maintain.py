@@ -102,5 +102,4 @@ def test_probes_and_metrics(spark, target):
     assert seen.get == {"n": 4, "top": 2}
     assert S.rows_df(spark, [(1,)], "a int").first().a == 1
     assert S.map_table(target, lambda d: d.where("id = 2"), 3).count() == 2
-    assert S.spread(target.coalesce(1)).rdd.getNumPartitions() == 8
     assert S.stage(target, "t").count() == 4

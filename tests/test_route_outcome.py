@@ -17,7 +17,7 @@ def test_try_map_keeps_errors_with_their_row(spark):
         return [None if t == "none" else t.upper() for t in texts]
 
     got = {r.id: (r.value, r.error) for r in route.try_map(df, fn, "t", F.col("e")).collect()}
-    assert got == {1: ("OK", None), 2: (None, "x" * 300), 3: (None, "empty"), 4: (None, "skipped"), 5: (None, "skipped"),
+    assert got == {1: ("OK", None), 2: (None, "x" * 400), 3: (None, "empty"), 4: (None, "skipped"), 5: (None, "skipped"),
                    6: (None, "skipped"), 7: (None, "skipped")}
 
 
@@ -60,7 +60,7 @@ def test_references_and_retry(spark):
     df = spark.createDataFrame([(1, "x.A x.b x.a"), (2, "x.zz"), (3, "none")], "id int, t string")
     names = spark.createDataFrame([("a",), ("B",)], "n string")
     got = {r.id: (r.n_refs, r.n_known, r.all_known) for r in O.resolve_references(df, ["id"], "t", r"x\.(\w+)", names, name="n").collect()}
-    assert got == {1: (2, 2, True), 2: (1, 0, False)}
+    assert got == {1: (2, 2, True), 2: (1, 0, False), 3: (0, 0, True)}
     spaces = O.referenced_namespaces(spark.createDataFrame([("m.a b.x m. c .y m.d.z m.d.q",)], "t string"), "t", r"m\s*\.([A-Za-z0-9_ ]+?)\s*\.")
     assert sorted(r[0] for r in spaces.collect()) == ["c", "d"]
     results = spark.createDataFrame([("fail", f"x {O.TRANSIENT} y"), ("pass", O.TRANSIENT), ("timeout", "cap"), ("fail", None)], "valid_status string, valid_error string")
