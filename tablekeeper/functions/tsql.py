@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +28,8 @@ STYLES = {
     126: "yyyy-MM-dd'T'HH:mm:ss.SSS",
 }
 CELL_BYTES = 2**30
+ELEMENT_BYTES = 64
+"""What one element of a gathered array costs beside its values."""
 NUMERIC = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 UNITS = {
     "yy": "year", "yyyy": "year", "qq": "quarter", "q": "quarter", "mm": "month", "m": "month",
@@ -177,12 +181,14 @@ def string_agg(
     """One string per key, parts in order (``STUFF ... FOR XML PATH``). NULL parts are left out.
 
     The result of a key is one cell, so its parts must fit one. Sizes are summed
-    first (map-side, one number per key) and a key beyond the limit is refused
-    before any task starts to gather it.
+    first (map-side, one number per key; text, order columns and what an element
+    costs in memory) and a key beyond the limit is refused before any task
+    starts to gather it. ``string_agg_chunks`` takes keys of any size.
     """
     rows = df.where(F.col(col).isNotNull())
     if check:
-        size = F.sum(F.octet_length(col) + F.lit(len(sep.encode())))
+        held = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in (col, *order)]
+        size = F.sum(reduce(add, held) + F.lit(len(sep.encode()) + ELEMENT_BYTES))
         wide = rows.groupBy(*keys).agg(size.alias("n")).where(F.col("n") > CELL_BYTES).limit(1).collect()
         if wide:
             raise ValueError(f"string_agg: key {tuple(wide[0])[:-1]} needs {wide[0]['n']} bytes in one cell")
@@ -191,6 +197,23 @@ def string_agg(
     return rows.groupBy(*keys).agg(F.array_join(parts, sep).alias(col))
 
 
+def string_agg_chunks(
+    df: DataFrame, keys: Sequence[str], col: str, sep: str, order: Sequence[str], *, rows_per_chunk: int = 100_000
+) -> DataFrame:
+    """The string of each key in numbered chunks: keys, ``part_no`` (increasing) and ``col``; NULL parts are left out.
+
+    Chunks of a key joined by ``sep`` in the order of ``part_no`` are its ``string_agg``. The rows are sorted into
+    ranges of about ``rows_per_chunk``, so a key of any size spreads over tasks and no chunk grows with it.
+    """
+    rows = df.where(F.col(col).isNotNull()).select(*keys, *[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)], F.col(col).alias("_part"))
+    names = [f"_o{i}" for i in range(len(order))]
+    ranges = rows.repartitionByRange(1 + rows.count() // rows_per_chunk, *keys, *names, "_part")
+    placed = ranges.withColumn("_range", F.spark_partition_id())
+    parts = F.transform(F.sort_array(F.collect_list(F.struct(*names, "_part"))), lambda p: p["_part"])
+    chunks = placed.groupBy(*keys, "_range").agg(F.array_join(parts, sep).alias(col))
+    return chunks.select(*keys, F.col("_range").alias("part_no"), col)
+
+
 def pivot(df: DataFrame, keys: Sequence[str], for_col: str, values: Sequence, agg: Column) -> DataFrame:
     """``PIVOT(agg FOR for_col IN (values))``. The listed values spare the job that would discover them."""
     return df.groupBy(*keys).pivot(for_col, list(values)).agg(agg)

@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.tables import stage
+from .joins import small_side
 
 SMALL = 1_000_000
 SPLITS = 256
-BROADCAST_ROWS = 10_000
 
 
 def _descending(column: Column, kind: T.DataType) -> list[Column]:
@@ -118,8 +118,8 @@ def _split(
     whole = keyed.columns
     keys = keyed.select("_p", "_k", *extra)
     sizes = keys.groupBy("_p", *extra).agg(F.count(F.lit(1)).alias("n"))
-    groups, largest = sizes.agg(F.count(F.lit(1)), F.max("n")).first()
-    if not groups:
+    largest = sizes.agg(F.max("n")).first()[0]
+    if largest is None:
         return keyed, None, 0
 
     if largest <= small:
@@ -130,8 +130,7 @@ def _split(
         cuts = _narrowed_cuts(keys.select("_p", "_k"), wanted, small, splits, unique)
     if not unique:
         cuts = stage(cuts, "cuts")
-    marks = F.broadcast(cuts) if groups <= BROADCAST_ROWS else cuts
-    at_cut = keyed.join(marks, "_p")
+    at_cut = keyed.join(small_side(cuts), "_p")
     same = F.col("_k") == F.col("cut")
     if unique:
         return at_cut.where((F.col("_k") < F.col("cut")) | same).select(*whole), None, 0
@@ -188,18 +187,14 @@ def _cuts(rows: DataFrame, quota: Callable[[Column], Column], unique: bool) -> D
     )
 
 
-def _checked(groups: DataFrame) -> DataFrame:
-    """One row per group: broadcast while they are few; beyond that a join adaptive execution can split."""
-    return F.broadcast(groups) if groups.count() <= BROADCAST_ROWS else groups
-
-
 def _narrowed_cuts(keys: DataFrame, wanted: DataFrame, small: int, splits: int, unique: bool) -> DataFrame:
     """The cuts of groups of any size (``wanted``: group, size ``n``, rows to keep ``k``)."""
     empty = F.lit(None).cast(keys.schema["_k"].dataType)
     count, no = F.lit(0).cast("long"), F.lit(False)
+    # at most one group per ``small`` rows is larger than that, so their rows are few enough to broadcast
     large = wanted.where(F.col("n") > small).select("_p", "k")
     ranges = (
-        keys.join(_checked(large), "_p").groupBy("_p", "k")
+        keys.join(F.broadcast(large), "_p").groupBy("_p", "k")
         .agg(F.count(F.lit(1)).alias("inside"), *_range_stats())
         .select(
             "_p", "k", "inside", count.alias("below"), empty.alias("lo"), F.col("top").alias("hi"),
@@ -215,7 +210,7 @@ def _narrowed_cuts(keys: DataFrame, wanted: DataFrame, small: int, splits: int,
         inside = _within(keys, state.where((F.col("inside") > small) & ~F.col("single")), "low", "kinds")
         points = _split_points(inside, splits)
         counted = (
-            inside.join(points, "_p", "left")
+            inside.join(F.broadcast(points), "_p", "left")
             .withColumn("b", _bucket(F.col("_k"), F.col("points"), splits))
             .groupBy("_p", "b")
             .agg(F.count(F.lit(1)).alias("c"), *_range_stats())
@@ -261,7 +256,7 @@ def _range_stats() -> list[Column]:
 
 def _within(keys: DataFrame, state: DataFrame, *extra: str) -> DataFrame:
     """Keys of the groups in ``state`` that lie in ``(lo, hi]``."""
-    marks = _checked(state.select("_p", "lo", "hi", *extra))
+    marks = small_side(state.select("_p", "lo", "hi", *extra))
     after = F.col("lo").isNull() | (F.col("_k") > F.col("lo"))
     upto = F.col("hi").isNull() | (F.col("_k") <= F.col("hi"))
     return keys.join(marks, "_p").where(after & upto).drop("lo", "hi")

@@ -13,6 +13,7 @@ from ..functions.labels import (
 )
 from .conform import COMPANION_SUFFIX
 from .joins import assert_unique
+from .sample import sort_columns
 
 
 def _sum_if(condition: Column) -> Column:
@@ -116,6 +117,12 @@ def generated_only(source: DataFrame, converted: DataFrame, key: str = "object_i
     return extra.groupBy("object_type").agg(F.count(F.lit(1)).alias("generated_n"))
 
 
+def ordered(rows: DataFrame, order: Sequence[str]) -> DataFrame:
+    """A report in a total order: the given columns (a leading minus sign: descending), then all others."""
+    named = {o.removeprefix("-") for o in order}
+    return rows.orderBy(*sort_columns([*order, *[c for c in rows.columns if c not in named]]))
+
+
 def review_queue(results: DataFrame, converted: DataFrame, n: int = REVIEW_CHARS) -> DataFrame:
     """Every failing object with its method (NULL if it is not among ``converted``), error class and one-line error."""
     failing = results.where(F.col("valid_status").isin(*FAILING))

@@ -93,6 +93,16 @@ def q_string_agg(spark, sf):
     return tsql.string_agg(rows, ["l_orderkey"], "item", ", ", ["l_linenumber", "l_partkey"])
 
 
+def q_string_agg_chunks(spark, sf):
+    """Three keys of many rows each; the chunks of a key are measured together."""
+    rows = table(spark, sf, "lineitem").withColumn("item", F.col("l_partkey").cast("string"))
+    chunks = tsql.string_agg_chunks(rows, ["l_returnflag"], "item", ", ", ["l_orderkey", "l_linenumber", "l_partkey"], rows_per_chunk=5_000)
+    ends = F.struct("part_no", F.substring_index("item", ",", 1)), F.struct("part_no", F.substring_index("item", " ", -1))
+    return chunks.groupBy("l_returnflag").agg(
+        (F.sum(F.length("item") + 2) - 2).alias("chars"), F.min(ends[0])["col2"].alias("first"), F.max(ends[1])["col2"].alias("last")
+    )
+
+
 def q_pivot(spark, sf):
     return tsql.pivot(
         table(spark, sf, "lineitem"), ["l_suppkey"], "l_returnflag", ["A", "N", "R"], F.sum("l_quantity")
@@ -126,7 +136,7 @@ def q_now(spark, sf):
 QUERIES = {
     "tsql_null_logic": q_null, "tsql_strings": q_strings, "tsql_dateadd": q_dateadd, "tsql_datediff": q_datediff,
     "tsql_datepart_format": q_datepart, "tsql_convert": q_convert, "tsql_isnumeric": q_isnumeric,
-    "tsql_string_agg": q_string_agg, "tsql_pivot": q_pivot, "tsql_pivot_reagg": q_pivot_reagg,
+    "tsql_string_agg": q_string_agg, "tsql_string_agg_chunks": q_string_agg_chunks, "tsql_pivot": q_pivot, "tsql_pivot_reagg": q_pivot_reagg,
     "tsql_unpivot": q_unpivot, "tsql_clock": q_now,
 }
 _N = "(o_custkey % 40 - 20)"
@@ -156,6 +166,10 @@ ORACLE = {
         THEN 1 ELSE 0 END AS is_number FROM orders""",
     "tsql_string_agg": """SELECT l_orderkey, string_agg(CAST(l_partkey AS STRING), ', ' ORDER BY l_linenumber, l_partkey) AS item
         FROM lineitem GROUP BY l_orderkey""",
+    "tsql_string_agg_chunks": """SELECT l_returnflag, CAST(sum(length(CAST(l_partkey AS STRING)) + 2) - 2 AS BIGINT) AS chars,
+        CAST(arg_min(l_partkey, {'o': l_orderkey, 'n': l_linenumber, 'p': l_partkey}) AS STRING) AS first,
+        CAST(arg_max(l_partkey, {'o': l_orderkey, 'n': l_linenumber, 'p': l_partkey}) AS STRING) AS last FROM lineitem GROUP BY 1""",
+    "tsql_clock": "SELECT p_partkey, TRUE AS one_clock, TRUE AS has_utc, 36 AS id_chars FROM part",
     "tsql_pivot": """SELECT l_suppkey, sum(CASE WHEN l_returnflag = 'A' THEN l_quantity END) AS A,
         sum(CASE WHEN l_returnflag = 'N' THEN l_quantity END) AS N, sum(CASE WHEN l_returnflag = 'R' THEN l_quantity END) AS R
         FROM lineitem GROUP BY l_suppkey""",

@@ -66,14 +66,15 @@ class Workspace:
 
 
 def ingest(
-    ws: Workspace, source_path: str, templates: Mapping[str, str], endpoints: Mapping[str, str],
+    ws: Workspace, source: str | DataFrame, templates: Mapping[str, str], endpoints: Mapping[str, str],
     *, max_bytes: int | None = None, partitions: int = REQUEST_PARTITIONS, patterns: Mapping[str, str] = SIGNALS,
 ) -> DataFrame:
-    """Files to ``source_objects`` and ``convert_requests`` (size flag, endpoint, prompt).
+    """Files (a folder, or rows of ``path`` and ``content``) to ``source_objects`` and ``convert_requests`` (size flag, endpoint, prompt).
 
     Objects above ``max_bytes``, if given, are not converted but stay, with that as their error.
     """
-    objects = ws.save("source_objects", ingest_objects(scan_files(ws.spark, source_path), patterns))
+    files = scan_files(ws.spark, source) if isinstance(source, str) else source
+    objects = ws.save("source_objects", ingest_objects(files, patterns))
     prompt = render_template(
         lookup(F.col("target_form"), templates),
         {
