@@ -86,6 +86,8 @@ def deduplicate(
             .withColumn("is_old", F.coalesce("is_old", F.lit(False)))
             .withColumn("keep_id", F.when(F.col("is_old"), F.col("old_id")).otherwise(F.col("smallest")))
         )
+    # written, so both sides of the join are dealt out for it alone and adaptive execution can split a hot digest
+    repeated = stage(repeated.select("digest", "keep_id", "group_size", "is_old"), "repeated")
     found = F.col("group_size").isNotNull()
     return rows.join(repeated, rows["text_sha256"] == repeated["digest"], "left").select(
         "doc_id",
