@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +18,9 @@ END_ID = 1
 MAX_TOKENS, MAX_SEGMENTS, MAX_LOSS = 2048, 256, 2048
 OPEN_BINS = 16
 _TABLES = tx.alphabet("nonspace", fold=False)
-_KEPT_WORDS = 1 << 20
+_KEPT_WORDS, _AT_ONCE = 1 << 19, 500
+_SLICE_BYTES = 1 << 20
+NUL = "\0"
 
 
 class WordTokens:
@@ -28,6 +31,8 @@ class WordTokens:
 
     def __init__(self, definition: str):
         self.tokenizer = Tokenizer.from_str(definition)
+        mark = self.tokenizer.encode(NUL, add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None
         self._forget()
 
     def _forget(self) -> None:
@@ -36,12 +41,23 @@ class WordTokens:
         self.length = np.zeros(0, np.int64)
         self.pool = np.zeros(0, np.uint32)
 
+    def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words one behind the other, and how many each has.
+
+        The words go as one text, with a NUL between them as a word of its own whose id marks the ends.
+        """
+        if self.mark is None or any(NUL in w for w in words):
+            ids = [x.ids for x in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+            return np.array([i for x in ids for i in x], np.uint32), np.array([len(x) for x in ids], np.int64)
+        ids = np.array(self.tokenizer.encode(f" {NUL} ".join([*words, ""]), add_special_tokens=False).ids, np.uint32)
+        ends = np.flatnonzero(ids == self.mark)
+        return np.delete(ids, ends), np.diff(ends, prepend=-1) - 1
+
     def _learn(self, fresh: list[str], hashes: np.ndarray) -> None:
         if len(self.hashes) + len(hashes) > _KEPT_WORDS:
             self._forget()
-        ids = [x.ids for x in self.tokenizer.encode_batch(fresh, add_special_tokens=False)]
-        length = np.fromiter(map(len, ids), np.int64, len(ids))
-        new = np.fromiter((i for x in ids for i in x), np.uint32, int(length.sum()))
+        found = [self._ids(fresh[at : at + _AT_ONCE]) for at in range(0, len(fresh), _AT_ONCE)]  # encodings are large
+        new, length = np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
         start = len(self.pool) + np.cumsum(length) - length
         self.pool = np.concatenate([self.pool, new])
         every = np.concatenate([self.hashes, hashes])
@@ -179,6 +195,7 @@ def pack(
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel part
         tokens = WordTokens(definition)
         packer = Packer((max_tokens, max_segments, max_loss))
         held: dict[int, tuple] = {}  # example -> (doc_id, ids) while some of its ids are in open bins
@@ -207,7 +224,7 @@ def pack(
         for batch in batches:
             id_type = batch.schema.field(0).type
             texts, prompts = tx.column(batch, "text"), tx.column(batch, "prompt")
-            for a, b, raw, bounds in tx.slices(texts):
+            for a, b, raw, bounds in tx.slices(texts, _SLICE_BYTES):
                 ids, at = tokens.encode(raw, bounds)
                 before = [np.zeros(0, np.uint32)] * (b - a)
                 for c, d, raw_p, bounds_p in tx.slices(prompts.slice(a, b - a)) if prompt_col else ():

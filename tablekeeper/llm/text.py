@@ -22,7 +22,7 @@ def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return values.fill_null("") if values.null_count else values
 
 
-def slices(values: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def slices(values: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, last row + 1, bytes, row bounds within these bytes) for consecutive rows."""
     if not len(values):
         return
@@ -32,7 +32,7 @@ def slices(values: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
     raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     first = 0
     while first < len(values):
-        last = max(first + 1, int(np.searchsorted(at, at[first] + SLICE_BYTES, "right")) - 1)
+        last = max(first + 1, int(np.searchsorted(at, at[first] + size, "right")) - 1)
         yield first, last, raw[at[first] : at[last]], at[first : last + 1] - at[first]
         first = last
 

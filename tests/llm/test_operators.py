@@ -273,7 +273,7 @@ def test_passages(spark):
 def test_packing_round_trip(spark, limits):
     path = public_tokenizers.path("word_bpe_49k.json")
     plain = Tokenizer.from_file(path)
-    texts = [None, "", "Hi", "it's <|endoftext|> a test ok É É", *[" ".join(prose(k, 10 * k)) for k in range(25)], "don't " * 4_000, "Hi"]
+    texts = [None, "", "Hi", "it's <|endoftext|> a test ok É É", *[" ".join(prose(k, 10 * k)) for k in range(25)], "don't " * 4_000, "Hi", "a\0b \0 c\0 !\0"]
     rows = docs(spark, list(enumerate(texts))).withColumn("prompt", F.lit("Say it:"))
     found = packing.pack(rows.repartition(3), path, prompt_col="prompt", max_tokens=limits[0], max_segments=limits[1], max_loss=limits[2]).collect()
     ask = plain.encode("Say it:", add_special_tokens=False).ids
