@@ -1,36 +1,44 @@
-"""Stored SCD Type 2 history that never rewrites closed versions.
+"""Stored SCD Type 2 history that never rewrites closed versions, and open ones only where something changed.
 
-Version N of the table folder holds the rows closed by step N
-(``IsCurrent=false``) and all rows open after it (``IsCurrent=true``). The
-history is the closed rows of every version plus the open rows of the last, so
-a step writes the open rows and its own closures, in one job with one commit.
+Rows are in buckets by the hash of their key. Version N of the table folder holds the rows closed by step N
+(``IsCurrent=false``) and the open rows (``IsCurrent=true``) of the buckets that step N touched, which it lists. The
+history is the closed rows of every version plus each bucket's open rows of the last version that touched it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.scd2 import Window, open_history, scd2_step
-from .tables import VERSION, publish, version_path, versions
+from .tables import VERSION, publish, stage, version_path, versions
+
+
+BUCKET, TOUCHED = "tk_bucket", "_touched"
 
 
 class HistoryTable:
     def __init__(
-        self,
-        spark: SparkSession,
-        path: str,
-        key: Sequence[str],
-        track: Sequence[str],
-        window: Window = Window(),
+        self, spark: SparkSession, path: str, key: Sequence[str], track: Sequence[str], window: Window = Window(),
+        buckets: int = 32,
     ):
-        self.spark, self.path, self.window = spark, path, window
+        """``buckets`` must stay what it was at the first load."""
+        self.spark, self.path, self.window, self.buckets = spark, path, window, buckets
         self.key, self.track = list(key), list(track)
 
-    def _write(self, df: DataFrame, number: int) -> None:
-        publish(df, self.path, number, [self.window.current])
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in self.key]), F.lit(self.buckets)).cast("int")
+
+    def _write(self, rows: DataFrame, touched: DataFrame, number: int) -> None:
+        notes = {TOUCHED: touched.select(F.col(BUCKET).cast("int").alias(BUCKET), F.lit(number).alias(VERSION))}
+        publish(rows, self.path, number, [self.window.current, BUCKET], notes)
+
+    def _last_touch(self, known: Sequence[int]) -> dict[int, int]:
+        """The last version that touched each bucket; as many entries as there are buckets."""
+        notes = self.spark.read.parquet(*[f"{version_path(self.path, n)}/{TOUCHED}" for n in known])
+        return {r[0]: r[1] for r in notes.groupBy(BUCKET).agg(F.max(VERSION)).collect()}
 
     def read(self, *, with_version: bool = False) -> DataFrame:
         """The whole history, pruned to the partitions that belong to it."""
@@ -43,16 +51,23 @@ class HistoryTable:
         # partition values are read back as text
         rows = rows.withColumn(self.window.current, F.col(self.window.current).cast("boolean"))
         open_row = F.coalesce(F.col(self.window.current), F.lit(False))
-        rows = rows.where(~open_row | (F.col(VERSION) == known[-1]))
+        last = F.create_map(*[F.lit(x) for item in sorted(self._last_touch(known).items()) for x in item])
+        rows = rows.where(~open_row | (F.col(VERSION) == F.element_at(last, F.col(BUCKET)))).drop(BUCKET)
         return rows if with_version else rows.drop(VERSION)
 
-    def drop_stale(self) -> list[int]:
-        """Delete the open rows of all versions but the last; closed rows, which are the history, stay."""
-        old = versions(self.spark, self.path)[:-1]
-        for number in old:
-            folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{version_path(self.path, number)}/{self.window.current}=true")
-            folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
-        return old
+    def drop_stale(self) -> list[tuple[int, int]]:
+        """Delete open rows that a later version replaced, as (version, bucket); closed rows, the history, stay."""
+        known = versions(self.spark, self.path)
+        last, gone = self._last_touch(known), []
+        for number in known:
+            for bucket in range(self.buckets):
+                name = f"{version_path(self.path, number)}/{self.window.current}=true/{BUCKET}={bucket}"
+                folder = self.spark._jvm.org.apache.hadoop.fs.Path(name)
+                fs = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+                if number < last.get(bucket, 0) and fs.exists(folder):
+                    fs.delete(folder, True)
+                    gone.append((number, bucket))
+        return gone
 
     def current(self) -> DataFrame:
         return self.read().where(F.col(self.window.current))
@@ -61,7 +76,9 @@ class HistoryTable:
         """First load; refuses a table that has versions."""
         if versions(self.spark, self.path):
             raise ValueError(f"{self.path} is already loaded")
-        self._write(open_history(source, effective_at, window=self.window, time_type=time_type), 1)
+        rows = open_history(source, effective_at, window=self.window, time_type=time_type)
+        touched = self.spark.range(self.buckets).select(F.col("id").alias(BUCKET))
+        self._write(rows.withColumn(BUCKET, self._bucket()), touched, 1)
         return 1
 
     def apply(self, source: DataFrame, effective_at, *, deletes: str = "keep") -> int:
@@ -71,5 +88,9 @@ class HistoryTable:
             self.current(), source, self.key, self.track, effective_at,
             window=self.window, deletes=deletes,
         )
-        self._write(step, number)
+        step = stage(step.withColumn(BUCKET, self._bucket()), "step")
+        start = F.col(f"`{self.window.start}`")
+        at = F.lit(effective_at).cast(step.schema[self.window.start].dataType)
+        touched = step.where(~F.col(self.window.current) | (start == at)).select(BUCKET).distinct()
+        self._write(step.join(F.broadcast(touched), BUCKET, "left_semi").select(step.columns), touched, number)
         return number

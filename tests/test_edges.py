@@ -32,13 +32,19 @@ def test_two_open_versions_are_refused(spark):
         scd2_apply(dim, source, ["k"], ["v"], "2024-02-01")
 
 
-def test_stored_history_drops_stale_rows(spark, tmp_path):
-    table = HistoryTable(spark, str(tmp_path / "h"), ["k"], ["v"])
-    table.load(spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int"), "2024-01-01")
-    table.apply(spark.createDataFrame([("a", 2), ("b", 1)], "k string, v int"), "2024-02-01")
+def test_stored_history_writes_touched_buckets_only(spark, tmp_path):
+    table = HistoryTable(spark, str(tmp_path / "h"), ["k"], ["v"], buckets=8)
+    rows = [(f"k{i}", 1) for i in range(40)]
+    table.load(spark.createDataFrame(rows, "k string, v int"), "2024-01-01")
+    table.apply(spark.createDataFrame([("k0", 2), *rows[1:]], "k string, v int"), "2024-02-01")
+    table.apply(spark.createDataFrame([("k0", 2), *rows[1:]], "k string, v int"), "2024-03-01")
+    table.apply(spark.createDataFrame(rows[5:], "k string, v int"), "2024-04-01", deletes="close")
+    opened = {n: len(list((tmp_path / "h" / f"tk_version={n}").glob("IsCurrent=true/tk_bucket=*"))) for n in (1, 2, 3)}
+    assert opened == {1: 8, 2: 1, 3: 0}
     before = sorted(map(str, table.read().collect()))
-    assert table.drop_stale() == [1]
-    assert sorted(map(str, table.read().collect())) == before and len(before) == 3
+    assert len(before) == 41 and table.current().count() == 35
+    assert table.drop_stale() and not table.drop_stale()
+    assert sorted(map(str, table.read().collect())) == before
 
 
 def test_a_version_is_published_once(spark, tmp_path):
