@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,6 +23,8 @@ _TABLES = tx.alphabet("nonspace", fold=False)
 _KEPT_WORDS, _AT_ONCE = 1 << 19, 500
 _SLICE_BYTES = 1 << 20
 NUL = "\0"
+_PLAIN = re.compile(r"[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+([!-&(-/:-@\[-`{-~]*)").fullmatch
+"""Letters of one part, and signs (no apostrophe) that are another: such words need no mark between them."""
 
 
 class WordTokens:
@@ -33,6 +37,12 @@ class WordTokens:
         self.tokenizer = Tokenizer.from_str(definition)
         mark = self.tokenizer.encode(NUL, add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 else None
+        suffix = json.loads(definition)["model"].get("end_of_word_suffix")
+        self.closing = None
+        if suffix:
+            vocabulary = self.tokenizer.get_vocab()
+            self.closing = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.closing[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
         self._forget()
 
     def _forget(self) -> None:
@@ -41,6 +51,9 @@ class WordTokens:
         self.length = np.zeros(0, np.int64)
         self.pool = np.zeros(0, np.uint32)
 
+    def _encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+
     def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words one behind the other, and how many each has.
 
@@ -49,14 +62,31 @@ class WordTokens:
         if self.mark is None or any(NUL in w for w in words):
             ids = [x.ids for x in self.tokenizer.encode_batch(words, add_special_tokens=False)]
             return np.array([i for x in ids for i in x], np.uint32), np.array([len(x) for x in ids], np.int64)
-        ids = np.array(self.tokenizer.encode(f" {NUL} ".join([*words, ""]), add_special_tokens=False).ids, np.uint32)
+        ids = self._encode(f" {NUL} ".join([*words, ""]))
         ends = np.flatnonzero(ids == self.mark)
         return np.delete(ids, ends), np.diff(ends, prepend=-1) - 1
 
+    def _plain_ids(self, words: list[str], parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of so many ``parts``, each of which ends with an id that ends a part."""
+        ids = self._encode(" ".join(words))
+        ends = np.flatnonzero(self.closing[ids])
+        if len(ends) != parts.sum():
+            return self._ids(words)
+        return ids, np.diff(ends[np.cumsum(parts) - 1], prepend=-1)
+
     def _learn(self, fresh: list[str], hashes: np.ndarray) -> None:
         if len(self.hashes) + len(hashes) > _KEPT_WORDS:
             self._forget()
-        found = [self._ids(fresh[at : at + _AT_ONCE]) for at in range(0, len(fresh), _AT_ONCE)]  # encodings are large
+        kind = [_PLAIN(w) if self.closing is not None else None for w in fresh]
+        parts = np.array([0 if m is None else 1 + bool(m.group(1)) for m in kind])
+        order = np.argsort(parts == 0, kind="stable")
+        hashes, parts, n_plain = hashes[order], parts[order], int((parts > 0).sum())
+        fresh = [fresh[k] for k in order]
+        found = []
+        for first, last, plain in ((0, n_plain, True), (n_plain, len(fresh), False)):
+            for at in range(first, last, _AT_ONCE):  # few at once: encodings are large
+                to = min(at + _AT_ONCE, last)
+                found.append(self._plain_ids(fresh[at:to], parts[at:to]) if plain else self._ids(fresh[at:to]))
         new, length = np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
         start = len(self.pool) + np.cumsum(length) - length
         self.pool = np.concatenate([self.pool, new])
