@@ -8,7 +8,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 """Rows are handled in slices of about so many bytes; a longer text is a slice of its own."""
 
 U64 = np.uint64
