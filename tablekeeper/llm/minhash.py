@@ -15,6 +15,7 @@ BANDS, ROWS = 40, 5
 """A pair of similarity 0.8 shares a band with probability 1 - (1 - 0.8^5)^40 = 1 - 1.2e-7."""
 FINE_BANDS, FINE_ROWS = 230, 12
 """The same for the second comparison: 1 - (1 - 0.8^12)^230 = 1 - 8e-8; of pairs at 0.5 it takes one in 18."""
+MARKS = ("m0", "m1", "m2", "m3")
 _TABLES = tx.alphabet("nonspace")
 _CHUNK = 1 << 16
 
@@ -137,27 +138,16 @@ def _fine_keys(texts: DataFrame, width: int) -> DataFrame:
     return texts.select("node", "text").mapInArrow(sign, "node long, bands array<long>")
 
 
-def _own_shingles(texts: DataFrame, width: int) -> DataFrame:
-    """node and the number ``own`` of shingles that no other of the (node, text) rows has."""
-
-    def spell(batches):
-        for batch in batches:
-            for a, b, raw, bounds in tx.slices(tx.column(batch, "text")):
-                sets, at = shingle_sets(raw, bounds, width)
-                node = batch.column(0).slice(a, b - a).take(pa.array(tx.rows_of(at)))
-                yield pa.RecordBatch.from_arrays([node, _signed(sets)], ["node", "shingle"])
-
-    spelt = texts.select("node", "text").mapInArrow(spell, "node long, shingle long")
-    once = spelt.groupBy("shingle").agg(F.min("node").alias("node"), F.count(F.lit(1)).alias("n")).where("n = 1")
-    return once.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
-
-
 def _compared(pairs: DataFrame, width: int) -> DataFrame:
-    """a, b, the sizes of their shingle sets and of the common part, from the texts x and y."""
+    """a, b, the sizes of their shingle sets and of the common part, from the texts x and y.
+
+    m0 to m3 are 256 marks: each shingle that one of the two has alone sets the mark its hash picks.
+    """
 
     def compare(batches):
         for batch in batches:
             size_x, size_y, common = (np.zeros(batch.num_rows, np.int64) for _ in range(3))
+            marks = np.zeros((batch.num_rows, 256), bool)
             x, y = tx.column(batch, "x"), tx.column(batch, "y")
             for a, b, raw, bounds in tx.slices(x):
                 left, at = shingle_sets(raw, bounds, width)
@@ -170,11 +160,19 @@ def _compared(pairs: DataFrame, width: int) -> DataFrame:
                         r = done - a + k
                         both = np.concatenate([left[at[r] : at[r + 1]], right[to[k] : to[k + 1]]])
                         both.sort()
-                        common[done + k] = np.count_nonzero(both[1:] == both[:-1])
+                        twice = both[1:] == both[:-1]
+                        common[done + k] = np.count_nonzero(twice)
+                        alone = np.ones(len(both), bool)
+                        alone[1:] &= ~twice
+                        alone[:-1] &= ~twice
+                        marks[done + k, tx.mix(both[alone]) >> tx.U64(56)] = True
                     done += d - c
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *map(pa.array, (size_x, size_y, common))], ["a", "b", "na", "nb", "common"])
+            words = np.packbits(marks, axis=1).view(np.int64)
+            columns = [size_x, size_y, common, *(words[:, k].copy() for k in range(4))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *map(pa.array, columns)], ["a", "b", "na", "nb", "common", *MARKS])
 
-    return pairs.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long, na long, nb long, common long")
+    kinds = ", ".join(f"{c} long" for c in ("a", "b", "na", "nb", "common", *MARKS))
+    return pairs.select("a", "b", "x", "y").mapInArrow(compare, kinds)
 
 
 def near_duplicates(
@@ -194,10 +192,9 @@ def near_duplicates(
     Candidates are compared twice. First each node of a band's bucket with the smallest node of the bucket, so a bucket
     of many copies costs as many comparisons as it has nodes. Then the nodes of buckets that still hold several
     components get many narrower bands, and those of different components that share one are compared, unless the
-    distances to a center they have in common already tell them apart: texts x and y differ in at least
-    far(x) + far(y) - 2 * min(far(x) - own(x), far(y) - own(y)) shingles, where ``own`` counts those that no other of
-    these nodes and centers has. So
-    a large group of loosely similar texts does not meet in all pairs. Either time a pair of similarity 0.8 is missed with a
+    distances to a center they have in common already tell them apart: what differs between x and y is at least
+    far(x) + far(y) less twice the shingles that both have unlike the center, and 256 marks bound these. So a large group
+    of loosely similar texts does not meet in all pairs. Either time a pair of similarity 0.8 is missed with a
     probability near 1e-7, and every link is verified on the full sets.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -226,22 +223,19 @@ def near_duplicates(
     mixed = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
     mixed = placed.join(mixed.select("key"), "key").select("node", "label").distinct()
     mixed_texts = stage(texts.join(mixed, "node"), "mixed")
-    # each node's smallest center, how far it is from it (shingles that one of them has alone), and its own shingles
+    # each node's smallest center, how far it is from it (shingles that one of them has alone) and the marks of these
+    far = F.col("na") + F.col("nb") - 2 * F.col("common")
+    set_marks = sum(F.bit_count(m) for m in MARKS)
     away = stars.groupBy(F.col("a").alias("node")).agg(
-        F.min(F.struct(F.col("b").alias("pivot"), (F.col("na") + F.col("nb") - 2 * F.col("common")).alias("far"), F.col("na").alias("size"))).alias("p")
-    )
-    away = stage(mixed_texts.select("node").join(away, "node"), "away")
-    around = mixed_texts.select("node").unionAll(away.select("p.pivot")).distinct()  # own shingles are in no center either
-    own = _own_shingles(texts.join(around, "node"), width)
-    known = (
-        mixed_texts.select("node", "label").join(away, "node", "left").join(own, "node", "left")
-        .select("node", "label", F.coalesce("p.pivot", "node").alias("pivot"), F.coalesce("p.far", F.lit(0)).alias("far"),
-                F.col("p.size").alias("size"), F.coalesce("own", F.lit(0)).alias("own"))
+        F.min(F.struct(F.col("b").alias("pivot"), far.alias("far"), F.col("na").alias("size"), (far - set_marks).alias("extra"), *MARKS)).alias("p")
     )
+    known = mixed_texts.select("node", "label").join(away, "node", "left").select("node", "label", "p.*")
+    known = known.withColumn("pivot", F.coalesce("pivot", "node"))
     fine = stage(_fine_keys(mixed_texts, width).join(known, "node"), "fine")
-    fine = fine.select(F.explode("bands").alias("key"), "node", "label", "pivot", "far", "size", "own")
-    one, two = (fine.select("key", *[F.col(c).alias(f"{c}_{side}") for c in fine.columns[1:]]) for side in "ab")
-    apart = F.expr("far_a + far_b - 2 * least(far_a - own_a, far_b - own_b)")  # at least so many shingles differ
+    fine = fine.select(F.explode("bands").alias("key"), *known.columns)
+    one, two = (fine.select("key", *[F.col(c).alias(f"{c}_{side}") for c in known.columns]) for side in "ab")
+    shared_marks = sum(F.bit_count(F.col(f"{m}_a").bitwiseAND(F.col(f"{m}_b"))) for m in MARKS)
+    apart = F.col("far_a") + F.col("far_b") - 2 * (shared_marks + F.least("extra_a", "extra_b"))  # so many shingles differ at least
     near = (F.col("pivot_a") != F.col("pivot_b")) | (apart * (100 + percent) <= (F.col("size_a") + F.col("size_b")) * (100 - percent))
     cross = one.join(two, "key").where((F.col("node_a") > F.col("node_b")) & (F.col("label_a") != F.col("label_b")) & F.coalesce(near, F.lit(True)))
     rest = cross.groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b")).agg(F.first("label_a").alias("la"), F.first("label_b").alias("lb"))
@@ -259,6 +253,7 @@ def near_duplicates(
     )
     placed_rows = stage(placed_rows, "placed")
     smallest = placed_rows.where("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    smallest = stage(smallest, "smallest")  # so that a hot label can be split in the join
     return placed_rows.join(smallest, "label", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"),
         F.coalesce(F.coalesce("component_id", "doc_id") == F.col("doc_id"), F.lit(True)).alias("kept"),
