@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import small_side
 from ..sources.tables import stage
 from . import text as tx
 
@@ -71,6 +72,13 @@ def line_keys(sums: np.ndarray, begin: np.ndarray, stop: np.ndarray, edits: int)
     return index, np.column_stack(probes)
 
 
+def parities(raw: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """64 bits per line: is the number of bytes of each kind (its last six bits) odd? An edit changes two bits at most."""
+    bits = np.zeros(len(raw) + 1, tx.U64)
+    np.bitwise_xor.accumulate(tx.U64(1) << (raw & 63).astype(tx.U64), out=bits[1:])
+    return bits[stop] ^ bits[begin]
+
+
 def within_edits(left: list[bytes], right: list[bytes], edits: int) -> np.ndarray:
     """Are the two strings of each pair at most ``edits`` byte edits apart?
 
@@ -174,7 +182,8 @@ def duplicate_lines(docs: DataFrame, edits: int = EDITS, id_col: str = "doc_id",
     all keep them. An empty table gives an empty result. Other columns are not read.
 
     Equal lines are one entry (by a 64-bit hash), so a very frequent line meets others once. Segments and probes are
-    joined on 8-byte keys; texts are moved only to be compared.
+    joined on 8-byte keys, and a pair goes on only if the parities of its bytes allow so few edits; texts are moved only
+    to be compared, and only those of candidates as long as the list of these is small enough to broadcast.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     widths = edits + 1, sum(
@@ -184,20 +193,20 @@ def duplicate_lines(docs: DataFrame, edits: int = EDITS, id_col: str = "doc_id",
 
     def keyed(raw, sums, begin, stop):
         found = line_keys(sums, begin, stop, edits) if len(begin) else [np.zeros((0, w), tx.U64) for w in widths]
-        return [
-            tx.lists(pa.array(x.ravel().view(np.int64)), np.arange(len(begin) + 1) * x.shape[1]) for x in found
-        ], ["segs", "probes"]
+        keys = [tx.lists(pa.array(x.ravel().view(np.int64)), np.arange(len(begin) + 1) * x.shape[1]) for x in found]
+        return [*keys, pa.array(parities(raw, begin, stop).view(np.int64))], ["segs", "probes", "odd"]
 
-    entries = _lines(rows, ", segs array<long>, probes array<long>", keyed).groupBy("line").agg(
-        F.first("segs").alias("segs"), F.first("probes").alias("probes")
+    entries = _lines(rows, ", segs array<long>, probes array<long>, odd long", keyed).groupBy("line").agg(
+        F.first("segs").alias("segs"), F.first("probes").alias("probes"), F.first("odd").alias("odd")
     )
-    index = entries.select(F.explode("segs").alias("key"), F.col("line").alias("a"))
-    probe = entries.select(F.explode("probes").alias("key"), F.col("line").alias("b")).where("key <> 0")
-    pairs = index.join(probe, "key").where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    pairs = stage(pairs.distinct(), "line-pairs")
-
-    wanted = pairs.select(F.col("a").alias("line")).unionAll(pairs.select("b")).distinct()
-    texts = _lines(rows, ", bytes binary", _texts).select("line", "bytes").join(wanted, "line")
+    index = entries.select(F.explode("segs").alias("key"), F.col("line").alias("a"), F.col("odd").alias("odd_a"))
+    probe = entries.select(F.explode("probes").alias("key"), F.col("line").alias("b"), F.col("odd").alias("odd_b")).where("key <> 0")
+    differ = F.bit_count(F.col("odd_a").bitwiseXOR(F.col("odd_b")))
+    pairs = index.join(probe, "key").where((F.col("a") != F.col("b")) & (differ <= 2 * edits))
+    pairs = stage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-pairs")
+
+    wanted = stage(pairs.select(F.col("a").alias("line")).unionAll(pairs.select("b")).distinct(), "line-wanted")
+    texts = _lines(rows, ", bytes binary", _texts).select("line", "bytes").join(small_side(wanted), "line")
     texts = stage(texts.groupBy("line").agg(F.first("bytes").alias("bytes")), "line-texts")
     left = texts.select(F.col("line").alias("a"), F.col("bytes").alias("x"))
     right = texts.select(F.col("line").alias("b"), F.col("bytes").alias("y"))
@@ -215,6 +224,7 @@ def duplicate_lines(docs: DataFrame, edits: int = EDITS, id_col: str = "doc_id",
     of_other = first.select(F.col("line").alias("other"), F.col("first").alias("near"))
     near = both.join(of_other, "other").groupBy("line").agg(F.min("near").alias("near"))
     limits = first.join(near, "line", "left").where("n > 1 OR near < first").select("line", F.least("first", "near").alias("limit"))
+    limits = stage(limits, "line-limits")  # so that a hot line can be split in the join
     return places.join(limits, "line").where(_place() > F.col("limit")).select("doc_id", "line_no").distinct()
 
 
