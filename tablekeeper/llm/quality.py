@@ -18,7 +18,6 @@ TREES, DEPTH, BINS, RATE, LEAF_ROWS, RIDGE = 120, 5, 64, 0.1, 10, 1.0
 THRESHOLD = 0.3
 
 _WORDS = tx.alphabet("nonspace")
-_LINES = tx.alphabet("nonspace")
 _CLASSES = 12
 
 
