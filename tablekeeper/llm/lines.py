@@ -12,8 +12,10 @@ from ..sources.tables import stage
 from . import text as tx
 
 EDITS = 2
-LEAST_BYTES = 20
-"""Shorter lines say too little to be called copies; they are left alone."""
+LEAST_BYTES = 1
+"""Every line that is not blank is compared."""
+NEAR_BYTES = 20
+"""In shorter lines two edits change too much: they are copies of equal lines only."""
 _VALUES = tx.alphabet("nonspace", fold=False)[1]
 _NONSPACE = tx.alphabet("nonspace")[0]
 _CELLS = 4 << 20
@@ -35,6 +37,23 @@ def split_lines(raw: np.ndarray, bounds: np.ndarray, least: int = LEAST_BYTES):
     return begin, stop, row, number
 
 
+def characters(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Value and last byte of each UTF-8 character, and how many characters begin before each byte (and the end).
+
+    Bytes that are no UTF-8 belong to the character before them in the same row.
+    """
+    lead = (raw & 0xC0) != 0x80
+    lead[bounds[:-1][bounds[:-1] < len(raw)]] = True
+    before = np.zeros(len(raw) + 1, np.int64)
+    np.cumsum(lead, out=before[1:])
+    if before[-1] == len(raw):
+        return raw.astype(tx.U64), raw, before
+    start = np.flatnonzero(lead)
+    within = np.arange(len(raw)) - start[before[1:] - 1]
+    shifted = raw.astype(tx.U64) << (8 * np.minimum(within, 7)).astype(tx.U64)
+    return np.add.reduceat(shifted, start), raw[np.append(start[1:], len(raw)) - 1], before
+
+
 def segments(length: np.ndarray, edits: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """(offset, size) of the edits + 1 segments of lines of such lengths, the longer ones last."""
     small, more = length // (edits + 1), length % (edits + 1)
@@ -72,21 +91,21 @@ def line_keys(sums: np.ndarray, begin: np.ndarray, stop: np.ndarray, edits: int)
     return index, np.column_stack(probes)
 
 
-def parities(raw: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> np.ndarray:
-    """64 bits per line: is the number of bytes of each kind (its last six bits) odd? An edit changes two bits at most."""
-    bits = np.zeros(len(raw) + 1, tx.U64)
-    np.bitwise_xor.accumulate(tx.U64(1) << (raw & 63).astype(tx.U64), out=bits[1:])
+def parities(last: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """64 bits per line: is the number of characters of each kind (the last six bits) odd? An edit changes two bits at most."""
+    bits = np.zeros(len(last) + 1, tx.U64)
+    np.bitwise_xor.accumulate(tx.U64(1) << (last & 63).astype(tx.U64), out=bits[1:])
     return bits[stop] ^ bits[begin]
 
 
 def within_edits(left: list[bytes], right: list[bytes], edits: int) -> np.ndarray:
-    """Are the two strings of each pair at most ``edits`` byte edits apart?
+    """Are the two UTF-8 strings of each pair at most ``edits`` edits of characters apart?
 
     Hyyrö's bit-parallel edit distance on the band of 2 * edits + 1 diagonals: each bit of a word is a cell of a
     column, and the pairs of a block go through the columns together.
     """
-    m = np.fromiter(map(len, left), np.int64, len(left))
-    n = np.fromiter(map(len, right), np.int64, len(right))
+    left, m = _points(left)
+    right, n = _points(right)
     out = np.zeros(len(left), bool)
     near = np.flatnonzero(np.abs(m - n) <= edits)
     near = near[np.argsort(n[near], kind="stable")]
@@ -101,16 +120,24 @@ def within_edits(left: list[bytes], right: list[bytes], edits: int) -> np.ndarra
     return out
 
 
+def _points(texts: list[bytes]) -> tuple[list[np.ndarray], np.ndarray]:
+    bounds = np.concatenate([[0], np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))])
+    points, _, before = characters(np.frombuffer(b"".join(texts), np.uint8), bounds)
+    at = before[bounds]
+    points = points.astype(np.uint32)
+    return [points[i:j] for i, j in zip(at[:-1], at[1:], strict=True)], np.diff(at)
+
+
 def _band(left, right, m, n, edits):
     pairs, columns, width = len(m), int(n.max()), 2 * edits + 1
 
     def laid(texts, size, pad, shift, rows):
-        out = np.full((rows, pairs), pad, np.uint16)
-        data = np.frombuffer(b"".join(texts), np.uint8)
+        out = np.full((rows, pairs), pad, np.uint32)
+        data = np.concatenate(texts)
         out[tx.ragged(np.full(pairs, shift), size), np.repeat(np.arange(pairs), size)] = data
         return out
 
-    a = laid(left, m, 256, edits, columns + 3 * edits + 2)  # row i + edits has the i-th byte (from 0)
+    a = laid(left, m, 256, edits, columns + 3 * edits + 2)  # row i + edits has the i-th character (from 0)
     b = laid(right, n, 257, 0, columns)
     mask = np.uint32((1 << width) - 1)
     vp = np.full(pairs, ((1 << width) - 1) & ~((1 << edits) - 1), np.uint32)
@@ -137,18 +164,18 @@ def _band(left, right, m, n, edits):
 
 # --- on DataFrames ---------------------------------------------------------------
 
-def _lines(docs: DataFrame, extra: str, make) -> DataFrame:
-    """One row per line: its hash, doc_id, line_no and what ``make(slice of lines)`` adds."""
+def _lines(docs: DataFrame, extra: str, make, least: int = NEAR_BYTES) -> DataFrame:
+    """One row per line of ``least`` bytes: its hash, doc_id, line_no and what ``make(slice of lines)`` adds."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
             ids = batch.column(0)
             for a, b, raw, bounds in tx.slices(tx.column(batch, "text")):
-                begin, stop, row, number = split_lines(raw, bounds)
+                begin, stop, row, number = split_lines(raw, bounds, least)
                 sums = tx.prefix_sums(_VALUES[raw])
                 line = pa.array(tx.range_hash(sums, begin, stop).view(np.int64))
-                arrays, names = make(raw, sums, begin, stop)
+                arrays, names = make(raw, bounds, begin, stop)
                 yield pa.RecordBatch.from_arrays(
                     [line, ids.slice(a, b - a).take(pa.array(row)), pa.array(number), *arrays], ["line", "doc_id", "line_no", *names]
                 )
@@ -156,11 +183,11 @@ def _lines(docs: DataFrame, extra: str, make) -> DataFrame:
     return docs.mapInArrow(run, f"line long, doc_id {kind}, line_no long{extra}")
 
 
-def _plain(raw, sums, begin, stop):
+def _plain(raw, bounds, begin, stop):
     return [], []
 
 
-def _texts(raw, sums, begin, stop):
+def _texts(raw, bounds, begin, stop):
     data = raw.tobytes()
     return [pa.array([data[i:j] for i, j in zip(begin, stop, strict=True)], pa.binary())], ["bytes"]
 
@@ -173,8 +200,8 @@ def _place() -> F.Column:
 def duplicate_lines(docs: DataFrame, edits: int = EDITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, line_no) of each line that an earlier line is within ``edits`` edits of.
 
-    Lines are what line breaks part, without outer white space and of LEAST_BYTES bytes at least; others are never
-    listed. Edits are counted on UTF-8 bytes. "Earlier" is by id, then by line number (from 0); rows without id come
+    Lines are what line breaks part, without outer white space; blank ones are never listed. Edits are counted on
+    characters, between lines of NEAR_BYTES bytes and more; a shorter line is listed if an earlier one equals it. "Earlier" is by id, then by line number (from 0); rows without id come
     last. So of equal lines the first stays, unless an earlier line is nearly equal; whether that one stays itself
     does not matter, so the result depends on no order of work.
 
@@ -182,7 +209,7 @@ def duplicate_lines(docs: DataFrame, edits: int = EDITS, id_col: str = "doc_id",
     all keep them. An empty table gives an empty result. Other columns are not read.
 
     Equal lines are one entry (by a 64-bit hash), so a very frequent line meets others once. Segments and probes are
-    joined on 8-byte keys, and a pair goes on only if the parities of its bytes allow so few edits; texts are moved only
+    joined on 8-byte keys, and a pair goes on only if the parities of its characters allow so few edits; texts are moved only
     to be compared, and only those of candidates as long as the list of these is small enough to broadcast.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -191,10 +218,12 @@ def duplicate_lines(docs: DataFrame, edits: int = EDITS, id_col: str = "doc_id",
         for _ in range(max(-i, less - (edits - i)), min(i, less + edits - i) + 1)
     )
 
-    def keyed(raw, sums, begin, stop):
+    def keyed(raw, bounds, begin, stop):
+        points, last, before = characters(raw, bounds)
+        begin, stop, sums = before[begin], before[stop], tx.prefix_sums(tx.mix(points + tx.U64(1)))
         found = line_keys(sums, begin, stop, edits) if len(begin) else [np.zeros((0, w), tx.U64) for w in widths]
         keys = [tx.lists(pa.array(x.ravel().view(np.int64)), np.arange(len(begin) + 1) * x.shape[1]) for x in found]
-        return [*keys, pa.array(parities(raw, begin, stop).view(np.int64))], ["segs", "probes", "odd"]
+        return [*keys, pa.array(parities(last, begin, stop).view(np.int64))], ["segs", "probes", "odd"]
 
     entries = _lines(rows, ", segs array<long>, probes array<long>, odd long", keyed).groupBy("line").agg(
         F.first("segs").alias("segs"), F.first("probes").alias("probes"), F.first("odd").alias("odd")
@@ -218,7 +247,7 @@ def duplicate_lines(docs: DataFrame, edits: int = EDITS, id_col: str = "doc_id",
 
     links = stage(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(compare, "a long, b long"), "line-links")
 
-    places = _lines(rows, "", _plain)
+    places = _lines(rows, "", _plain, LEAST_BYTES)
     first = stage(places.groupBy("line").agg(F.min(_place()).alias("first"), F.count(F.lit(1)).alias("n")), "line-first")
     both = links.select(F.col("a").alias("line"), F.col("b").alias("other")).unionAll(links.select("b", "a"))
     of_other = first.select(F.col("line").alias("other"), F.col("first").alias("near"))

@@ -245,6 +245,33 @@ def test_lines_match_brute_force(spark):
     assert got(lines.duplicate_lines(docs(spark, [])), "doc_id") == []
 
 
+def test_short_lines_and_characters(spark):
+    """Short lines are copies of equal ones only, and an edit is one of a character however many bytes it has."""
+    accents, chinese = "der größte Käse über allen Bergen", "数据处理系统的设计与实现方法"
+    rows = [
+        (1, "Kurz.\n\nab\n" + accents), (2, " Kurz.\t\n \nac\n" + accents.replace("ö", "ø").replace("Ü".lower(), "u")),
+        (3, chinese + "\nx\nx"), (4, chinese.replace("系", "糸") + "\nKurz!"), (5, "数据处理\n" + "的".join(chinese)),
+        (6, "数据处理\nab"), (7, accents.replace("ö", "o").replace("ä", "a").replace("ü", "u")),
+    ]
+    listed = [(2, 0), (2, 3), (3, 2), (4, 0), (6, 0), (6, 1), (7, 0)]
+    assert distance(accents, rows[6][1]) == 3 and distance(rows[1][1].split("\n")[3], rows[6][1]) == 2
+    assert sorted(got(lines.duplicate_lines(docs(spark, rows)), "doc_id", "line_no")) == listed
+    left = dict(got(lines.remove_lines(docs(spark, rows)), "doc_id", "text"))
+    assert left == {
+        i: "\n".join(x for k, x in enumerate(text.split("\n")) if (i, k) not in listed) for i, text in rows
+    }
+    pick, pairs = random.Random(6), []
+    for _ in range(800):
+        a = pick.choices("aé中😀", k=pick.randrange(0, 20))
+        b = list(a)
+        for _ in range(pick.randrange(5)):
+            at = pick.randrange(len(b) + 1)
+            b[at : at + pick.randrange(2)] = pick.choices("aé中😀", k=pick.randrange(2))
+        pairs.append(("".join(a), "".join(b)))
+    near = lines.within_edits([a.encode() for a, _ in pairs], [b.encode() for _, b in pairs], 2)
+    assert near.tolist() == [distance(a, b) <= 2 for a, b in pairs]
+
+
 # --- passages ------------------------------------------------------------------------------
 
 def test_passages(spark):
