@@ -165,22 +165,24 @@ def _band(left, right, m, n, edits):
 # --- on DataFrames ---------------------------------------------------------------
 
 def _lines(docs: DataFrame, extra: str, make, least: int = NEAR_BYTES) -> DataFrame:
-    """One row per line of ``least`` bytes: its hash, doc_id, line_no and what ``make(slice of lines)`` adds."""
+    """One row per line of ``least`` bytes: its hash, doc_id, copy (of the text), line_no and what ``make(slice of lines)`` adds."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
-            ids = batch.column(0)
+            ids, copies = batch.column(0), batch.column(1)
             for a, b, raw, bounds in tx.slices(tx.column(batch, "text")):
                 begin, stop, row, number = split_lines(raw, bounds, least)
                 sums = tx.prefix_sums(_VALUES[raw])
                 line = pa.array(tx.range_hash(sums, begin, stop).view(np.int64))
                 arrays, names = make(raw, bounds, begin, stop)
+                take = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
-                    [line, ids.slice(a, b - a).take(pa.array(row)), pa.array(number), *arrays], ["line", "doc_id", "line_no", *names]
+                    [line, ids.slice(a, b - a).take(take), copies.slice(a, b - a).take(take), pa.array(number), *arrays],
+                    ["line", "doc_id", "copy", "line_no", *names],
                 )
 
-    return docs.mapInArrow(run, f"line long, doc_id {kind}, line_no long{extra}")
+    return docs.mapInArrow(run, f"line long, doc_id {kind}, copy long, line_no long{extra}")
 
 
 def _plain(raw, bounds, begin, stop):
@@ -193,8 +195,14 @@ def _texts(raw, bounds, begin, stop):
 
 
 def _place() -> F.Column:
-    """Order of lines: by id (NULL last), then by number."""
-    return F.struct(F.col("doc_id").isNull().alias("x"), F.col("doc_id").alias("y"), F.col("line_no").alias("z"))
+    """Order of lines: by id (NULL last), then by number, then by a hash of the text they are in."""
+    return F.struct(
+        F.col("doc_id").isNull().alias("x"), F.col("doc_id").alias("y"), F.col("line_no").alias("z"), F.col("copy").alias("copy")
+    )
+
+
+def _copy(text_col: str) -> F.Column:
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
 
 
 def duplicate_lines(docs: DataFrame, edits: int = EDITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -205,14 +213,20 @@ def duplicate_lines(docs: DataFrame, edits: int = EDITS, id_col: str = "doc_id",
     last. So of equal lines the first stays, unless an earlier line is nearly equal; whether that one stays itself
     does not matter, so the result depends on no order of work.
 
-    NULL and empty texts have no lines. Rows that repeat an id are one place: where their lines are equal and first,
-    all keep them. An empty table gives an empty result. Other columns are not read.
+    NULL and empty texts have no lines. Rows that repeat id and text are one place: where their lines are first, all
+    keep them. Rows of one id (or of none) with different texts are told apart by a hash of the text; where their lines
+    are equal and at one number, the smallest hash is the earlier. An empty table gives an empty result. Other columns are not read.
 
     Equal lines are one entry (by a 64-bit hash), so a very frequent line meets others once. Segments and probes are
     joined on 8-byte keys, and a pair goes on only if the parities of its characters allow so few edits; texts are moved only
     to be compared, and only those of candidates as long as the list of these is small enough to broadcast.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return _repeats(docs, edits, id_col, text_col).select("doc_id", "line_no").distinct()
+
+
+def _repeats(docs: DataFrame, edits: int, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, copy (hash of the text) and line_no of each line that duplicate_lines() lists; rows may repeat."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), _copy(text_col).alias("copy"), F.col(text_col).alias("text"))
     widths = edits + 1, sum(
         1 for less in range(edits + 1) for i in range(edits + 1)
         for _ in range(max(-i, less - (edits - i)), min(i, less + edits - i) + 1)
@@ -254,17 +268,20 @@ def duplicate_lines(docs: DataFrame, edits: int = EDITS, id_col: str = "doc_id",
     near = both.join(of_other, "other").groupBy("line").agg(F.min("near").alias("near"))
     limits = first.join(near, "line", "left").where("n > 1 OR near < first").select("line", F.least("first", "near").alias("limit"))
     limits = stage(limits, "line-limits")  # so that a hot line can be split in the join
-    return places.join(limits, "line").where(_place() > F.col("limit")).select("doc_id", "line_no").distinct()
+    return places.join(limits, "line").where(_place() > F.col("limit")).select("doc_id", "copy", "line_no")
 
 
 def remove_lines(docs: DataFrame, edits: int = EDITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the lines of ``duplicate_lines``; ``removed_lines`` (long) is added, or replaces its like.
 
-    Rows, ids and other columns stay. A text that loses no line stays as it is.
+    Rows, ids and other columns stay. A text that loses no line stays as it is. Line numbers are of one id and text, so
+    neither rows without id nor those that repeat one lose lines of each other.
     """
-    listed = duplicate_lines(docs, edits, id_col, text_col).groupBy("doc_id").agg(F.collect_set("line_no").alias("_gone"))
+    listed = _repeats(docs, edits, id_col, text_col).groupBy("doc_id", "copy").agg(F.collect_set("line_no").alias("_gone"))
+    listed = listed.withColumnsRenamed({"doc_id": "_id", "copy": "_copy"})
     rows = docs.drop("removed_lines", "_gone")
-    joined = rows.join(listed.withColumnRenamed("doc_id", "_id"), rows[id_col].eqNullSafe(F.col("_id")), "left")
+    own = rows[id_col].eqNullSafe(F.col("_id")) & (_copy(text_col) == F.col("_copy"))
+    joined = rows.join(listed, own, "left")
     lines = F.split(F.col(text_col), "\n", -1)
     kept = F.filter(lines, lambda _, i: ~F.array_contains(F.col("_gone"), i.cast("long")))
     return joined.select(

@@ -272,6 +272,21 @@ def test_short_lines_and_characters(spark):
     assert near.tolist() == [distance(a, b) <= 2 for a, b in pairs]
 
 
+def test_rows_without_id_or_with_one_id_keep_their_own_lines(spark):
+    first, second, own = "the very first line of all rows", "another line that stands elsewhere", "a line that no other row has"
+    rows = [
+        (1, first + "\n" + second), (None, first), (None, own), (None, own + " at all\n" + second), (None, None), (None, ""),
+        (7, first + "\nseven alone has this one line"), (7, "only the second row of seven has it\n" + second), (8, own + "\n" + first),
+    ]
+    cut = lines.remove_lines(docs(spark, rows)).withColumn("text", F.coalesce("text", F.lit("(null)")))
+    assert sorted(got(cut, "doc_id", "text", "removed_lines"), key=str) == sorted([
+        (1, rows[0][1], 0), (None, "", 1), (None, "", 1), (None, own + " at all", 1), (None, "(null)", 0), (None, "", 0),
+        (7, "seven alone has this one line", 1), (7, "only the second row of seven has it", 1), (8, own, 1),
+    ], key=str)
+    same = got(lines.remove_lines(docs(spark, [(None, own + "\n1"), (None, own + "\n2"), (3, "x")])), "text", "removed_lines")
+    assert sorted(n for _, n in same) == [0, 0, 1] and {"1", "2"} & {t for t, _ in same}
+
+
 # --- passages ------------------------------------------------------------------------------
 
 def test_passages(spark):
