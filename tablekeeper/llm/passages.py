@@ -10,16 +10,53 @@ from pyspark.sql import functions as F
 from ..sources.tables import stage
 from . import text as tx
 
-RUN_SENTENCES, RUN_WORDS, LONE_WORDS = 2, 25, 50
+RUN_SENTENCES, RUN_WORDS, LONE_WORDS = 2, 8, 50
 """A run has at least so many sentences and words; a sentence of LONE_WORDS words or more is a run by itself.
 
-With these, a passage of more than 2 * RUN_WORDS words in whole sentences is covered by runs inside it.
+So a passage goes wherever it has two whole sentences of RUN_WORDS words together, though it starts and ends within others.
 """
 _TABLES = tx.alphabet("nonspace")
-_STOPS = np.zeros(256, bool)
-_STOPS[list(b".!?")] = True
-_CLOSERS = np.zeros(256, bool)
-_CLOSERS[list(b"\"')]")] = True
+_STOPS, _CLOSERS = ".!?。！？．｡؟۔।", "\"')]”’»」』）】》〉"
+
+
+def _ends_with(raw: np.ndarray, start: np.ndarray, end: np.ndarray, characters: str) -> np.ndarray:
+    """Bytes of the one of ``characters`` that ends each stretch, 0 if none does."""
+    out = np.zeros(len(end), np.int64)
+    for c in characters:
+        code = c.encode()
+        found = end - start >= len(code)
+        for k, byte in enumerate(code):
+            found &= raw[np.maximum(end - len(code) + k, 0)] == byte
+        out[found] = len(code)
+    return out
+
+
+def words(raw: np.ndarray, bounds: np.ndarray):
+    """Start, end and hash of every word, bounds of the rows within the words.
+
+    White space parts words. A Chinese or Japanese character starts one, and so does what follows a full stop of
+    those scripts (a closing quote or bracket may follow), unless it is such a mark itself.
+    """
+    inside, values = _TABLES
+    start, end = tx.spans(inside[raw], bounds)
+    if len(raw) and raw.max() >= 0xE3:
+        one, two = np.zeros((2, len(raw)), np.uint8)
+        one[:-1], two[:-2] = raw[1:], raw[2:]
+        begins = (raw >= 0xE4) & (raw <= 0xE9) | (raw == 0xE3) & ((one >= 0x81) & (one != 0x83) | (one == 0x83) & (two != 0xBC))
+        begins |= (raw == 0xF0) & ((one >= 0xA0) & (one <= 0xB3))
+        lead = np.flatnonzero((raw & 0xC0) != 0x80)
+        mark = (raw == 0xE3) & (one == 0x80) | (raw == 0xEF) & ((one == 0xBC) | (one == 0xBD)) | (raw == 0xE2) & (one == 0x80)
+        mark |= np.isin(raw, np.frombuffer(b".!?\"')]", np.uint8))
+        closed = _ends_with(raw, np.zeros(len(lead), np.int64), lead, _CLOSERS)
+        stops = _ends_with(raw, np.zeros(len(lead), np.int64), lead - closed, "。！？．｡") > 0
+        begins[lead] |= stops & ~mark[lead]
+        begins &= inside[raw]
+        begins[start] = True
+        start = np.flatnonzero(begins)
+        last = np.searchsorted(end, start, "right")
+        end = np.minimum(end[last], np.append(start[1:], len(raw)))
+    hashes = tx.range_hash(tx.prefix_sums(values[raw]), start, end)
+    return start, end, hashes, np.searchsorted(start, bounds)
 
 
 def sentences(raw: np.ndarray, bounds: np.ndarray):
@@ -28,12 +65,11 @@ def sentences(raw: np.ndarray, bounds: np.ndarray):
     A sentence ends behind a word with a full stop, question or exclamation mark (a closing quote or bracket may
     follow), at a line break, and with its row.
     """
-    start, end, hashes, by_row = tx.words(raw, bounds, _TABLES)
+    start, end, hashes, by_row = words(raw, bounds)
     if not len(start):
         return start, start, (start, end, hashes), np.zeros(len(bounds), np.int64)
-    last = raw[end - 1]
-    before = raw[np.maximum(end - 2, start)]
-    ends = _STOPS[last] | (_CLOSERS[last] & _STOPS[before])
+    closed = _ends_with(raw, start, end, _CLOSERS)
+    ends = _ends_with(raw, start, end - closed, _STOPS) > 0
     breaks = np.concatenate([[0], np.cumsum(raw == 10)])
     ends[:-1] |= breaks[start[1:]] > breaks[end[:-1]]
     ends[by_row[1:][by_row[1:] > 0] - 1] = True
@@ -97,8 +133,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Documents without the sentences that a repeated run covers, except at the run's first place.
 
-    One row per row of ``docs``: ``doc_id``, ``text``, ``n_sentences`` (before) and ``n_removed``. Words are compared
-    without case (A-Z) and white space; runs are described at RUN_SENTENCES. "First" is by id (NULL last), then by a
+    One row per row of ``docs``: ``doc_id``, ``text``, ``n_sentences`` (before) and ``n_removed``. Words (in Chinese
+    and Japanese: characters) are compared without case (A-Z) and white space; runs are described at RUN_SENTENCES. "First" is by id (NULL last), then by a
     hash of the text where an id repeats, then by place in the text.
 
     NULL and empty texts have no sentences; NULL stays NULL. Rows that repeat id and text are one place: all keep their

@@ -309,6 +309,31 @@ def test_passages(spark):
     assert got(passages.remove_repeated(docs(spark, [])), "doc_id") == []
 
 
+def test_passages_that_start_and_end_within_sentences(spark):
+    inner = " ".join(prose(21, 5)).capitalize() + ". " + " ".join(prose(22, 12)).capitalize() + "."
+    head, tail = " ".join(prose(23, 20)), " ".join(prose(24, 20))
+    marks = "“" + " ".join(prose(25, 5)) + ".” " + " ".join(prose(26, 5)) + "?"
+    rows = [
+        (1, "One start " + head + ". " + inner + " " + tail + " one end."), (2, "Other beginning " + head + ". " + inner + " " + tail + " other end."),
+        (3, "Own words. " + marks + " More of them."), (4, marks + " Nothing else here."),
+    ]
+    out = {i: (text, gone) for i, text, gone in got(passages.remove_repeated(docs(spark, rows)), "doc_id", "text", "n_removed")}
+    assert out[1] == (rows[0][1], 0) and out[3] == (rows[2][1], 0)
+    assert out[2] == ("Other beginning " + head + ". " + tail.strip() + " other end.", 2)
+    assert out[4] == ("Nothing else here.", 2)
+
+
+def test_passages_without_white_space(spark):
+    shared = "他昨天说：「今天的天气很好。」我们去公园散步吧！"
+    rows = [(1, "首先要说的是。" + shared + "完了。"), (2, "第二篇。" + shared + "再见。"), (3, "こんにちは。" + shared + "OK. またね。"), (4, "好。不好。"), (5, "好。不好。")]
+    out = {r[0]: r[1:] for r in got(passages.remove_repeated(docs(spark, rows)), "doc_id", "text", "n_sentences", "n_removed")}
+    assert out[1] == (rows[0][1], 4, 0) and out[2] == ("第二篇。再见。", 4, 2) and out[3] == ("こんにちは。OK. またね。", 5, 2)
+    assert out[4] == out[5] == ("好。不好。", 2, 0)
+    raw = np.frombuffer("「中文。」abc字x 、データ。End「文」".encode(), np.uint8)
+    start, end, _, _ = passages.words(raw, np.array([0, len(raw)]))
+    assert [raw[i:j].tobytes().decode() for i, j in zip(start, end, strict=True)] == ["「", "中", "文。」", "abc", "字x", "、", "デー", "タ。", "End「", "文」"]
+
+
 # --- packing ---------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("limits", [(2048, 256, 2048), (64, 3, 40)])
