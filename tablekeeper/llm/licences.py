@@ -5,6 +5,7 @@ DataFrame and SQL functions only; the model is fitted by Spark's own logistic re
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
@@ -165,6 +166,35 @@ def paragraphs(docs: DataFrame, needles: list[str] | None = None, id_col: str =
     return rows.where(_has(F.col("paragraph"), needles)) if needles is not None else rows
 
 
+def blocks(docs: DataFrame, needles: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, paragraph_no (number of the first line) and paragraph of each run of two or more lines that have words.
+
+    Lines without letters and digits part them, those of a comment sign included. Only those with a needle are listed.
+    """
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where(_has(F.col("text"), needles))
+    marked = F.regexp_replace(F.translate("text", "\x01", " "), r"(?md)^[^\p{L}\p{N}\n]*$", "\x01")
+    rows = rows.select("doc_id", marked.alias("_marked")).withColumn("_parts", F.split("_marked", "\x01", -1))
+    rows = rows.select("doc_id", "_marked", F.posexplode("_parts").alias("_k", "_part"))
+    rows = rows.withColumn("paragraph", F.expr("trim(BOTH '\n' FROM _part)"))
+    rows = rows.where(F.contains(F.col("paragraph"), F.lit("\n")) & _has(F.col("paragraph"), needles))
+    before = F.expr("concat(substring_index(_marked, '\x01', _k), substring(_part, 1, length(_part) - length(trim(LEADING '\n' FROM _part))))")
+    return rows.select("doc_id", (F.length(before) - F.length(F.translate(before, "\n", ""))).alias("paragraph_no"), "paragraph")
+
+
+def versions(own: list[str]) -> list[list[str]]:
+    """Pairs of a template that name a version (or number of clauses), each with its other spelling (3 for 3.0)."""
+    found = [p for p in own if re.fullmatch(r"\D\S* \d{1,2}(\.\d+|-clause)?", p)]
+    return [[p, p.removesuffix(".0") if p.endswith(".0") else p + ".0"] for p in found]
+
+
+def _share(own_pairs, own: list[str]) -> F.Column:
+    """Part of the template's pairs that are there; 0 if what tells its version is not."""
+    share = F.size(F.array_intersect(own_pairs, _array(own))) / F.lit(float(len(own)))
+    for either in versions(own):
+        share = F.when(F.arrays_overlap(own_pairs, _array(either)), share).otherwise(0.0)
+    return share
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Fit on the templates, alone and inside paragraphs of the documents, against NEGATIVES other paragraphs.
 
@@ -226,18 +256,24 @@ def _by_hash():
 
 
 def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Licence family of every paragraph (line) that may state one.
+    """Licence family of every paragraph that may state one.
+
+    A paragraph is a line. Where consecutive lines (parted by lines without words) state a licence together that none
+    of them states alone, as in a notice that is broken into lines, they are one paragraph more, under the number of
+    their first line; of several such licences in one of these the most probable is given.
 
-    One row per such paragraph: ``doc_id``, ``paragraph_no`` (from 0), ``paragraph``, ``predicted`` (family or
+    One row per paragraph: ``doc_id``, ``paragraph_no`` (from 0), ``paragraph``, ``predicted`` (family or
     "unknown"), ``probability`` of it, ``similarity`` (largest part of a template of that family that the paragraph has) and
-    ``family``: the prediction if its probability is CERTAIN and a template confirms it, else "unknown".
+    ``family``: the prediction if its probability is CERTAIN and a template confirms it, else "unknown". A template that
+    names a version confirms that version only.
 
     Paragraphs without any of the model's needles cannot be confirmed by a template and are not listed. NULL and
     empty texts have no paragraphs; repeated rows are scanned each by itself; an empty table gives an empty result. Other columns
     are not read. There is no shuffle.
     """
     vocabulary = sorted(model.weights)
-    rows = paragraphs(docs, model.needles, id_col, text_col)
+    rows = paragraphs(docs, model.needles, id_col, text_col).withColumn("_joined", F.lit(False))
+    rows = rows.unionAll(blocks(docs, model.needles, id_col, text_col).withColumn("_joined", F.lit(True)))
     rows = rows.withColumn("_tokens", words(F.col("paragraph"))).withColumn("_pairs", pairs(F.col("_tokens")))
     rows = rows.withColumn("_grams", F.array_intersect(F.concat("_tokens", "_pairs"), _array(vocabulary)))
 
@@ -254,15 +290,19 @@ def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     rows = rows.withColumn("_p", F.transform("_e", lambda e: e / F.aggregate("_e", F.lit(0.0), lambda a, x: a + x)))
     rows = rows.withColumn("probability", F.array_max("_p"))
     rows = rows.withColumn("predicted", F.element_at(_array(FAMILIES), F.array_position("_p", F.array_max("_p")).cast("int")))
-    shares = F.lit(0.0)
-    for family in TEMPLATES:
-        best = F.greatest(F.lit(0.0), *[
-            F.size(F.array_intersect("_pairs", _array(own))) / F.lit(float(len(own))) for f, own in model.templates if f == family and own
-        ])
-        shares = F.when(F.col("predicted") == family, best).otherwise(shares)
-    rows = rows.withColumn("similarity", shares)
+
+    def shares(own_pairs) -> F.Column:
+        out = F.lit(0.0)
+        for family in TEMPLATES:
+            best = F.greatest(F.lit(0.0), F.lit(0.0), *[_share(own_pairs, own) for f, own in model.templates if f == family and own])
+            out = F.when(F.col("predicted") == family, best).otherwise(out)
+        return out
+
+    rows = rows.withColumn("similarity", shares(F.col("_pairs")))
     sure = (F.col("probability") >= CERTAIN) & (F.col("similarity") >= SHARE)
-    return rows.select(
-        "doc_id", "paragraph_no", "paragraph", "predicted", "probability", "similarity",
-        F.when(sure, F.col("predicted")).otherwise(F.lit(UNKNOWN)).alias("family"),
-    )
+    by_line = F.transform(F.split("paragraph", "\n", -1), words)
+    alone = F.exists(F.transform(by_line, pairs), lambda own: shares(own) >= SHARE)
+    listed = F.when(~F.col("_joined") | (sure & ~alone), F.array(F.when(sure, F.col("predicted")).otherwise(F.lit(UNKNOWN))))
+    # generated, as a filter would be moved below the projections with copies of all of them
+    rows = rows.select("doc_id", "paragraph_no", "paragraph", "predicted", "probability", "similarity", F.explode_outer(listed).alias("family"))
+    return rows.where("family IS NOT NULL")

@@ -521,6 +521,21 @@ def test_licences(spark, model):
     assert licences.scan(docs(spark, []), model).count() == 0
 
 
+def test_licence_notices_in_several_lines(spark, model):
+    noise = sentences(98, 3)
+    mit = licences.TEMPLATES["MIT"][2].split()
+    wrapped = "/*\n * " + "\n * ".join(" ".join(mit[k : k + 8]) for k in range(0, len(mit), 8)) + "\n */"
+    heading = "    GNU GENERAL PUBLIC LICENSE\n      Version 3, 29 June 2007"
+    gpl = licences.TEMPLATES["GPL-3.0"][1].replace("the Free", "the\n# Free").replace("it under", "it\n# under")
+    share_alike = "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."
+    rows = [
+        (1, noise + "\n\n" + wrapped + "\n\n" + noise), (2, noise + "\n\n\n" + heading + "\n\n" + noise), (3, "# " + gpl),
+        (4, "# " + gpl.replace("version 3", "version 2")), (5, share_alike), (6, "\n" + licences.TEMPLATES["MIT"][2] + "\n" + noise), (7, wrapped + "\n" + noise),
+    ]
+    found = got(licences.scan(docs(spark, rows), model).where("family <> 'unknown'"), "doc_id", "paragraph_no", "family")
+    assert sorted(found) == [(1, 3, "MIT"), (2, 3, "GPL-3.0"), (3, 0, "GPL-3.0"), (6, 1, "MIT"), (7, 1, "MIT")]
+
+
 def test_needles_reach_every_confirmable_paragraph(model):
     """Whatever a fifth of a template's pairs is taken away, a needle is left."""
     pick = random.Random(1)
