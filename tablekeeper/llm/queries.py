@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, exact, html, leaks, licences, lines, minhash, packing, passages, quality
+from . import bpe, chat, divergence, exact, html, leaks, licences, lines, minhash, packing, passages, quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,6 +77,11 @@ def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources of each language against each other and against the whole language."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_license_scan": op2_license_scan,
@@ -89,6 +94,7 @@ QUERIES = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
     "op11_bpe": op11_bpe,
+    "op12_source_divergence": op12_source_divergence,
 }
 
 _FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -150,5 +156,35 @@ comp AS (SELECT a AS node, min(b) AS component_id FROM reach GROUP BY a)
 SELECT sh.doc_id, CAST(len(sh.s) AS BIGINT) AS n_shingles, coalesce(component_id, sh.doc_id) AS component_id,
        coalesce(component_id, sh.doc_id) = sh.doc_id AS kept
 FROM sh LEFT JOIN same ON list_sort(sh.s) = same.s LEFT JOIN comp USING (node)
+""",
+    "op12_source_divergence": rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS row_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all({_FOLD}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+occ AS (SELECT row_id, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS lang_n FROM occ GROUP BY lang, term HAVING count(DISTINCT row_id) >= 3),
+langs AS (SELECT lang, count(*) AS v, CAST(sum(lang_n) AS BIGINT) AS n FROM kept GROUP BY lang),
+grp AS (SELECT DISTINCT lang, source FROM d),
+cnt AS (SELECT lang, source, term, count(*) AS n FROM occ JOIN kept USING (lang, term) GROUP BY lang, source, term),
+tot AS (SELECT lang, source, CAST(sum(n) AS BIGINT) AS n FROM cnt GROUP BY lang, source),
+shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+         1 + 1000000000 * (coalesce(c.n, 0) + 1) // (coalesce(t.n, 0) + l.v) AS p,
+         1 + 1000000000 * (k.lang_n + 1) // (l.n + l.v) AS q
+  FROM grp g JOIN langs l USING (lang) JOIN kept k USING (lang)
+  LEFT JOIN tot t ON t.lang = g.lang AND t.source = g.source
+  LEFT JOIN cnt c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+priced AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(sum((a.p - b.p) * (a.p - b.p) // b.p) AS BIGINT) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pair AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN priced p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source),
+term AS (SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // q AS value FROM shares WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+  FROM (SELECT * FROM pair UNION ALL SELECT * FROM term))
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200
 """,
 }
