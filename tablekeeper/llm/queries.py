@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, divergence, exact, html, leaks, licences, lines, minhash, packing, passages, quality
+from . import bpe, chat, divergence, exact, html, leaks, licences, lines, minhash, packing, passages, quality, spelling
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -82,6 +82,11 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all texts with the spelling that each is a variant of."""
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_license_scan": op2_license_scan,
@@ -95,6 +100,7 @@ QUERIES = {
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
     "op11_bpe": op11_bpe,
     "op12_source_divergence": op12_source_divergence,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 _FOLD = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
