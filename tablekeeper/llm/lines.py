@@ -6,31 +6,28 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..operators.joins import small_side
+from ..operators.joins import small_side, spread_join
 from ..sources.tables import stage
 from . import text as tx
 
 EDITS = 2
-LEAST_BYTES = 1
-"""Every line that is not blank is compared."""
-NEAR_BYTES = 20
-"""In shorter lines two edits change too much: they are copies of equal lines only."""
+NEAR_CHARS = 20
+"""In lines of fewer characters two edits change too much: they are copies of equal lines only."""
 _VALUES = tx.alphabet("nonspace", fold=False)[1]
 _NONSPACE = tx.alphabet("nonspace")[0]
 _CELLS = 4 << 20
 
 
-def split_lines(raw: np.ndarray, bounds: np.ndarray, least: int = LEAST_BYTES):
-    """Begin, end, row and number within the row of each line of at least ``least`` bytes without outer white space."""
+def split_lines(raw: np.ndarray, bounds: np.ndarray):
+    """Begin, end, row and number within the row of each line that is not blank, without outer white space."""
     start, end = tx.spans(raw != 10, bounds)
     solid = np.flatnonzero(_NONSPACE[raw])
     a, b = np.searchsorted(solid, start), np.searchsorted(solid, end)
     some = b > a
     start, a, b = start[some], a[some], b[some]
     begin, stop = solid[a], solid[b - 1] + 1
-    long = stop - begin >= least
-    start, begin, stop = start[long], begin[long], stop[long]
     breaks = np.flatnonzero(raw == 10)
     row = np.searchsorted(bounds, start, "right") - 1
     number = np.searchsorted(breaks, start) - np.searchsorted(breaks, bounds[row])
@@ -65,30 +62,75 @@ def segments(length: np.ndarray, edits: int) -> list[tuple[np.ndarray, np.ndarra
     return out
 
 
-def line_keys(sums: np.ndarray, begin: np.ndarray, stop: np.ndarray, edits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index keys (lines x edits + 1) and probe keys of each line; 0 fills the places a line has no probe for.
+def _shifts(part: int, differ: int, edits: int) -> range:
+    """Where a part met unchanged may stand: ``part`` edits at most before it, ``edits`` - part after it, ``differ`` in all."""
+    return range(max(-part, differ - (edits - part)), min(part, differ + edits - part) + 1)
+
+
+def line_keys(sums: np.ndarray, begin: np.ndarray, stop: np.ndarray, edits: int, deep: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Index keys and probe keys of each line (lines x keys); 0 fills the places a line has no probe for.
 
     An index key names a length, a segment's number and the segment. A line probes the lengths from its own down to
     ``edits`` less with every substring that a segment of such a line could stand against: if the lines are within
-    ``edits`` edits, then some segment i is met unchanged, shifted by at most i (seen from the left) and by at most
-    ``edits`` - i against the difference of lengths (seen from the right).
+    ``edits`` edits, then some segment i is met unchanged, with at most i edits before it and ``edits`` - i after it
+    (take the first i up to whose segment there are no more than i edits). So it is shifted by at most i, seen from the
+    left, and by at most ``edits`` - i against the difference of lengths, seen from the right.
+
+    ``deep`` keys say the same of what is left on both sides: a rest within e edits is cut into e + 1 parts, one of
+    which is met unchanged. A key then names the segment, a part of the left rest and a part of the right rest.
     """
     length = stop - begin
 
+    def piece(tag: int, start, size):
+        return tx.mix(tx.range_hash(sums, start, start + size) + tx.U64(tag))
+
     def key(of_length, i, start, size):
         return tx.mix(tx.range_hash(sums, start, start + size) + of_length.astype(tx.U64) * tx.U64(64) + tx.U64(i + 1))
 
-    index = np.column_stack([key(length, i, begin + at, size) for i, (at, size) in enumerate(segments(length, edits))])
-    probes = []
+    def met(base, left, right):
+        """Keys of a segment with each part of both rests; parts are (hash, does it fit)."""
+        return [
+            np.where(a_fits & b_fits, tx.mix(base + a * tx.U64(3) + b * tx.U64(5)), tx.U64(0))
+            for a, a_fits in left for b, b_fits in right
+        ]
+
+    always = np.ones(len(begin), bool)
+
+    def cut(side: int, start, size, within: int):
+        return [(piece(16 * side + j, start + at, n), always) for j, (at, n) in enumerate(segments(size, within))]
+
+    def against(side: int, start, size, own, differ: int, within: int):
+        """Substrings of the stretch of ``own`` characters that parts of a rest of ``size`` could stand against."""
+        out = []
+        for j, (at, n) in enumerate(segments(size, within)):
+            for shift in _shifts(j, differ, within):
+                fits = (at + shift >= 0) & (at + shift + n <= own)
+                out.append((piece(16 * side + j, start + np.where(fits, at + shift, 0), np.where(fits, n, 0)), fits))
+        return out
+
+    index, probes = [], []
+    for i, (at, size) in enumerate(segments(length, edits)):
+        base = key(length, i, begin + at, size)
+        if deep:
+            index += met(base, cut(1, begin, at, i), cut(2, begin + at + size, length - at - size, edits - i))
+        else:
+            index.append(base)
     for less in range(edits + 1):
         shorter = length - less
         for i, (at, size) in enumerate(segments(shorter, edits)):
-            for shift in range(max(-i, less - (edits - i)), min(i, less + edits - i) + 1):
+            for shift in _shifts(i, less, edits):
                 start = at + shift
                 fits = (start >= 0) & (start + size <= length) & (shorter > edits)
-                found = key(shorter, i, begin + np.where(fits, start, 0), np.where(fits, size, 0))
-                probes.append(np.where(fits, found, tx.U64(0)))
-    return index, np.column_stack(probes)
+                start, size_ = np.where(fits, start, 0), np.where(fits, size, 0)
+                base = key(shorter, i, begin + start, size_)
+                if deep:
+                    left = against(1, begin, np.where(fits, at, 0), start, shift, i)
+                    rest = np.where(fits, shorter - at - size, 0)
+                    right = against(2, begin + start + size_, rest, length - start - size_, less - shift, edits - i)
+                    probes += [np.where(fits, found, tx.U64(0)) for found in met(base, left, right)]
+                else:
+                    probes.append(np.where(fits, base, tx.U64(0)))
+    return np.column_stack(index), np.column_stack(probes)
 
 
 def parities(last: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> np.ndarray:
@@ -164,15 +206,15 @@ def _band(left, right, m, n, edits):
 
 # --- on DataFrames ---------------------------------------------------------------
 
-def _lines(docs: DataFrame, extra: str, make, least: int = NEAR_BYTES) -> DataFrame:
-    """One row per line of ``least`` bytes: its hash, doc_id, copy (of the text), line_no and what ``make(slice of lines)`` adds."""
+def _lines(docs: DataFrame, extra: str, make) -> DataFrame:
+    """One row per line: its hash, doc_id, copy (of the text), line_no and what ``make(slice of lines)`` adds."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
             ids, copies = batch.column(0), batch.column(1)
             for a, b, raw, bounds in tx.slices(tx.column(batch, "text")):
-                begin, stop, row, number = split_lines(raw, bounds, least)
+                begin, stop, row, number = split_lines(raw, bounds)
                 sums = tx.prefix_sums(_VALUES[raw])
                 line = pa.array(tx.range_hash(sums, begin, stop).view(np.int64))
                 arrays, names = make(raw, bounds, begin, stop)
@@ -189,9 +231,11 @@ def _plain(raw, bounds, begin, stop):
     return [], []
 
 
-def _texts(raw, bounds, begin, stop):
-    data = raw.tobytes()
-    return [pa.array([data[i:j] for i, j in zip(begin, stop, strict=True)], pa.binary())], ["bytes"]
+def _near_texts(raw, bounds, begin, stop):
+    """Bytes of the lines that are long enough for edits."""
+    data, before = raw.tobytes(), characters(raw, bounds)[2]
+    long = before[stop] - before[begin] >= NEAR_CHARS
+    return [pa.array([data[i:j] if k else None for i, j, k in zip(begin, stop, long, strict=True)], pa.binary())], ["bytes"]
 
 
 def _place() -> F.Column:
@@ -205,21 +249,100 @@ def _copy(text_col: str) -> F.Column:
     return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
 
 
+def _members(texts: DataFrame, edits: int, deep: bool) -> DataFrame:
+    """(no, odd, key, of, least, most, n) for the keys that several lines have.
+
+    ``of`` tells index keys (0) from probe keys (1); the others are of the lines that have the key as the other kind:
+    the smallest and the greatest number, and how many.
+    """
+
+    def keyed(batches):
+        for batch in batches:
+            for a, b, raw, bounds in tx.slices(batch.column(1)):
+                points, last, before = characters(raw, bounds)
+                begin, stop = before[bounds[:-1]], before[bounds[1:]]
+                found = line_keys(tx.prefix_sums(tx.mix(points + tx.U64(1))), begin, stop, edits, deep)
+                keys = [tx.lists(pa.array(x.ravel().view(np.int64)), np.arange(b - a + 1) * x.shape[1]) for x in found]
+                odd = pa.array(parities(last, begin, stop).view(np.int64))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), odd, *keys], ["no", "odd", "segs", "probes"])
+
+    rows = texts.select("no", "bytes").mapInArrow(keyed, "no long, odd long, segs array<long>, probes array<long>")
+    rows = rows.select("no", "odd", F.posexplode(F.array("segs", "probes")).alias("of", "keys"))
+    rows = rows.select("no", "odd", "of", F.explode("keys").alias("key")).where("key <> 0")
+
+    def kind(of: int, name: str) -> list[F.Column]:
+        no = F.when(F.col("of") == of, F.col("no"))
+        return [F.min(no).alias(f"least_{name}"), F.max(no).alias(f"most_{name}"), F.count(no).alias(f"n_{name}")]
+
+    shared = rows.groupBy("key").agg(*kind(0, "seg"), *kind(1, "probe"), F.min("no").alias("low"), F.max("no").alias("high"))
+    shared = shared.where("low <> high AND n_seg > 0 AND n_probe > 0").drop("low", "high")
+    of_other = [F.when(F.col("of") == 0, F.col(f"{c}_probe")).otherwise(F.col(f"{c}_seg")).alias(c) for c in ("least", "most", "n")]
+    return stage(rows.join(shared, "key").select("no", "odd", "key", "of", *of_other), "line-members")
+
+
+def _listed(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
+    """(no) of the (no, other) pairs that are near."""
+    pairs = stage(pairs.distinct(), "line-pairs")
+    targets = texts.select(F.col("no").alias("other"), F.col("bytes").alias("y"))
+    targets = stage(targets.join(pairs.select("other").distinct(), "other", "left_semi"), "line-targets")
+    own = pairs.join(texts.select("no", F.col("bytes").alias("x")), "no")
+    marked = small_side(targets)
+    both = own.join(marked, "other") if marked is not targets else spread_join(own, targets, ["other"], salt_by=["no"], how="inner")
+
+    def compare(batches):
+        for batch in batches:
+            near = within_edits(batch.column(1).to_pylist(), batch.column(2).to_pylist(), edits)
+            yield pa.RecordBatch.from_arrays([batch.column(0)], ["no"]).filter(pa.array(near))
+
+    return stage(both.select("no", "x", "y").mapInArrow(compare, "no long").distinct(), "line-listed")
+
+
+def _near_earlier(texts: DataFrame, edits: int) -> DataFrame:
+    """(no) of the (no, bytes) lines that are within ``edits`` edits of a line with a smaller number.
+
+    One such line is enough. So a line is compared with the first one of each of its keys, and what is near is settled:
+    as many comparisons as there are keys. Lines not settled go on with the lines of keys that hold more than that: all
+    of them get deep keys, are compared with the first of these, and what is left then with all earlier ones of a deep
+    key whose parities allow so few edits. Settled lines ask no more, but others may still be near to them.
+    """
+    more = (F.col("least") < F.col("no")) & (F.col("n") > 1) & ~((F.col("n") == 2) & (F.col("most") == F.col("no")))
+
+    def first_of_keys(members: DataFrame) -> DataFrame:
+        return members.where("least < no").select("no", F.col("least").alias("other"))
+
+    members = _members(texts, edits, deep=False)
+    settled = _listed(first_of_keys(members), texts, edits)
+    asking = members.where(more).join(settled, "no", "left_anti").select("key").distinct()
+    deeper = stage(members.join(asking, "key", "left_semi").select("no").distinct(), "line-deeper")
+    texts = stage(texts.join(deeper, "no", "left_semi"), "line-deep-texts")
+
+    members = _members(texts, edits, deep=True)
+    again = _listed(first_of_keys(members).join(settled, "no", "left_anti"), texts, edits)
+    settled = stage(settled.unionAll(again), "line-settled")
+    asking = members.where(more).join(settled, "no", "left_anti").select("no", "odd", "key", "of")
+    others = members.select(F.col("no").alias("other"), F.col("odd").alias("other_odd"), F.col("key").alias("other_key"), F.col("of").alias("other_of"))
+    differ = F.bit_count(F.col("odd").bitwiseXOR(F.col("other_odd")))
+    same_key = (F.col("key") == F.col("other_key")) & (F.col("of") + F.col("other_of") == 1)
+    rest = asking.join(others, same_key & (F.col("other") < F.col("no")) & (differ <= 2 * edits))
+    return settled.unionAll(_listed(rest.select("no", "other"), texts, edits))
+
+
 def duplicate_lines(docs: DataFrame, edits: int = EDITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, line_no) of each line that an earlier line is within ``edits`` edits of.
 
     Lines are what line breaks part, without outer white space; blank ones are never listed. Edits are counted on
-    characters, between lines of NEAR_BYTES bytes and more; a shorter line is listed if an earlier one equals it. "Earlier" is by id, then by line number (from 0); rows without id come
-    last. So of equal lines the first stays, unless an earlier line is nearly equal; whether that one stays itself
-    does not matter, so the result depends on no order of work.
+    characters, between lines of NEAR_CHARS characters and more; a shorter line is listed if an earlier one equals it.
+    "Earlier" is by id, then by line number (from 0); rows without id come last. So of equal lines the first stays,
+    unless an earlier line is nearly equal; whether that one stays itself does not matter, so the result depends on no
+    order of work.
 
     NULL and empty texts have no lines. Rows that repeat id and text are one place: where their lines are first, all
     keep them. Rows of one id (or of none) with different texts are told apart by a hash of the text; where their lines
     are equal and at one number, the smallest hash is the earlier. An empty table gives an empty result. Other columns are not read.
 
-    Equal lines are one entry (by a 64-bit hash), so a very frequent line meets others once. Segments and probes are
-    joined on 8-byte keys, and a pair goes on only if the parities of its characters allow so few edits; texts are moved only
-    to be compared, and only those of candidates as long as the list of these is small enough to broadcast.
+    Equal lines are one entry (by a 64-bit hash) with a number in the order of first places, so a very frequent line
+    meets others once. Only 8-byte keys and numbers are joined; texts are moved to be told from equal ones, to be put in
+    order, and for comparisons.
     """
     return _repeats(docs, edits, id_col, text_col).select("doc_id", "line_no").distinct()
 
@@ -227,64 +350,46 @@ def duplicate_lines(docs: DataFrame, edits: int = EDITS, id_col: str = "doc_id",
 def _repeats(docs: DataFrame, edits: int, id_col: str, text_col: str) -> DataFrame:
     """doc_id, copy (hash of the text) and line_no of each line that duplicate_lines() lists; rows may repeat."""
     rows = docs.select(F.col(id_col).alias("doc_id"), _copy(text_col).alias("copy"), F.col(text_col).alias("text"))
-    widths = edits + 1, sum(
-        1 for less in range(edits + 1) for i in range(edits + 1)
-        for _ in range(max(-i, less - (edits - i)), min(i, less + edits - i) + 1)
+    entries = _lines(rows, ", bytes binary", _near_texts).groupBy("line").agg(
+        F.min(_place()).alias("first"), F.count(F.lit(1)).alias("n"), F.first("bytes").alias("bytes")
     )
+    entries = stage(entries, "line-entries")
+    ordered = entries.where("bytes IS NOT NULL").repartitionByRange("first").sortWithinPartitions("first")
+    texts = stage(ordered.select("line", "bytes", F.monotonically_increasing_id().alias("no")), "line-texts")
+    near = _near_earlier(texts.select("no", "bytes"), edits)
+    near = texts.join(near, "no", "left_semi").select("line", F.lit(True).alias("near"))
 
-    def keyed(raw, bounds, begin, stop):
-        points, last, before = characters(raw, bounds)
-        begin, stop, sums = before[begin], before[stop], tx.prefix_sums(tx.mix(points + tx.U64(1)))
-        found = line_keys(sums, begin, stop, edits) if len(begin) else [np.zeros((0, w), tx.U64) for w in widths]
-        keys = [tx.lists(pa.array(x.ravel().view(np.int64)), np.arange(len(begin) + 1) * x.shape[1]) for x in found]
-        return [*keys, pa.array(parities(last, begin, stop).view(np.int64))], ["segs", "probes", "odd"]
+    # of a line without a near earlier one, all places but the first are listed
+    limits = entries.select("line", "first", "n").join(near, "line", "left").where("n > 1 OR near")
+    limits = stage(limits.select("line", "first", "near"), "line-limits")  # so that a hot line can be split in the join
+    places = _lines(rows, "", _plain).join(limits, "line")
+    return places.where((_place() > F.col("first")) | F.col("near")).select("doc_id", "copy", "line_no")
 
-    entries = _lines(rows, ", segs array<long>, probes array<long>, odd long", keyed).groupBy("line").agg(
-        F.first("segs").alias("segs"), F.first("probes").alias("probes"), F.first("odd").alias("odd")
-    )
-    index = entries.select(F.explode("segs").alias("key"), F.col("line").alias("a"), F.col("odd").alias("odd_a"))
-    probe = entries.select(F.explode("probes").alias("key"), F.col("line").alias("b"), F.col("odd").alias("odd_b")).where("key <> 0")
-    differ = F.bit_count(F.col("odd_a").bitwiseXOR(F.col("odd_b")))
-    pairs = index.join(probe, "key").where((F.col("a") != F.col("b")) & (differ <= 2 * edits))
-    pairs = stage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-pairs")
-
-    wanted = stage(pairs.select(F.col("a").alias("line")).unionAll(pairs.select("b")).distinct(), "line-wanted")
-    texts = _lines(rows, ", bytes binary", _texts).select("line", "bytes").join(small_side(wanted), "line")
-    texts = stage(texts.groupBy("line").agg(F.first("bytes").alias("bytes")), "line-texts")
-    left = texts.select(F.col("line").alias("a"), F.col("bytes").alias("x"))
-    right = texts.select(F.col("line").alias("b"), F.col("bytes").alias("y"))
 
-    def compare(batches):
-        for batch in batches:
-            near = within_edits(batch.column(2).to_pylist(), batch.column(3).to_pylist(), edits)
-            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(near))
-
-    links = stage(pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(compare, "a long, b long"), "line-links")
+@F.arrow_udf(T.StringType())
+def _without(texts: pa.Array, gone: pa.Array) -> pa.Array:
+    def cut(text: str, numbers: list[int] | None) -> str:
+        lines, left_out = text.split("\n"), set(numbers or ())
+        return "\n".join(line for k, line in enumerate(lines) if k not in left_out)
 
-    places = _lines(rows, "", _plain, LEAST_BYTES)
-    first = stage(places.groupBy("line").agg(F.min(_place()).alias("first"), F.count(F.lit(1)).alias("n")), "line-first")
-    both = links.select(F.col("a").alias("line"), F.col("b").alias("other")).unionAll(links.select("b", "a"))
-    of_other = first.select(F.col("line").alias("other"), F.col("first").alias("near"))
-    near = both.join(of_other, "other").groupBy("line").agg(F.min("near").alias("near"))
-    limits = first.join(near, "line", "left").where("n > 1 OR near < first").select("line", F.least("first", "near").alias("limit"))
-    limits = stage(limits, "line-limits")  # so that a hot line can be split in the join
-    return places.join(limits, "line").where(_place() > F.col("limit")).select("doc_id", "copy", "line_no")
+    return pa.array([t if n is None else cut(t, n) for t, n in zip(texts.to_pylist(), gone.to_pylist(), strict=True)], pa.string())
 
 
 def remove_lines(docs: DataFrame, edits: int = EDITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the lines of ``duplicate_lines``; ``removed_lines`` (long) is added, or replaces its like.
 
-    Rows, ids and other columns stay. A text that loses no line stays as it is. Line numbers are of one id and text, so
-    neither rows without id nor those that repeat one lose lines of each other.
+    Rows, ids and all other columns stay, whatever their names. A text that loses no line stays as it is, and so do NULL
+    and empty texts; an empty table stays empty. Line numbers are of one id and text, so neither rows without id nor
+    those that repeat one lose lines of each other.
     """
-    listed = _repeats(docs, edits, id_col, text_col).groupBy("doc_id", "copy").agg(F.collect_set("line_no").alias("_gone"))
-    listed = listed.withColumnsRenamed({"doc_id": "_id", "copy": "_copy"})
-    rows = docs.drop("removed_lines", "_gone")
-    own = rows[id_col].eqNullSafe(F.col("_id")) & (_copy(text_col) == F.col("_copy"))
-    joined = rows.join(listed, own, "left")
-    lines = F.split(F.col(text_col), "\n", -1)
-    kept = F.filter(lines, lambda _, i: ~F.array_contains(F.col("_gone"), i.cast("long")))
+    listed = _repeats(docs, edits, id_col, text_col).groupBy("doc_id", "copy").agg(F.collect_set("line_no").alias("gone"))
+    columns = [c for c in docs.columns if c != "removed_lines"]
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col(id_col).alias("id"), _copy(text_col).alias("of")
+    )
+    joined = rows.join(listed, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("of") == F.col("copy")), "left")
+    text = F.col("row").getField(text_col)
     return joined.select(
-        *[F.when(F.col("_gone").isNull(), F.col(c)).otherwise(F.array_join(kept, "\n")).alias(c) if c == text_col else rows[c] for c in rows.columns],
-        F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("removed_lines"),
+        *[(_without(text, F.col("gone")) if c == text_col else F.col("row").getField(c)).alias(c) for c in columns],
+        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("removed_lines"),
     )

@@ -111,12 +111,16 @@ WITH l AS (
   SELECT doc_id, CAST(k - 1 AS BIGINT) AS line_no, trim(w[k], chr(9) || chr(11) || chr(12) || chr(13) || ' ') AS line
   FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS k
         FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS w FROM documents))),
+-- levenshtein() counts bytes: characters of more than one are replaced by control characters, of which no text has any
+wide AS (SELECT coalesce(string_agg(DISTINCT c, '' ORDER BY c), '') AS c FROM (SELECT unnest(regexp_extract_all(line, '[^\x00-\x7F]')) AS c FROM l)),
+narrow AS (SELECT string_agg(chr(CAST(k AS INTEGER)), '' ORDER BY k) AS c FROM (SELECT unnest(list_concat(range(1, 9), range(14, 32))) AS k)),
 t AS (
-  SELECT line, min({'d': doc_id, 'n': line_no}) AS first, strlen(line) AS n FROM l WHERE strlen(line) >= 20 GROUP BY line),
+  SELECT line, min({'d': doc_id, 'n': line_no}) AS first, length(line) AS n, translate(line, any_value(wide.c), any_value(narrow.c)) AS bytes
+  FROM l, wide, narrow WHERE line <> '' GROUP BY line),
 near AS (
   SELECT a.line, min(b.first) AS near
-  FROM t a JOIN (SELECT *, unnest(range(n - 2, n + 3)) AS m FROM t) b ON a.n = b.m AND a.line <> b.line
-  WHERE levenshtein(a.line, b.line) <= 2 GROUP BY a.line)
+  FROM t a JOIN (SELECT *, unnest(range(n - 2, n + 3)) AS m FROM t WHERE n >= 20) b ON a.n = b.m AND b.first < a.first
+  WHERE a.n >= 20 AND levenshtein(a.bytes, b.bytes) <= 2 GROUP BY a.line)
 SELECT DISTINCT doc_id, line_no
 FROM l JOIN t USING (line) LEFT JOIN near USING (line)
 WHERE {'d': doc_id, 'n': line_no} > least(first, coalesce(near, first))

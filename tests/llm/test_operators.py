@@ -14,6 +14,7 @@ from tokenizers import Tokenizer
 
 import public_tokenizers
 from tablekeeper.llm import chat, exact, html, leaks, licences, lines, minhash, packing, passages, quality
+from tablekeeper.llm import text as tx
 
 DOCS = "doc_id long, text string, kept boolean, score string, line_no int, spans string"
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau".split()
@@ -229,7 +230,7 @@ def test_lines_match_brute_force(spark):
     rows += [(100, None), (101, ""), (None, pool[0]), (None, "a line that no other row has"), (4, rows[4][1]), (102, "q" * 60_000 + "\n" + "q" * 59_999)]
     at = [
         ((i is None, i or 0, k), line.strip(" \t\r").encode())
-        for i, text in rows for k, line in enumerate((text or "").split("\n")) if len(line.strip(" \t\r").encode()) >= lines.LEAST_BYTES
+        for i, text in rows for k, line in enumerate((text or "").split("\n")) if line.strip(" \t\r")
     ]
     small = [(p, t) for p, t in at if len(t) < 1_000]
     want = {p for p, t in small if any(q < p and distance(t, u) <= 2 for q, u in small)} | {(False, 102, 1)}
@@ -247,7 +248,7 @@ def test_lines_match_brute_force(spark):
 
 def test_short_lines_and_characters(spark):
     """Short lines are copies of equal ones only, and an edit is one of a character however many bytes it has."""
-    accents, chinese = "der größte Käse über allen Bergen", "数据处理系统的设计与实现方法"
+    accents, chinese = "der größte Käse über allen Bergen", "数据处理系统的设计与实现方法和经验总结报告"
     rows = [
         (1, "Kurz.\n\nab\n" + accents), (2, " Kurz.\t\n \nac\n" + accents.replace("ö", "ø").replace("Ü".lower(), "u")),
         (3, chinese + "\nx\nx"), (4, chinese.replace("系", "糸") + "\nKurz!"), (5, "数据处理\n" + "的".join(chinese)),
@@ -287,6 +288,49 @@ def test_rows_without_id_or_with_one_id_keep_their_own_lines(spark):
     assert sorted(n for _, n in same) == [0, 0, 1] and {"1", "2"} & {t for t, _ in same}
 
 
+def test_keys_of_near_lines_meet():
+    """Two lines within two edits share a key, and a deep one, of the shorter as index and the longer as probe."""
+    pick = random.Random(12)
+    texts, pairs = [], []
+    for _ in range(400):
+        a = "".join(pick.choices("abcd", k=pick.randrange(20, 60)))
+        b = list(a)
+        for _ in range(2):
+            at = pick.randrange(len(b) + 1)
+            b[at : at + pick.randrange(2)] = pick.choices("abcd", k=pick.randrange(2))
+        pairs.append(sorted(["".join(b), a], key=len))
+    texts = [t.encode() for pair in pairs for t in pair]
+    bounds = np.cumsum([0, *map(len, texts)])
+    sums = tx.prefix_sums(tx.mix(np.frombuffer(b"".join(texts), np.uint8).astype(np.uint64) + tx.U64(1)))
+    for deep in (False, True):
+        index, probes = lines.line_keys(sums, bounds[:-1], bounds[1:], 2, deep)
+        assert all(set(index[2 * k]) & set(probes[2 * k + 1]) - {0} for k in range(len(pairs)))
+        assert (index != 0).all()
+
+
+def test_loose_groups_and_clashing_names(spark, monkeypatch):
+    """A group whose lines share a segment but are mostly further apart, so that all rounds have work."""
+    monkeypatch.setattr(lines, "small_side", lambda df: df)
+    pick = random.Random(13)
+    head, tail = "the same beginning of many lines ", " and the same end"
+    texts = []
+    for _ in range(260):
+        middle = "".join(pick.choices("abc", k=7))
+        texts.append(pick.choice([head, head[:-9]]) + middle + pick.choice([tail, tail + "!", tail[:-2]]))
+    rows = [(k, t) for k, t in enumerate(texts)]
+    want = [k for k, t in rows if any(abs(len(t) - len(u)) < 3 and distance(t, u) <= 2 for u in texts[:k])]
+    assert 30 < len(want) < 230
+    assert sorted(k for k, _ in got(lines.duplicate_lines(docs(spark, rows)), "doc_id", "line_no")) == want
+    odd = spark.createDataFrame(
+        [(k, f"{t}\nown {k}", "a", "b", 3, 4, "c", "d") for k, t in rows],
+        "doc_id long, text string, _gone string, _id string, no int, `odd.key` int, gone string, row string",
+    )
+    cut = {r.doc_id: r for r in lines.remove_lines(odd).collect()}
+    assert all(tuple(cut[k])[2:8] == ("a", "b", 3, 4, "c", "d") for k, _ in rows)
+    assert all(cut[k].text == (f"own {k}" if k in set(want) else f"{t}\nown {k}") for k, t in rows)
+    assert lines.remove_lines(odd.limit(0)).columns == [*odd.columns, "removed_lines"] and not lines.remove_lines(odd.limit(0)).count()
+
+
 # --- passages ------------------------------------------------------------------------------
 
 def test_passages(spark):

@@ -57,7 +57,7 @@ def test_stages(spark, folder, monkeypatch):
 
     done = stages["line_dedup"](spark, docs, path)
     assert done.columns == docs.columns
-    places = sorted((k, n, line.strip().encode()) for k, t, *_ in rows for n, line in enumerate((t or "").split("\n")) if len(line.strip()) >= lines.LEAST_BYTES)
+    places = sorted((k, n, line.strip().encode()) for k, t, *_ in rows for n, line in enumerate((t or "").split("\n")) if line.strip())
     gone = {(k, n) for k, n, t in places if any((j, m) < (k, n) and abs(len(t) - len(u)) < 3 and distance(t, u) <= 2 for j, m, u in places)}
     want = {k: None if t is None else "\n".join(x for n, x in enumerate(t.split("\n")) if (k, n) not in gone) for k, t, *_ in rows}
     assert texts_of(done) == {k: t for k, t in want.items() if t or not any(j == k for j, _ in gone)}

@@ -39,5 +39,5 @@ def test_rows(spark):
     assert queries.QUERIES["op5_substring_dedup"](spark, SF).count() == n["documents"]
     assert queries.QUERIES["op7_html_extraction"](spark, SF).count() == n["pages"]
     assert queries.QUERIES["op8_chat_formatting"](spark, SF).where("action <> 'insert'").count() == n["conversations"]
-    licensed = duckdb.sql(f"SELECT count(*) FROM (SELECT unnest(string_split(text, chr(10))) AS l FROM '{SF}/documents.parquet') WHERE l LIKE '%icense%'").fetchone()[0]
+    licensed = duckdb.sql(f"SELECT count(*) FROM (SELECT unnest(string_split(text, chr(10))) AS l FROM '{SF}/documents.parquet') WHERE l LIKE '%icense%'").fetchall()[0][0]
     assert queries.QUERIES["op2_license_scan"](spark, SF).where("family <> 'unknown'").count() == licensed
