@@ -207,7 +207,7 @@ def _band(left, right, m, n, edits):
 # --- on DataFrames ---------------------------------------------------------------
 
 def _lines(docs: DataFrame, extra: str, make) -> DataFrame:
-    """One row per line: its hash, doc_id, copy (of the text), line_no and what ``make(slice of lines)`` adds."""
+    """One row per line: its hash, doc_id, copy (of the text), line_no and what ``make(slice of lines, their hashes)`` adds."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -215,27 +215,42 @@ def _lines(docs: DataFrame, extra: str, make) -> DataFrame:
             ids, copies = batch.column(0), batch.column(1)
             for a, b, raw, bounds in tx.slices(tx.column(batch, "text")):
                 begin, stop, row, number = split_lines(raw, bounds)
-                sums = tx.prefix_sums(_VALUES[raw])
-                line = pa.array(tx.range_hash(sums, begin, stop).view(np.int64))
-                arrays, names = make(raw, bounds, begin, stop)
+                line = tx.range_hash(tx.prefix_sums(_VALUES[raw]), begin, stop)
+                arrays, names = make(raw, bounds, begin, stop, line)
                 take = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
-                    [line, ids.slice(a, b - a).take(take), copies.slice(a, b - a).take(take), pa.array(number), *arrays],
+                    [_signed(line), ids.slice(a, b - a).take(take), copies.slice(a, b - a).take(take), pa.array(number), *arrays],
                     ["line", "doc_id", "copy", "line_no", *names],
                 )
 
     return docs.mapInArrow(run, f"line long, doc_id {kind}, copy long, line_no long{extra}")
 
 
-def _plain(raw, bounds, begin, stop):
-    return [], []
+def _signed(x: np.ndarray) -> pa.Array:
+    return pa.array(x.view(np.int64))
 
 
-def _near_texts(raw, bounds, begin, stop):
-    """Bytes of the lines that are long enough for edits."""
-    data, before = raw.tobytes(), characters(raw, bounds)[2]
-    long = before[stop] - before[begin] >= NEAR_CHARS
-    return [pa.array([data[i:j] if k else None for i, j, k in zip(begin, stop, long, strict=True)], pa.binary())], ["bytes"]
+def _texts(raw, bounds, begin, stop, line):
+    data = raw.tobytes()
+    return [pa.array([data[i:j] for i, j in zip(begin, stop, strict=True)], pa.binary())], ["bytes"]
+
+
+def _keyed(raw, bounds, begin, stop, edits, deep=False):
+    """Parities and key lists of lines of NEAR_CHARS characters and more; NULL for shorter ones."""
+    points, last, before = characters(raw, bounds)
+    begin, stop = before[begin], before[stop]
+    long = stop - begin >= NEAR_CHARS
+    found = line_keys(tx.prefix_sums(tx.mix(points + tx.U64(1))), begin[long], stop[long], edits, deep)
+    odd = np.zeros(len(long), np.int64)
+    odd[long] = parities(last, begin[long], stop[long]).view(np.int64)
+    lists = []
+    for keys in found:
+        ends = np.concatenate([[0], np.cumsum(np.where(long, keys.shape[1], 0))]).astype(np.int32)
+        lists.append(pa.ListArray.from_arrays(pa.array(ends), _signed(keys.ravel())))
+    return [pa.array(odd, mask=~long), *lists], ["odd", "segs", "probes"]
+
+
+_KEYS = ", odd long, segs array<long>, probes array<long>"
 
 
 def _place() -> F.Column:
@@ -249,35 +264,45 @@ def _copy(text_col: str) -> F.Column:
     return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
 
 
-def _members(texts: DataFrame, edits: int, deep: bool) -> DataFrame:
-    """(no, odd, key, of, least, most, n) for the keys that several lines have.
+def _shared(rows: DataFrame) -> DataFrame:
+    """(key, line, of) of the keys that several lines have; ``of`` is 0 for index keys, 1 for probe keys.
 
-    ``of`` tells index keys (0) from probe keys (1); the others are of the lines that have the key as the other kind:
-    the smallest and the greatest number, and how many.
+    Each key's smallest and greatest index line are found first, so the probes, which are most of the rows, meet one row
+    per key. A line's own index keys are among its probes: those rows stand for both kinds. A key with a single index
+    line has that line's row from the others that probe it.
     """
+    known = rows.select("line", F.explode("segs").alias("key")).groupBy("key").agg(F.min("line").alias("low"), F.max("line").alias("high"))
+    probes = rows.select("line", "segs", F.explode("probes").alias("key")).where("key <> 0")
+    probes = probes.select("line", "key", F.array_contains("segs", F.col("key")).alias("own"))
+    hits = stage(probes.join(known, "key").where("low <> high OR line <> low"), "line-hits")
+    both = F.when(F.col("own"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1)))
+    single = hits.where("low = high").select("key", F.col("low").alias("line"), F.lit(0).alias("of"))
+    return hits.select("key", "line", F.explode(both).alias("of")).unionAll(single).distinct()
 
-    def keyed(batches):
-        for batch in batches:
-            for a, b, raw, bounds in tx.slices(batch.column(1)):
-                points, last, before = characters(raw, bounds)
-                begin, stop = before[bounds[:-1]], before[bounds[1:]]
-                found = line_keys(tx.prefix_sums(tx.mix(points + tx.U64(1))), begin, stop, edits, deep)
-                keys = [tx.lists(pa.array(x.ravel().view(np.int64)), np.arange(b - a + 1) * x.shape[1]) for x in found]
-                odd = pa.array(parities(last, begin, stop).view(np.int64))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), odd, *keys], ["no", "odd", "segs", "probes"])
 
-    rows = texts.select("no", "bytes").mapInArrow(keyed, "no long, odd long, segs array<long>, probes array<long>")
-    rows = rows.select("no", "odd", F.posexplode(F.array("segs", "probes")).alias("of", "keys"))
-    rows = rows.select("no", "odd", "of", F.explode("keys").alias("key")).where("key <> 0")
+def _members(shared: DataFrame, numbers: DataFrame) -> DataFrame:
+    """(no, odd, key, of, least, most, n): the last three are of the lines that have the key as the other kind."""
+    rows = stage(shared.join(numbers, "line").select("no", "odd", "key", "of"), "line-shared")
 
     def kind(of: int, name: str) -> list[F.Column]:
-        no = F.when(F.col("of") == of, F.col("no"))
+        no = F.when(F.col("of") == of, F.struct("no", "odd"))
         return [F.min(no).alias(f"least_{name}"), F.max(no).alias(f"most_{name}"), F.count(no).alias(f"n_{name}")]
 
-    shared = rows.groupBy("key").agg(*kind(0, "seg"), *kind(1, "probe"), F.min("no").alias("low"), F.max("no").alias("high"))
-    shared = shared.where("low <> high AND n_seg > 0 AND n_probe > 0").drop("low", "high")
+    keys = rows.groupBy("key").agg(*kind(0, "seg"), *kind(1, "probe"))
     of_other = [F.when(F.col("of") == 0, F.col(f"{c}_probe")).otherwise(F.col(f"{c}_seg")).alias(c) for c in ("least", "most", "n")]
-    return stage(rows.join(shared, "key").select("no", "odd", "key", "of", *of_other), "line-members")
+    return stage(rows.join(keys, "key").select("no", "odd", "key", "of", *of_other).where("n > 0"), "line-members")
+
+
+def _first_of_keys(members: DataFrame, edits: int) -> DataFrame:
+    """(no, other): each line with the first one of each of its keys, if that is earlier and the parities allow it."""
+    differ = F.bit_count(F.col("odd").bitwiseXOR(F.col("least.odd")))
+    return members.where((F.col("least.no") < F.col("no")) & (differ <= 2 * edits)).select("no", F.col("least.no").alias("other"))
+
+
+def _more(members: DataFrame) -> DataFrame:
+    """Members with earlier lines at their key besides the first of these."""
+    lone = (F.col("n") == 2) & (F.col("most.no") == F.col("no"))
+    return members.where((F.col("least.no") < F.col("no")) & (F.col("n") > 1) & ~lone)
 
 
 def _listed(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
@@ -297,34 +322,49 @@ def _listed(pairs: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
     return stage(both.select("no", "x", "y").mapInArrow(compare, "no long").distinct(), "line-listed")
 
 
-def _near_earlier(texts: DataFrame, edits: int) -> DataFrame:
-    """(no) of the (no, bytes) lines that are within ``edits`` edits of a line with a smaller number.
+def _near_earlier(rows: DataFrame, scan: DataFrame, entries: DataFrame, edits: int) -> DataFrame:
+    """(line) of the lines that are within ``edits`` edits of a line with an earlier first place.
 
     One such line is enough. So a line is compared with the first one of each of its keys, and what is near is settled:
     as many comparisons as there are keys. Lines not settled go on with the lines of keys that hold more than that: all
     of them get deep keys, are compared with the first of these, and what is left then with all earlier ones of a deep
     key whose parities allow so few edits. Settled lines ask no more, but others may still be near to them.
     """
-    more = (F.col("least") < F.col("no")) & (F.col("n") > 1) & ~((F.col("n") == 2) & (F.col("most") == F.col("no")))
-
-    def first_of_keys(members: DataFrame) -> DataFrame:
-        return members.where("least < no").select("no", F.col("least").alias("other"))
+    shared = stage(_shared(scan.select("line", "segs", "probes")), "line-keys")
+    lines = shared.select("line").distinct().join(scan.select("line", "odd"), "line").groupBy("line").agg(F.max("odd").alias("odd"))
+    ordered = lines.join(entries.select("line", "first"), "line").repartitionByRange("first").sortWithinPartitions("first")
+    numbers = stage(ordered.select("line", "odd", F.monotonically_increasing_id().alias("no")), "line-numbers")
+    members = _members(shared, numbers)
+
+    firsts = stage(_first_of_keys(members, edits).distinct(), "line-firsts")
+    deep = members.join(_more(members).select("key").distinct(), "key", "left_semi").select("no").distinct()
+    wanted = firsts.select("no").unionAll(firsts.select("other")).unionAll(deep).distinct()
+    wanted = stage(numbers.join(wanted, "no").select("line", "no"), "line-wanted")
+    texts = _lines(rows, ", bytes binary", _texts).select("line", "bytes").join(small_side(wanted), "line")
+    texts = stage(texts.groupBy("no").agg(F.first("line").alias("line"), F.first("bytes").alias("bytes")), "line-texts")
+    settled = _listed(firsts, texts, edits)
+
+    asking = _more(members).join(settled, "no", "left_anti").select("key").distinct()
+    deeper = members.join(asking, "key", "left_semi").select("no").distinct()
 
-    members = _members(texts, edits, deep=False)
-    settled = _listed(first_of_keys(members), texts, edits)
-    asking = members.where(more).join(settled, "no", "left_anti").select("key").distinct()
-    deeper = stage(members.join(asking, "key", "left_semi").select("no").distinct(), "line-deeper")
-    texts = stage(texts.join(deeper, "no", "left_semi"), "line-deep-texts")
+    def keyed(batches):
+        for batch in batches:
+            for a, b, raw, bounds in tx.slices(batch.column(1)):
+                arrays, names = _keyed(raw, bounds, bounds[:-1], bounds[1:], edits, deep=True)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *arrays], ["line", *names])
 
-    members = _members(texts, edits, deep=True)
-    again = _listed(first_of_keys(members).join(settled, "no", "left_anti"), texts, edits)
+    deeper = texts.join(deeper, "no", "left_semi").select("line", "bytes")
+    deeper = stage(deeper.mapInArrow(keyed, f"line long{_KEYS}"), "line-deep")
+    members = _members(_shared(deeper), numbers)
+    again = _listed(_first_of_keys(members, edits).join(settled, "no", "left_anti"), texts, edits)
     settled = stage(settled.unionAll(again), "line-settled")
-    asking = members.where(more).join(settled, "no", "left_anti").select("no", "odd", "key", "of")
+    asking = _more(members).join(settled, "no", "left_anti").select("no", "odd", "key", "of")
     others = members.select(F.col("no").alias("other"), F.col("odd").alias("other_odd"), F.col("key").alias("other_key"), F.col("of").alias("other_of"))
     differ = F.bit_count(F.col("odd").bitwiseXOR(F.col("other_odd")))
     same_key = (F.col("key") == F.col("other_key")) & (F.col("of") + F.col("other_of") == 1)
     rest = asking.join(others, same_key & (F.col("other") < F.col("no")) & (differ <= 2 * edits))
-    return settled.unionAll(_listed(rest.select("no", "other"), texts, edits))
+    settled = settled.unionAll(_listed(rest.select("no", "other"), texts, edits))
+    return numbers.join(settled, "no", "left_semi").select("line")
 
 
 def duplicate_lines(docs: DataFrame, edits: int = EDITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -340,9 +380,9 @@ def duplicate_lines(docs: DataFrame, edits: int = EDITS, id_col: str = "doc_id",
     keep them. Rows of one id (or of none) with different texts are told apart by a hash of the text; where their lines
     are equal and at one number, the smallest hash is the earlier. An empty table gives an empty result. Other columns are not read.
 
-    Equal lines are one entry (by a 64-bit hash) with a number in the order of first places, so a very frequent line
-    meets others once. Only 8-byte keys and numbers are joined; texts are moved to be told from equal ones, to be put in
-    order, and for comparisons.
+    Equal lines are one entry (by a 64-bit hash); those that share a key are numbered by first place. A very frequent line
+    meets others once. Only 8-byte keys and numbers are joined; texts are moved only to be compared, and only those of
+    lines that share a key, as long as the list of these is small enough to broadcast.
     """
     return _repeats(docs, edits, id_col, text_col).select("doc_id", "line_no").distinct()
 
@@ -350,19 +390,24 @@ def duplicate_lines(docs: DataFrame, edits: int = EDITS, id_col: str = "doc_id",
 def _repeats(docs: DataFrame, edits: int, id_col: str, text_col: str) -> DataFrame:
     """doc_id, copy (hash of the text) and line_no of each line that duplicate_lines() lists; rows may repeat."""
     rows = docs.select(F.col(id_col).alias("doc_id"), _copy(text_col).alias("copy"), F.col(text_col).alias("text"))
-    entries = _lines(rows, ", bytes binary", _near_texts).groupBy("line").agg(
-        F.min(_place()).alias("first"), F.count(F.lit(1)).alias("n"), F.first("bytes").alias("bytes")
-    )
+
+    def keyed(raw, bounds, begin, stop, line):
+        """Keys of the first of equal lines of a slice."""
+        first = np.zeros(len(line), bool)
+        first[np.unique(line, return_index=True)[1]] = True
+        arrays, names = _keyed(raw, bounds, begin[first], stop[first], edits)
+        at = np.cumsum(first) - 1
+        return [a.take(pa.array(at, mask=~first)) for a in arrays], names
+
+    scan = stage(_lines(rows, _KEYS, keyed), "line-scan")
+    entries = scan.groupBy("line").agg(F.min(_place()).alias("first"), F.count(F.lit(1)).alias("n"))
     entries = stage(entries, "line-entries")
-    ordered = entries.where("bytes IS NOT NULL").repartitionByRange("first").sortWithinPartitions("first")
-    texts = stage(ordered.select("line", "bytes", F.monotonically_increasing_id().alias("no")), "line-texts")
-    near = _near_earlier(texts.select("no", "bytes"), edits)
-    near = texts.join(near, "no", "left_semi").select("line", F.lit(True).alias("near"))
+    near = _near_earlier(rows, scan, entries, edits).withColumn("near", F.lit(True))
 
     # of a line without a near earlier one, all places but the first are listed
-    limits = entries.select("line", "first", "n").join(near, "line", "left").where("n > 1 OR near")
+    limits = entries.join(near, "line", "left").where("n > 1 OR near")
     limits = stage(limits.select("line", "first", "near"), "line-limits")  # so that a hot line can be split in the join
-    places = _lines(rows, "", _plain).join(limits, "line")
+    places = scan.select("line", "doc_id", "copy", "line_no").join(limits, "line")
     return places.where((_place() > F.col("first")) | F.col("near")).select("doc_id", "copy", "line_no")
 
 
