@@ -132,43 +132,6 @@ ORACLE = {
         {_V_WHERE} AS v, {_V_WHERE} AND o_totalprice < 300000 AS good FROM orders)
         SELECT object_type, count(*) FILTER (s) AS source_n, count(*) FILTER (c) AS converted_n, count(*) FILTER (v) AS validated_n,
         count(*) FILTER (good) AS success_n FROM every GROUP BY 1""",
-    "generated_only": q_generated,
-    "excerpt": q_excerpt,
-    "render_template": q_template,
-}
-_R = f"WITH {RESULTS_SQL}"
-ORACLE = {
-    "inventory_by_type": f"{_R} SELECT object_type, valid_status, count(*) AS n FROM results GROUP BY 1, 2",
-    "run_summary": f"{_R}, {_SUMMARY} SELECT * FROM summary",
-    "overall_rate": f"""{_R} FROM results SELECT run_ts, count(*) FILTER ({_SUCCESS}) AS success, count(*) AS n,
-        round(100.0 * success / n, 1) AS pct_success GROUP BY run_ts""",
-    "latest_run": f"{_R}, {_SUMMARY} SELECT * FROM summary QUALIFY dense_rank() OVER (ORDER BY run_ts DESC) = 1",
-    "latest_full_run": f"{_R}, {_FULL}, {_SUMMARY.replace('FROM results', 'FROM full_run')} SELECT * FROM summary",
-    "kpi": f"""{_R}, {_FULL} FROM full_run SELECT count(*) AS total, count(*) FILTER ({_SUCCESS}) AS success,
-        round(100.0 * success / total, 1) AS pct_success, count(*) FILTER ({_OPEN}) AS needs_review""",
-    "status_by_type": f"""{_R}, {_FULL}, names(valid_status, status) AS (VALUES ('pass', '1 pass'), ('sound_dep', '2 sound (dep)'),
-        ('unresolved_ext_dep', '2 sound (dep)'), ('timeout', '3 timeout'), ('fail', '4 fail'))
-        FROM full_run JOIN names USING (valid_status) SELECT object_type, status, count(*) AS n GROUP BY ALL""",
-    "rollout_trend": f"""{_R} SELECT CAST(f AS STRING) AS fraction, round(100.0 * good / n, 1) AS pct_success, n
-        FROM (SELECT fraction AS f, count(*) AS n, count(*) FILTER ({_SUCCESS}) AS good FROM results GROUP BY 1)""",
-    "failure_classes_review": f"""{_R} SELECT {_CASE_A} AS errclass, count(*) AS n FROM results
-        WHERE {_OPEN} GROUP BY 1""",
-    "failure_classes_chart": f"""{_R}, {_FULL} SELECT {_CASE_B} AS errclass, count(*) AS n FROM full_run
-        WHERE {_OPEN} GROUP BY 1""",
-    "review_queue": f"""{_R}, c AS (SELECT {sql_cols(_CONVERTED)} FROM events)
-        SELECT object_type, full_name, method, {_CASE_A} AS error_class, valid_status,
-        substr(regexp_replace(valid_error, '[\\n]', ' ', 'g'), 1, 1000) AS error_detail
-        FROM results JOIN c USING (object_id) WHERE valid_status IN ('fail', 'timeout')""",
-    "review_list": f"""{_R}, {_FULL} SELECT object_type, full_name,
-        substr(regexp_replace(valid_error, '[\\n]', ' ', 'g'), 1, 220) AS error
-        FROM full_run WHERE valid_status IN ('fail', 'timeout')""",
-    "reconcile_funnel": f"""WITH s AS (SELECT o_orderpriority AS object_type, count(*) AS source_n FROM orders GROUP BY 1),
-        c AS (SELECT object_type, count(*) AS converted_n FROM (SELECT {sql_cols(_FUNNEL_C)} FROM orders WHERE {_C_WHERE})
-              WHERE converted_code IS NOT NULL GROUP BY 1),
-        v AS (SELECT object_type, count(*) AS validated_n, sum(CASE WHEN {_SUCCESS} THEN 1 ELSE 0 END) AS success_n
-              FROM (SELECT {sql_cols(_FUNNEL_V)} FROM orders WHERE {_V_WHERE}) GROUP BY 1)
-        SELECT s.object_type, source_n, coalesce(converted_n, 0) AS converted_n, coalesce(validated_n, 0) AS validated_n,
-        CAST(coalesce(success_n, 0) AS BIGINT) AS success_n FROM s LEFT JOIN c USING (object_type) LEFT JOIN v USING (object_type)""",
     "generated_only": "SELECT o_orderpriority AS object_type, count(*) AS generated_n FROM orders WHERE o_orderkey % 2 <> 0 GROUP BY 1",
     "excerpt": "SELECT doc_id, md5(substr(replace(text, chr(10), ' '), 1, 220)) AS excerpt FROM documents",
     "render_template": """SELECT conv_id, turn, CASE WHEN conv_id % 11 <> 0 THEN md5('Type ' || role || ', turn ' || CAST(turn AS STRING)

@@ -148,17 +148,20 @@ def rewrite_table(
 
 
 def publish(
-    df: DataFrame, path: str, number: int, partition_by: Sequence[str] = (), notes: dict[str, DataFrame] | None = None
+    df: DataFrame, path: str, number: int, partition_by: Sequence[str] = (), notes: dict[str, DataFrame] | None = None,
+    beside: dict[str, DataFrame] | None = None,
 ) -> None:
     """Write a version to a folder of its own, then give that its final name: seen whole or not at all.
 
     A second writer that has taken the number meanwhile keeps it, and this one raises. ``notes`` are small tables kept
-    beside the rows, by names that begin with an underscore.
+    beside the rows, by names that begin with an underscore; ``beside`` are such tables of any size.
     """
     spark, draft = df.sparkSession, f"{path}/_draft-{uuid.uuid4().hex}"
     df.write.partitionBy(*partition_by).parquet(draft)
     for name, table in (notes or {}).items():
         table.coalesce(1).write.parquet(f"{draft}/{name}")
+    for name, table in (beside or {}).items():
+        table.write.parquet(f"{draft}/{name}")
     fs, done = _file_system(spark, version_path(path, number))
     source = spark._jvm.org.apache.hadoop.fs.Path(draft)
     if fs.exists(done) and not fs.exists(spark._jvm.org.apache.hadoop.fs.Path(done, "_SUCCESS")):
