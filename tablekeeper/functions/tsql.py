@@ -203,11 +203,13 @@ def string_agg_chunks(
     """The string of each key in numbered chunks: keys, ``part_no`` (increasing) and ``col``; NULL parts are left out.
 
     Chunks of a key joined by ``sep`` in the order of ``part_no`` are its ``string_agg``. The rows are sorted into
-    ranges of about ``rows_per_chunk``, so a key of any size spreads over tasks and no chunk grows with it.
+    ranges of about ``rows_per_chunk``, so a key of any size spreads over tasks and no chunk grows with it. Equal rows are
+    told apart by a running number, so copies spread too.
     """
     rows = df.where(F.col(col).isNotNull()).select(*keys, *[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)], F.col(col).alias("_part"))
     names = [f"_o{i}" for i in range(len(order))]
-    ranges = rows.repartitionByRange(1 + rows.count() // rows_per_chunk, *keys, *names, "_part")
+    numbered = rows.withColumn("_number", F.monotonically_increasing_id())
+    ranges = numbered.repartitionByRange(1 + rows.count() // rows_per_chunk, *keys, *names, "_part", "_number")
     placed = ranges.withColumn("_range", F.spark_partition_id())
     parts = F.transform(F.sort_array(F.collect_list(F.struct(*names, "_part"))), lambda p: p["_part"])
     chunks = placed.groupBy(*keys, "_range").agg(F.array_join(parts, sep).alias(col))

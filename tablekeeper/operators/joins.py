@@ -31,6 +31,14 @@ def null_safe(left: str, right: str, keys: Sequence[str]) -> Column:
     )
 
 
+def free_name(base: str, *dfs: DataFrame) -> str:
+    """``base``, made longer until no column of the DataFrames has the name in any case."""
+    taken = {c.lower() for df in dfs for c in df.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
 PER_SALT = 1_000_000
 """Rows of one key that one task takes."""
 

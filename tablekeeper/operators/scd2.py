@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .joins import assert_unique, null_safe
+from .joins import assert_unique, free_name, null_safe
 
 # Fixed values.
 OPEN_END = "9999-12-31 23:59:59.999"
@@ -117,9 +117,9 @@ def scd2_step(
     at = _at(effective_at, schema[window.start].dataType)
     forever = _at(OPEN_END, schema[window.end].dataType)
 
-    t = current.withColumn("_hit", F.lit(True)).alias("t")
-    s = source.withColumn("_hit", F.lit(True)).alias("s")
-    was, now = F.col("t._hit").isNotNull(), F.col("s._hit").isNotNull()
+    hit = free_name("hit", current, source)
+    t, s = current.withColumn(hit, F.lit(True)).alias("t"), source.withColumn(hit, F.lit(True)).alias("s")
+    was, now = F.col(f"t.{hit}").isNotNull(), F.col(f"s.{hit}").isNotNull()
     differs = reduce(
         lambda a, b: a | b,
         [~F.col(f"t.`{c}`").eqNullSafe(F.col(f"s.`{c}`")) for c in track],
@@ -204,9 +204,10 @@ def scd2_changes(
     """
     row_key = [*key, window.start]
     names = [c for c in before.columns if c not in row_key]
-    b = before.withColumn("_hit", F.lit(True)).alias("b")
-    a = after.select(*before.columns).withColumn("_hit", F.lit(True)).alias("a")
-    was, now = F.col("b._hit").isNotNull(), F.col("a._hit").isNotNull()
+    hit = free_name("hit", before)
+    b = before.withColumn(hit, F.lit(True)).alias("b")
+    a = after.select(*before.columns).withColumn(hit, F.lit(True)).alias("a")
+    was, now = F.col(f"b.{hit}").isNotNull(), F.col(f"a.{hit}").isNotNull()
     differs = reduce(
         lambda x, y: x | y,
         [~F.col(f"b.`{c}`").eqNullSafe(F.col(f"a.`{c}`")) for c in names],

@@ -85,8 +85,14 @@ def has_column(df: DataFrame, name: str) -> bool:
 # --- cutting lineage --------------------------------------------------------
 
 def stage_folder(spark: SparkSession) -> str:
-    """Shared folder for intermediate tables: ``spark.checkpoint.dir``, else one in the warehouse, which all share too."""
+    """Shared folder for intermediate tables: ``spark.checkpoint.dir``.
+
+    Without the setting, a local session stages in its warehouse folder; on a cluster that may be a folder of the driver's
+    machine alone, so it is an error there.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/_stage"
 
 
