@@ -6,6 +6,8 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from ..operators.late import scd2_splice
+from ..operators.scd2 import scd2_apply
 from ..operators.temporal import temporal_join
 from ..sources.history import CHANGE, HistoryTable
 from ..sources.tables import VERSION, stage_folder
@@ -56,8 +58,16 @@ def q_stream(spark, sf):
     return H.shown(kept.read())
 
 
+def q_late(spark, sf):
+    """The second snapshot arrives after the third."""
+    third = H.third_source(spark, sf)
+    dim = scd2_apply(H._loaded(spark, sf), third, H.KEY, H.TRACK, H.T2)
+    later = third.withColumn("at", F.lit(H.T2).cast("timestamp_ntz"))
+    return H.shown(scd2_splice(dim, H.second_source(spark, sf), H.KEY, H.TRACK, H.T1, later=later))
+
+
 _DIM3 = f"{H._ONE}{H._step('dim2', 'src3', H.T2, 'dim3')}"
-QUERIES = {"temporal_join": q_join, "history_as_of": q_as_of, "history_changes": q_changes, "stream_scd2": q_stream}
+QUERIES = {"temporal_join": q_join, "history_as_of": q_as_of, "history_changes": q_changes, "stream_scd2": q_stream, "scd2_late": q_late}
 ORACLE = {
     "temporal_join": f"""{_DIM3},
 o AS (SELECT o_orderkey, o_custkey, TIMESTAMP '2023-12-10 12:00:00' + to_days(CAST(o_orderkey % 120 AS INTEGER)) AS placed FROM orders)
@@ -72,4 +82,5 @@ feed AS (
   FROM dim3 WHERE valid_from > TIMESTAMP '{H.T0}')
 {H._shown_sql('feed', f', {CHANGE}, {VERSION}')}""",
     "stream_scd2": H._THREE,
+    "scd2_late": H._THREE,
 }
