@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from html import unescape
 
 import numpy as np
@@ -74,17 +75,47 @@ def _is_boiler(name: str, rest: str, in_article: bool) -> bool:
     return bool(words & _BOILER_WORDS)
 
 
-def page_lines(html: str) -> list[tuple[str, int, int]]:
-    """Strip the markup: (text, link characters, number of the article it is in or 0) of each line.
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_NO_LINE = ("", 0, 0, 0, False)
+
+
+class Containers:
+    """The containers of a page, numbered in the order in which they begin; 0 is the page."""
+
+    def __init__(self):
+        self.parent, self.last = [0], [0]
+
+    def begin(self, parent: int) -> int:
+        self.parent.append(parent)
+        self.last.append(len(self.last))
+        return len(self.last) - 1
+
+    def end(self, node: int) -> None:
+        self.last[node] = len(self.last) - 1
+
+    def holds(self, node: int, other: int) -> bool:
+        return node <= other <= self.last[node]
+
+    def around(self, first: int, last: int) -> int:
+        """The innermost container that holds all containers from ``first`` to ``last``."""
+        node = first
+        while not self.holds(node, last):
+            node = self.parent[node]
+        return node
+
+
+def page_lines(html: str) -> tuple[list[tuple[str, int, int, int, bool]], Containers]:
+    """Strip the markup: (text, link characters, article or 0, container, is a heading) of each line.
 
     A block is a line. Containers leave an empty line where they begin and end, boilerplate one in its place, and an
     article as many as end a stretch.
     """
-    lines: list[tuple[str, int, int]] = []
+    lines: list[tuple[str, int, int, int, bool]] = []
+    containers, heading = Containers(), False
     parts: list[str] = []
     link_chars, in_link = 0, False
-    stack: list[tuple[str, int]] = []  # open containers and the article around them
-    skip_at, articles, article = 0, 0, 0
+    stack: list[tuple[str, int, int]] = []  # open containers, the article and the container around them
+    skip_at, articles, article, inside = 0, 0, 0, 0
     at = 0
 
     def end_block() -> None:
@@ -92,18 +123,27 @@ def page_lines(html: str) -> list[tuple[str, int, int]]:
         if parts:
             text = " ".join(unescape("".join(parts)).split())
             if text:
-                lines.append((text, link_chars, article))
+                lines.append((text, link_chars, article, inside, heading))
             parts.clear()
         link_chars = 0
 
+    def enter(name: str) -> None:
+        nonlocal inside
+        stack.append((name, article, inside))
+        if name not in _HEADINGS:
+            inside = containers.begin(inside)
+
     def leave(depth: int) -> None:
-        nonlocal skip_at, article
+        nonlocal skip_at, article, inside
         while len(stack) > depth:
-            name, article = stack.pop()
+            name, article, around = stack.pop()
+            if inside != around:
+                containers.end(inside)
+                inside = around
             if skip_at and len(stack) < skip_at:
                 skip_at = 0
             if name == "article":
-                lines.extend([("", 0, 0)] * WINDOW)
+                lines.extend([_NO_LINE] * WINDOW)
 
     n = len(html)
     while at < n:
@@ -141,6 +181,7 @@ def page_lines(html: str) -> list[tuple[str, int, int]]:
                 parts.append(" ")
         else:
             end_block()
+            heading = name in _HEADINGS and not closing
         container = name not in _INLINE and name not in _ENDS_ITSELF
         if closing:
             for depth in range(len(stack) - 1, -1, -1):
@@ -148,44 +189,67 @@ def page_lines(html: str) -> list[tuple[str, int, int]]:
                     leave(depth)
                     break
             if container and not skip_at:
-                lines.append(("", 0, 0))
+                lines.append(_NO_LINE)
             continue
         if stack and stack[-1][0] in _ENDS_ITSELF and name not in _INLINE:
             leave(len(stack) - 1)  # a boilerplate paragraph ends where the next block begins
         if skip_at:
             if container or name == stack[skip_at - 1][0]:
-                stack.append((name, article))
+                enter(name)
             continue
         if _is_boiler(name, rest, bool(article)):
-            stack.append((name, article))
+            enter(name)
             skip_at = len(stack)
-            lines.append(("", 0, 0))
+            lines.append(_NO_LINE)
         elif container:
+            enter(name)
             if name == "head":
-                stack.append((name, article))
                 skip_at = len(stack)
                 continue
-            stack.append((name, article))
-            lines.extend([("", 0, 0)] * (WINDOW if name in ("article", "main") else 1))
+            lines.extend([_NO_LINE] * (WINDOW if name in ("article", "main") else 1))
             if name == "body":
                 skip_at = 0
             if name == "article" or name == "main" and not article:
                 articles += 1
                 article = articles
     end_block()
-    return lines
+    leave(0)
+    return lines, containers
+
+
+def _weak_too(lines, size, stretches: list[tuple[int, int]], strong: set[tuple[int, int]], containers: Containers) -> set[tuple[int, int]]:
+    """The strong stretches and the weak ones that belong to them.
+
+    These lie in the innermost container that holds all strong ones and any weak one, or are headings with nothing but
+    more of them before the next stretch that is kept.
+    """
+    at = [lines[k][3] for i, j in strong for k in range(i, j) if size[k]]
+    weak = sorted(lines[k][3] for i, j in stretches if (i, j) not in strong for k in range(i, j) if size[k])
+    around = containers.around(min(at), max(at))
+    while around and bisect_right(weak, containers.last[around]) == bisect_left(weak, around):
+        around = containers.parent[around]
+    kept, follows = set(), False
+    for i, j in reversed(stretches):
+        texts = [lines[k] for k in range(i, j) if size[k]]
+        belongs = (i, j) in strong or all(containers.holds(around, line[3]) for line in texts)
+        if belongs or follows and all(line[4] for line in texts):
+            kept.add((i, j))
+            follows = True
+        else:
+            follows = False
+    return kept
 
 
 def main_text(html: str | None) -> str:
     """Text of the page's main stretches of lines, joined by line breaks."""
     if not html:
         return ""
-    lines = page_lines(html)
+    lines, containers = page_lines(html)
     least = SURGE
-    if any(a for text, _, a in lines if text):  # the page says itself where its articles are, so all text there counts
-        lines = [(text, 0, a) if a else ("", 0, 0) for text, _, a in lines]
+    if any(line[2] for line in lines if line[0]):  # the page says itself where its articles are, so all text there counts
+        lines = [(line[0], 0, *line[2:]) if line[2] else _NO_LINE for line in lines]
         least = 1
-    size = np.array([0 if 2 * link > len(text) else len(text) for text, link, _ in lines] + [0] * WINDOW)
+    size = np.array([0 if 2 * link > len(text) else len(text) for text, link, *_ in lines] + [0] * WINDOW)
     blocks = np.convolve(size, np.ones(WINDOW, int))[WINDOW - 1 : WINDOW - 1 + len(lines)]  # sum from each line on
     stretches, first = [], None
     for i, (line_size, block) in enumerate(zip(size, blocks, strict=False)):
@@ -196,10 +260,12 @@ def main_text(html: str | None) -> str:
             first = None
     if first is not None:
         stretches.append((first, len(lines)))
-    strong = [(i, j) for i, j in stretches if blocks[i:j].max() >= least]
+    strong = {(i, j) for i, j in stretches if blocks[i:j].max() >= least}
     if not strong and stretches:
-        strong = [max(stretches, key=lambda x: int(size[x[0] : x[1]].sum()))]
-    return "\n".join(lines[k][0] for i, j in strong for k in range(i, j) if lines[k][0])
+        strong = {max(stretches, key=lambda x: int(size[x[0] : x[1]].sum()))}
+    if len(strong) < len(stretches):
+        strong = _weak_too(lines, size, stretches, strong, containers)
+    return "\n".join(lines[k][0] for i, j in stretches if (i, j) in strong for k in range(i, j) if lines[k][0])
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -207,7 +273,9 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
     Markup, scripts, styles, comments in the source and parts that name themselves as menus, page headers, footers,
     sidebars, notices, adverts, forms or reader comments are stripped; then the sums of text lengths over WINDOW lines
-    tell where text begins (surge) and ends (dive). Inside a block each run of white space is one space.
+    tell where text begins (surge) and ends (dive). On a page without an article or main element a stretch of SURGE
+    characters is strong; a weaker one stays if it lies in the nearest container around the strong ones that has others, or is a heading before
+    one, unless most of it is links. Inside a block each run of white space is one space.
 
     NULL and empty pages give an empty text, as do pages without text; repeated rows are pages of their own; an empty
     table gives an empty result. Other columns are not read. There is no shuffle.

@@ -59,10 +59,29 @@ def test_exact_copies_and_the_index(spark):
     assert sorted(again) == [(1, 1, True), (1, 3, False), (2, 1, False)]
     assert index.read().count() == 6
     assert got(exact.deduplicate(docs(spark, []), index), "doc_id") == []
+    index_again = [got(exact.deduplicate(docs(spark, [(6, "fresh"), (6, "a b")]), index, batch="b"), "doc_id", "keep_id", "kept") for _ in range(2)]
+    assert sorted(index_again[0]) == sorted(index_again[1]) == [(6, 3, False), (6, 6, True)]
     plan = index.read().join(index.read().withColumnRenamed("keep_id", "k"), "digest", "left_anti")._jdf.queryExecution().toString()
     assert "Exchange hashpartitioning" not in plan
 
 
+def test_kept_ids_come_from_the_index(spark):
+    """The first batch too is held against the (empty) index, and takes its ids from it by a merge join."""
+    index = exact.DigestIndex.fresh(spark, buckets=4)
+    seen, save = [], index._save
+
+    def watched(rows):
+        seen.append(rows._jdf.queryExecution().optimizedPlan().toString())
+        save(rows)
+
+    index._save = watched
+    exact.deduplicate(docs(spark, [(1, "a"), (2, "a")]), index)
+    assert "Join LeftAnti" in seen[-1]
+    spark.sql(f"INSERT INTO {index.name} SELECT sha2('other', 256), -5L, 'x'")
+    found = got(exact.deduplicate(docs(spark, [(1, "other"), (2, "a")]), index), "doc_id", "keep_id", "kept")
+    assert sorted(found) == [(1, -5, False), (2, 1, False)]
+
+
 # --- benchmark ----------------------------------------------------------------------
 
 def brute_leaks(texts, items, window=10):
@@ -460,6 +479,12 @@ BODY = "This paragraph is long enough to be the beginning of a text by the sums
     ('<script>if (a < b) "</p><p>x"</script><style>p{}</style><article><p>1 &lt; 2 <b>and</b> <i>so</i></p></article>', "1 < 2 and so"),
     ('<body class="has-sidebar"><article><header><h1>T</h1></header>x<!-- <p>no</p> --><br>y</article><aside>z</aside></body>', "T\nx y"),
     ("<article><p>a</p><aside>1</aside><aside>2</aside><aside>3</aside><p>b</p></article>", "a\nb"),
+    (f"<div><h1>Title</h1></div><div><p>{BODY}</p></div>", f"Title\n{BODY}"),
+    (f"<body><div><div><div><h2>Part</h2><p>Short.</p></div><div><div><p>{BODY}</p></div></div><div><div><p>The end.</p></div></div></div></div>"
+     "<div><div><p><a href=x>More</a></p></div></div><div><div><p>Far away</p></div></div></body>", f"Part\nShort.\n{BODY}\nThe end."),
+    (f"<div><div><h1>T</h1></div></div><div><div><div><p>{BODY}</p></div></div></div>", f"T\n{BODY}"),
+    (f"<div class=nav><p>Menu</p></div><div><p>{BODY}</p></div><div><p>Between</p></div><div><p>{BODY}</p></div><div id=footer>f</div>",
+     f"{BODY}\nBetween\n{BODY}"),
     ("<article><p>never closed <b>text", "never closed text"), ('<p title="a>b">x</p>', "x"), ("<p hidden>no</p><p>yes</p>", "yes"),
 ])
 def test_main_text(page, text):
