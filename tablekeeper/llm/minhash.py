@@ -17,6 +17,7 @@ FINE_BANDS, FINE_ROWS = 230, 12
 """The same for the second comparison: 1 - (1 - 0.8^12)^230 = 1 - 8e-8; of pairs at 0.5 it takes one in 18."""
 MARKS = ("m0", "m1", "m2", "m3")
 _TABLES = tx.alphabet("nonspace")
+_SLICE = 1 << 18
 _CHUNK = 1 << 16
 
 
@@ -95,7 +96,7 @@ def signatures(docs: DataFrame, width: int, id_col: str = "doc_id", text_col: st
     def sign(batches):
         for batch in batches:
             ids = batch.column(0)
-            for a, b, raw, bounds in tx.slices(tx.column(batch, "text")):
+            for a, b, raw, bounds in tx.slices(tx.column(batch, "text"), _SLICE):
                 sets, at = shingle_sets(raw, bounds, width)
                 n = np.diff(at)
                 node = pa.array(fingerprints(sets, at).view(np.int64), mask=n == 0)
@@ -116,7 +117,7 @@ def _with_nodes(docs: DataFrame, width: int) -> DataFrame:
     def name(batches):
         for batch in batches:
             texts = tx.column(batch, "text")
-            for a, b, raw, bounds in tx.slices(texts):
+            for a, b, raw, bounds in tx.slices(texts, _SLICE):
                 node = fingerprints(*shingle_sets(raw, bounds, width))
                 yield pa.RecordBatch.from_arrays([_signed(node), texts.slice(a, b - a)], ["node", "text"])
 
@@ -128,7 +129,7 @@ def _fine_keys(texts: DataFrame, width: int) -> DataFrame:
 
     def sign(batches):
         for batch in batches:
-            for a, b, raw, bounds in tx.slices(tx.column(batch, "text")):
+            for a, b, raw, bounds in tx.slices(tx.column(batch, "text"), _SLICE):
                 keys = band_keys(*shingle_sets(raw, bounds, width), FINE_BANDS, FINE_ROWS)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), tx.lists(_signed(keys.ravel()), np.arange(b - a + 1) * FINE_BANDS)],
@@ -149,11 +150,11 @@ def _compared(pairs: DataFrame, width: int) -> DataFrame:
             size_x, size_y, common = (np.zeros(batch.num_rows, np.int64) for _ in range(3))
             marks = np.zeros((batch.num_rows, 256), bool)
             x, y = tx.column(batch, "x"), tx.column(batch, "y")
-            for a, b, raw, bounds in tx.slices(x):
+            for a, b, raw, bounds in tx.slices(x, _SLICE):
                 left, at = shingle_sets(raw, bounds, width)
                 size_x[a:b] = np.diff(at)
                 done = a
-                for c, d, raw_y, bounds_y in tx.slices(y.slice(a, b - a)):
+                for c, d, raw_y, bounds_y in tx.slices(y.slice(a, b - a), _SLICE):
                     right, to = shingle_sets(raw_y, bounds_y, width)
                     size_y[done : done + d - c] = np.diff(to)
                     for k in range(d - c):
