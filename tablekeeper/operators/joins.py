@@ -58,12 +58,13 @@ def spread_join(
         raise ValueError("how must be 'left' or 'inner'")
     whole = reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in on])
     named = left.where(whole)
-    counts = named.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > per_salt)
-    hot = counts.select(*on, F.ceil(F.col("_n") / per_salt).cast("int").alias("_salts"))
-    salts = F.coalesce("_salts", F.lit(1))
-    salted = named.join(F.broadcast(hot), list(on), "left").withColumn("_salt", F.pmod(F.xxhash64(*salt_by), salts).cast("int")).drop("_salts")
-    repeated = right.join(F.broadcast(hot), list(on), "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
-    joined = salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+    rows, many, one = (free_name(name, left, right) for name in ("rows", "salts", "salt"))
+    counts = named.groupBy(*on).agg(F.count(F.lit(1)).alias(rows)).where(F.col(rows) > per_salt)
+    hot = counts.select(*on, F.ceil(F.col(rows) / per_salt).cast("int").alias(many))
+    salts = F.coalesce(many, F.lit(1))
+    salted = named.join(F.broadcast(hot), list(on), "left").withColumn(one, F.pmod(F.xxhash64(*salt_by), salts).cast("int")).drop(many)
+    repeated = right.join(F.broadcast(hot), list(on), "left").withColumn(one, F.explode(F.sequence(F.lit(0), salts - 1))).drop(many)
+    joined = salted.join(repeated, [*on, one], how).drop(one)
     if how == "inner":
         return joined
     return joined.unionByName(left.where(~whole), allowMissingColumns=True)

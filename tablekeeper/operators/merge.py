@@ -9,7 +9,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import assert_unique, null_safe, small_side
+from .joins import assert_unique, free_name, null_safe, small_side
 
 
 def merge_update(
@@ -34,12 +34,12 @@ def merge_update(
     if unknown:
         raise ValueError(f"not in target: {sorted(unknown)}")
     whole = reduce(and_, [F.col(f"`{k}`").isNotNull() for k in keys])
-    t = target.where(whole).alias("t")
-    s = source.withColumn("_hit", F.lit(True)).alias("s")
+    t, mark = target.where(whole).alias("t"), free_name("hit", source)
+    s = source.withColumn(mark, F.lit(True)).alias("s")
     on = F.lit(True) if target_pred is None else target_pred
     for k in keys:
         on = on & (F.col(f"t.`{k}`") == F.col(f"s.`{k}`"))
-    hit = F.col("s._hit").isNotNull()
+    hit = F.col(f"s.{mark}").isNotNull()
 
     def cell(field) -> Column:
         old = F.col(f"t.`{field.name}`")

@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablekeeper.functions import tsql
+from tablekeeper.operators.joins import spread_join
+from tablekeeper.operators.merge import merge_update
 from tablekeeper.operators.scd2 import open_history, scd2_apply, scd2_changes
 from tablekeeper.sources.tables import stage_folder
 
@@ -25,6 +27,17 @@ def test_history_keeps_columns_of_any_name(spark):
     assert changes and all(r[c] == f"{c} {r.k}" for r in changes for c in NAMES)
 
 
+def test_merge_and_spread_join_keep_columns_of_any_name(spark):
+    target = spark.createDataFrame([(1, "a", "t"), (2, "b", "t")], "k int, v string, _hit string")
+    source = spark.createDataFrame([(1, "x", "mine")], "k int, hit string, _hit string")
+    merged = merge_update(target, source, ["k"], {"v": F.col("s.hit"), "_hit": F.col("s._hit")})
+    assert sorted(tuple(r) for r in merged.collect()) == [(1, "x", "mine"), (2, "b", "t")]
+    left = spark.createDataFrame([(i, 1, "l") for i in range(20)], "id int, k int, _salt string")
+    right = spark.createDataFrame([(1, "r", "s", 7)], "k int, salt string, _salts string, rows int")
+    joined = spread_join(left, right, ["k"], salt_by=["id"], per_salt=3).collect()
+    assert len(joined) == 20 and {(r["_salt"], r["salt"], r["_salts"], r["rows"]) for r in joined} == {("l", "r", "s", 7)}
+
+
 def test_equal_parts_spread_over_chunks(spark):
     copies = spark.range(30_000).select(F.lit(1).alias("k"), F.lit(5).alias("o"), F.lit("x").alias("v"))
     chunks = tsql.string_agg_chunks(copies, ["k"], "v", "-", ["o"], rows_per_chunk=1_000)
