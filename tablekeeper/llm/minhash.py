@@ -179,7 +179,7 @@ def _compared(pairs: DataFrame, width: int) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """Components of the documents linked by a Jaccard similarity of ``percent`` or more.
+    """Components of the documents linked by a Jaccard similarity of ``percent`` (80 or more, as the bands are cut for 80).
 
     Words are the stretches without ASCII white space after lower-casing A-Z; a document's set has its distinct
     shingles of ``width`` words (see ``shingle_sets``). One row per row of ``docs``: ``doc_id``, ``n_shingles``,
@@ -198,6 +198,8 @@ def near_duplicates(
     of loosely similar texts does not meet in all pairs. Either time a pair of similarity 0.8 is missed with a
     probability near 1e-7, and every link is verified on the full sets.
     """
+    if percent < 80:
+        raise ValueError("the bands find pairs of 80 percent and more")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     signed = stage(signatures(rows, width), "signatures")
     linkable = signed.where("doc_id IS NOT NULL AND node IS NOT NULL")

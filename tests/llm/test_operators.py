@@ -65,6 +65,11 @@ def test_exact_copies_and_the_index(spark):
     assert "Exchange hashpartitioning" not in plan
 
 
+def test_near_duplicates_refuse_what_the_bands_miss(spark):
+    with pytest.raises(ValueError, match="80"):
+        minhash.near_duplicates(docs(spark, []), percent=50)
+
+
 def test_kept_ids_come_from_the_index(spark):
     """The first batch too is held against the (empty) index, and takes its ids from it by a merge join."""
     index = exact.DigestIndex.fresh(spark, buckets=4)
