@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.tables import stage
@@ -13,9 +13,6 @@ from .graph import components
 
 BANDS, ROWS = 40, 5
 """A pair of similarity 0.8 shares a band with probability 1 - (1 - 0.8^5)^40 = 1 - 1.2e-7."""
-FINE_BANDS, FINE_ROWS = 230, 12
-"""The same for the second comparison: 1 - (1 - 0.8^12)^230 = 1 - 8e-8; of pairs at 0.5 it takes one in 18."""
-MARKS = ("m0", "m1", "m2", "m3")
 _TABLES = tx.alphabet("nonspace")
 _SLICE = 1 << 18
 _CHUNK = 1 << 16
@@ -124,31 +121,25 @@ def _with_nodes(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("text").mapInArrow(name, "node long, text string")
 
 
-def _fine_keys(texts: DataFrame, width: int) -> DataFrame:
-    """node and the finer band keys of (node, text) rows."""
+def _sets(texts: DataFrame, width: int) -> DataFrame:
+    """node, label and the shingle set of (node, label, text) rows."""
 
-    def sign(batches):
+    def cut(batches):
         for batch in batches:
             for a, b, raw, bounds in tx.slices(tx.column(batch, "text"), _SLICE):
-                keys = band_keys(*shingle_sets(raw, bounds, width), FINE_BANDS, FINE_ROWS)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), tx.lists(_signed(keys.ravel()), np.arange(b - a + 1) * FINE_BANDS)],
-                    ["node", "bands"],
-                )
+                sets, at = shingle_sets(raw, bounds, width)
+                own = [batch.column(c).slice(a, b - a) for c in range(2)]
+                yield pa.RecordBatch.from_arrays([*own, tx.lists(_signed(sets), at)], ["node", "label", "shingles"])
 
-    return texts.select("node", "text").mapInArrow(sign, "node long, bands array<long>")
+    return texts.select("node", "label", "text").mapInArrow(cut, "node long, label long, shingles array<long>")
 
 
 def _compared(pairs: DataFrame, width: int) -> DataFrame:
-    """a, b, the sizes of their shingle sets and of the common part, from the texts x and y.
-
-    m0 to m3 are 256 marks: each shingle that one of the two has alone sets the mark its hash picks.
-    """
+    """a, b, the sizes of their shingle sets and of the common part, from the texts x and y."""
 
     def compare(batches):
         for batch in batches:
             size_x, size_y, common = (np.zeros(batch.num_rows, np.int64) for _ in range(3))
-            marks = np.zeros((batch.num_rows, 256), bool)
             x, y = tx.column(batch, "x"), tx.column(batch, "y")
             for a, b, raw, bounds in tx.slices(x, _SLICE):
                 left, at = shingle_sets(raw, bounds, width)
@@ -161,19 +152,69 @@ def _compared(pairs: DataFrame, width: int) -> DataFrame:
                         r = done - a + k
                         both = np.concatenate([left[at[r] : at[r + 1]], right[to[k] : to[k + 1]]])
                         both.sort()
-                        twice = both[1:] == both[:-1]
-                        common[done + k] = np.count_nonzero(twice)
-                        alone = np.ones(len(both), bool)
-                        alone[1:] &= ~twice
-                        alone[:-1] &= ~twice
-                        marks[done + k, tx.mix(both[alone]) >> tx.U64(56)] = True
+                        common[done + k] = np.count_nonzero(both[1:] == both[:-1])
                     done += d - c
-            words = np.packbits(marks, axis=1).view(np.int64)
-            columns = [size_x, size_y, common, *(words[:, k].copy() for k in range(4))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *map(pa.array, columns)], ["a", "b", "na", "nb", "common", *MARKS])
+            columns = [batch.column(0), batch.column(1), *map(pa.array, (size_x, size_y, common))]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "na", "nb", "common"])
+
+    return pairs.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long, na long, nb long, common long")
+
+
+def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """shingle, node, label, size and reach for the rarest shingles of each set.
+
+    A set's shingles are ordered by the number of sets that hold them, then by hash. Two sets that are ``percent`` alike
+    have one in common among the first ``size - ceil(percent * size / 100) + 1`` of either; ``reach`` is how many come
+    from it on, so the first one in common bounds the common part. Shingles of one set alone come first, and are not given.
+    """
+    each = sets.select("node", F.explode("shingles").alias("shingle"))
+    common = stage(each.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1"), "shared-shingles")
+    ordered = each.join(common, "shingle").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("holders", "shingle"))).alias("order"))
+    sized = sets.select("node", "label", F.size("shingles").cast("long").alias("size")).join(ordered, "node")
+    own = F.col("size") - F.size("order")
+    length = F.expr(f"(size * {100 - percent}) div 100 + 1")
+    lead = sized.withColumn("own", own).withColumn("lead", F.slice("order", F.lit(1), F.greatest(length - own, F.lit(0)).cast("int")))
+    at = lead.select("node", "label", "size", "own", F.posexplode("lead").alias("pos", "item"))
+    return at.select("item.shingle", "node", "label", "size", (F.col("size") - F.col("own") - F.col("pos")).alias("reach"))
+
+
+def _enough(reach_a: str, reach_b: str, size_a: str, size_b: str, percent: int) -> Column:
+    """Whether sets of these sizes can be ``percent`` alike with a common part of at most these reaches."""
+    most = F.least(F.col(reach_a), F.col(reach_b))
+    return most * (100 + percent) >= (F.col(size_a) + F.col(size_b)) * percent
+
 
-    kinds = ", ".join(f"{c} long" for c in ("a", "b", "na", "nb", "common", *MARKS))
-    return pairs.select("a", "b", "x", "y").mapInArrow(compare, kinds)
+def _side(df: DataFrame, side: str) -> DataFrame:
+    return df.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in df.columns if c != "shingle"])
+
+
+def _foremost(posts: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b, la, lb) of one node each of two components that share a shingle: those with the longest reach."""
+    best = posts.groupBy("shingle", "label").agg(F.max(F.struct("reach", "node", "size")).alias("p")).select("shingle", "label", "p.*")
+    met = _side(best, "a").join(_side(best, "b"), "shingle").where("label_a < label_b")
+    met = met.where(_enough("reach_a", "reach_b", "size_a", "size_b", percent))
+    return met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), F.col("label_a").alias("la"), F.col("label_b").alias("lb")).distinct()
+
+
+def _all_across(posts: DataFrame, percent: int) -> DataFrame:
+    """Every pair (a, b, la, lb) of nodes of two components that share a shingle and have the reach.
+
+    Components meet first, by their longest reach and smallest size, then the nodes of those that can: nodes of one
+    component never meet.
+    """
+    groups = posts.groupBy("shingle", "label").agg(F.max("reach").alias("reach"), F.min("size").alias("size"))
+    met = _side(groups, "a").join(_side(groups, "b"), "shingle").where("label_a < label_b")
+    met = stage(met.where(_enough("reach_a", "reach_b", "size_a", "size_b", percent)).select("shingle", "label_a", "label_b", "reach_b", "size_b"), "met")
+    half = met.join(_side(posts, "a"), ["shingle", "label_a"]).where(_enough("reach_a", "reach_b", "size_a", "size_b", percent))
+    full = half.drop("reach_b", "size_b").join(_side(posts, "b"), ["shingle", "label_b"])
+    full = full.where(_enough("reach_a", "reach_b", "size_a", "size_b", percent))
+    return full.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), F.col("label_a").alias("la"), F.col("label_b").alias("lb")).distinct()
+
+
+def _joined(df: DataFrame, merged: DataFrame) -> DataFrame:
+    """``df`` with the labels that ``merged`` (node, label) has for its own."""
+    step = merged.select(F.col("node").alias("label"), F.col("label").alias("merged"))
+    return df.join(step, "label", "left").withColumn("label", F.coalesce("merged", "label")).drop("merged")
 
 
 def near_duplicates(
@@ -190,13 +231,13 @@ def near_duplicates(
     its ``component_id`` is NULL, and it is kept. Rows that repeat an id share its links. An empty table gives an empty
     result. Other columns are not read.
 
-    Candidates are compared twice. First each node of a band's bucket with the smallest node of the bucket, so a bucket
-    of many copies costs as many comparisons as it has nodes. Then the nodes of buckets that still hold several
-    components get many narrower bands, and those of different components that share one are compared, unless the
-    distances to a center they have in common already tell them apart: what differs between x and y is at least
-    far(x) + far(y) less twice the shingles that both have unlike the center, and 256 marks bound these. So a large group
-    of loosely similar texts does not meet in all pairs. Either time a pair of similarity 0.8 is missed with a
-    probability near 1e-7, and every link is verified on the full sets.
+    Candidates are compared in three rounds. First each node of a band's bucket with the smallest node of the bucket, so
+    a bucket of many copies costs as many comparisons as it has nodes. The nodes of buckets that still hold several
+    components then meet by their rarest shingles (see ``_prefixes``), which two sets of ``percent`` must share: loosely
+    similar texts do not, so a large group of them does not meet in all pairs. Of those that do, one node of each
+    component goes first; most that can be linked are then, and the last round takes all pairs of nodes whose components
+    are still apart. The rarest shingles lose no pair, a bucket misses one of similarity 0.8 with a probability near
+    1e-7, and every link is verified on the full sets.
     """
     if percent < 80:
         raise ValueError("the bands find pairs of 80 percent and more")
@@ -218,6 +259,14 @@ def near_duplicates(
         return stage(_compared(pairs.join(left, "a").join(right, "b"), width), "compared")
 
     linked = F.expr(f"100 * common >= {percent} * (na + nb - common)")
+    def links(pairs: DataFrame) -> DataFrame:
+        found = compared(pairs).where(linked).select("a", "b")
+        return pairs.join(found, ["a", "b"]).select(F.col("la").alias("a"), F.col("lb").alias("b"))
+
+    def merge(labels: DataFrame, merged: DataFrame) -> DataFrame:
+        alone = merged.join(labels.select("node"), "node", "left_anti").select("node", "label")
+        return stage(_joined(labels, merged).select("node", "label").unionAll(alone), "labels-all")
+
     stars = members.where("node <> center").select(F.col("node").alias("a"), F.col("center").alias("b")).distinct()
     stars = compared(stars)
     labels = components(stars.where(linked).select("a", "b"))
@@ -225,30 +274,17 @@ def near_duplicates(
     placed = members.join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
     mixed = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
     mixed = placed.join(mixed.select("key"), "key").select("node", "label").distinct()
-    mixed_texts = stage(texts.join(mixed, "node"), "mixed")
-    # each node's smallest center, how far it is from it (shingles that one of them has alone) and the marks of these
-    far = F.col("na") + F.col("nb") - 2 * F.col("common")
-    set_marks = sum(F.bit_count(m) for m in MARKS)
-    away = stars.groupBy(F.col("a").alias("node")).agg(
-        F.min(F.struct(F.col("b").alias("pivot"), far.alias("far"), F.col("na").alias("size"), (far - set_marks).alias("extra"), *MARKS)).alias("p")
-    )
-    known = mixed_texts.select("node", "label").join(away, "node", "left").select("node", "label", "p.*")
-    known = known.withColumn("pivot", F.coalesce("pivot", "node"))
-    fine = stage(_fine_keys(mixed_texts, width).join(known, "node"), "fine")
-    fine = fine.select(F.explode("bands").alias("key"), *known.columns)
-    one, two = (fine.select("key", *[F.col(c).alias(f"{c}_{side}") for c in known.columns]) for side in "ab")
-    shared_marks = sum(F.bit_count(F.col(f"{m}_a").bitwiseAND(F.col(f"{m}_b"))) for m in MARKS)
-    apart = F.col("far_a") + F.col("far_b") - 2 * (shared_marks + F.least("extra_a", "extra_b"))  # so many shingles differ at least
-    near = (F.col("pivot_a") != F.col("pivot_b")) | (apart * (100 + percent) <= (F.col("size_a") + F.col("size_b")) * (100 - percent))
-    cross = one.join(two, "key").where((F.col("node_a") > F.col("node_b")) & (F.col("label_a") != F.col("label_b")) & F.coalesce(near, F.lit(True)))
-    rest = cross.groupBy(F.col("node_a").alias("a"), F.col("node_b").alias("b")).agg(F.first("label_a").alias("la"), F.first("label_b").alias("lb"))
-    rest = stage(rest.join(stars.select("a", "b"), ["a", "b"], "left_anti"), "rest")
-    more = compared(rest.select("a", "b")).where(linked).join(rest, ["a", "b"]).select(F.col("la").alias("a"), F.col("lb").alias("b"))
-    merged = components(more).select(F.col("node").alias("label"), F.col("label").alias("merged"))
-
-    labels = labels.join(merged, "label", "left").select("node", F.coalesce("merged", "label").alias("label"))
-    alone = merged.select(F.col("label").alias("node"), F.col("merged").alias("label")).join(labels, "node", "left_anti")
-    labels = stage(labels.unionAll(alone), "labels-all")
+    posts = stage(_prefixes(stage(_sets(texts.join(mixed, "node"), width), "sets"), percent), "prefixes")
+
+    known = stars.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    for name, meet in (("foremost", _foremost), ("across", _all_across)):
+        pairs = meet(posts, percent)
+        pairs = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"), "la", "lb")
+        pairs = stage(pairs.join(known, ["a", "b"], "left_anti"), name)
+        merged = components(links(pairs))
+        labels, posts = merge(labels, merged), _joined(posts, merged)
+        known = known.unionAll(pairs.select("a", "b"))
+
     placed_rows = (
         signed.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("node")).alias("node"))
         .join(labels, "node", "left")
