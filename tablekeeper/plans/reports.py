@@ -11,17 +11,22 @@ from .common import RESULTS_SQL, cols, results, sql_cols, corpus, table
 # --- SQL of the reports, with the labels written out ---
 _SUCCESS = "valid_status IN ('pass', 'unresolved_ext_dep', 'sound_dep')"
 _OPEN = "valid_status IN ('fail', 'timeout')"
-_CASE_A = """CASE WHEN contains(valid_error, 'ONLY') AND regexp_matches(valid_error, 'ONLY.AT.BEGINNING', 's') THEN 'declare_placement'
-  WHEN contains(valid_error, 'MATCHED') THEN 'merge_syntax' WHEN regexp_matches(valid_error, 'DELTA.INVALID.CHARACTERS', 's') THEN 'column_name_chars'
-  WHEN contains(valid_error, 'missing') THEN 'statement_termination' WHEN contains(valid_error, 'end of input') THEN 'unclosed_block'
-  WHEN regexp_matches(valid_error, 'PYTHON.SYNTAX', 's') THEN 'pyspark_syntax' WHEN regexp_matches(valid_error, 'PARSE.SYNTAX', 's') THEN 'parse_other'
-  WHEN regexp_matches(valid_error, 'UNRESOLVED.COLUMN', 's') THEN 'unresolved_column' WHEN regexp_matches(valid_error, 'NOT.FOUND', 's') THEN 'missing_dependency'
-  WHEN valid_status = 'timeout' THEN 'timeout' ELSE 'other' END"""
-_CASE_B = """CASE WHEN regexp_matches(valid_error, 'PARSE.SYNTAX.ERROR', 's') THEN 'parse syntax' WHEN regexp_matches(valid_error, 'PYTHON.SYNTAX', 's') THEN 'python syntax'
-  WHEN regexp_matches(valid_error, 'UNRESOLVED.COLUMN', 's') THEN 'unresolved column'
-  WHEN regexp_matches(valid_error, 'IDENTIFIER.TOO.MANY.NAME.PARTS', 's') THEN 'cross-db 3-part name'
-  WHEN regexp_matches(valid_error, 'UNRESOLVABLE.TABLE.VALUED.FUNCTION', 's') THEN 'TVF unresolved'
-  WHEN valid_status = 'timeout' THEN 'timeout (transient)' ELSE 'other' END"""
+
+
+def _first_of(ladder, timeout):
+    """Label of the first place whose pattern hits; a timeout is asked after the text."""
+    hit = f"SELECT arg_min(label, place) FROM (VALUES {ladder}) AS ladder(place, pattern, label) WHERE valid_error LIKE pattern"
+    return f"coalesce(({hit}), CASE WHEN valid_status = 'timeout' THEN '{timeout}' ELSE 'other' END)"
+
+
+# Patterns and labels of the two ladders, in order.
+_CASE_A = _first_of("""(1, '%ONLY_AT_BEGINNING%', 'declare_placement'), (2, '%MATCHED%', 'merge_syntax'),
+  (3, '%DELTA_INVALID_CHARACTERS%', 'column_name_chars'), (4, '%missing%', 'statement_termination'),
+  (5, '%end of input%', 'unclosed_block'), (6, '%PYTHON_SYNTAX%', 'pyspark_syntax'), (7, '%PARSE_SYNTAX%', 'parse_other'),
+  (8, '%UNRESOLVED_COLUMN%', 'unresolved_column'), (9, '%NOT_FOUND%', 'missing_dependency')""", "timeout")
+_CASE_B = _first_of("""(1, '%PARSE_SYNTAX_ERROR%', 'parse syntax'), (2, '%PYTHON_SYNTAX%', 'python syntax'),
+  (3, '%UNRESOLVED_COLUMN%', 'unresolved column'), (4, '%IDENTIFIER_TOO_MANY_NAME_PARTS%', 'cross-db 3-part name'),
+  (5, '%UNRESOLVABLE_TABLE_VALUED_FUNCTION%', 'TVF unresolved')""", "timeout (transient)")
 # the rows of the latest run among those of the largest fraction: first place by fraction, then by run
 _FULL = "full_run AS (SELECT * EXCLUDE (place) FROM (SELECT *, dense_rank() OVER (ORDER BY fraction DESC, run_ts DESC) AS place FROM results) WHERE place = 1)"
 _SUMMARY = f"""summary AS (FROM results SELECT run_ts, fraction, object_type, count(*) AS n, count(*) FILTER ({_SUCCESS}) AS success,
