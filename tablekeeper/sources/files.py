@@ -29,17 +29,24 @@ def scan_files(spark: SparkSession, path: str, glob: str = "*.sql") -> DataFrame
     )
 
 
-# On the hex digits of UTF-16 text: a run of well-formed units, then a lone surrogate.
-_LONE_LE = r"\G((?:..(?!D[89A-F])..|..D[89AB]..D[C-F])*+)..D[89A-F]"
-_LONE_BE = r"\G((?:(?!D[89A-F])....|D[89AB]..D[C-F]..)*+)D[89A-F].."
+# On the bytes of UTF-16 text, a character each: a run of well-formed units, then a lone surrogate.
+_HIGH, _LOW, _ANY = r"[\xD8-\xDB]", r"[\xDC-\xDF]", r"[\xD8-\xDF]"
+_LONE_LE = rf"(?s)\G((?:.[^\xD8-\xDF]|.{_HIGH}.{_LOW})*+).{_ANY}"
+_LONE_BE = rf"(?s)\G((?:[^\xD8-\xDF].|{_HIGH}.{_LOW}.)*+){_ANY}."
 
 
 def _utf16(content: Column, little: bool) -> Column:
-    """UTF-16 text; lone surrogates and a lone last byte become the replacement character."""
+    """UTF-16 text; lone surrogates and a lone last byte become the replacement character.
+
+    Texts without lone surrogates, that is nearly all, are decoded as they are.
+    """
     size = F.octet_length(content)
-    digits = F.hex(F.substring(content, F.lit(1), (size - size % 2).cast("int")))
-    lone, mark = (_LONE_LE, "$1FDFF") if little else (_LONE_BE, "$1FFFD")
-    text = F.decode(F.unhex(F.regexp_replace(digits, lone, mark)), "UTF-16LE" if little else "UTF-16BE")
+    whole = F.substring(content, F.lit(1), (size - size % 2).cast("int"))
+    chars = F.decode(whole, "ISO-8859-1")
+    lone, mark = (_LONE_LE, "$1\u00fd\u00ff") if little else (_LONE_BE, "$1\u00ff\u00fd")
+    name = "UTF-16LE" if little else "UTF-16BE"
+    mended = F.decode(F.encode(F.regexp_replace(chars, lone, mark), "ISO-8859-1"), name)
+    text = F.when(chars.rlike(lone), mended).otherwise(F.decode(whole, name))
     text = F.concat(text, F.when(size % 2 == 1, F.lit("\ufffd")).otherwise(""))
     return F.ltrim(text, F.lit("\ufeff"))
 
@@ -52,20 +59,21 @@ def decode_text(content: Column) -> Column:
     """Text of a file: by byte order mark, else UTF-16 if control bytes abound, else UTF-8, else Latin-1.
 
     All bytes count: in UTF-16 text of an alphabet every other byte is one of the first few, so more than CONTROL_LIMIT
-    control bytes and CONTROL_SHARE of the content mean UTF-16, and their places tell which byte comes first.
+    control bytes and CONTROL_SHARE of the content mean UTF-16, and their places tell which byte comes first. They are
+    counted only where there is one.
     """
     head = F.hex(F.substring(content, F.lit(1), F.lit(3)))
+    utf8 = content.cast("string")
     chars = F.decode(content, "ISO-8859-1")
     controls = _controls(chars)
-    wide = (controls > CONTROL_LIMIT) & (controls >= F.octet_length(content) * CONTROL_SHARE)
+    many = (controls > CONTROL_LIMIT) & (controls >= F.octet_length(content) * CONTROL_SHARE)
+    wide = F.when(utf8.rlike(r"[\x00-\x08\x0B\x0E-\x1F]"), many).otherwise(False)
     high_first = _controls(F.regexp_replace(chars, "(?s)(.).?", "$1")) * 2 > controls
-    utf8 = content.cast("string")
     return (
         F.when(head.startswith("FFFE"), _utf16(content, True))
         .when(head.startswith("FEFF"), _utf16(content, False))
         .when(head == "EFBBBF", F.make_valid_utf8(F.substring(content, F.lit(4), F.octet_length(content)).cast("string")))
-        .when(wide & high_first, _utf16(content, False))
-        .when(wide, _utf16(content, True))
+        .when(wide, F.when(high_first, _utf16(content, False)).otherwise(_utf16(content, True)))
         .when(F.is_valid_utf8(utf8), utf8)
         .otherwise(F.decode(content, "ISO-8859-1"))
     )
