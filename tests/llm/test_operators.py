@@ -212,6 +212,24 @@ def test_loosely_similar_group(spark):
     assert sorted(found) == sorted(brute_components(rows, 2))
 
 
+def test_rarest_shingles_lose_no_pair(spark):
+    """Sets of 80 percent in common meet by a shingle of their prefixes, unless they have one label."""
+    pick, sets = random.Random(4), []
+    for k in range(80):
+        own = set(range(40)) - set(pick.sample(range(40), pick.randrange(6)))
+        sets.append(sorted(own | {1_000 + pick.randrange(60) for _ in range(pick.randrange(7))}))
+    table = spark.createDataFrame([(k, k // 2, s) for k, s in enumerate(sets)], "node long, label long, shingles array<long>")
+    posts = minhash._prefixes(table, 80)
+    near = {
+        (a, b) for a in range(80) for b in range(a + 1, 80)
+        if a // 2 != b // 2 and 100 * len({*sets[a]} & {*sets[b]}) >= 80 * len({*sets[a]} | {*sets[b]})
+    }
+    met = {(min(r), max(r)) for r in got(minhash._all_across(posts, 80), "a", "b")}
+    first = {(min(r), max(r)) for r in got(minhash._foremost(posts, 80), "a", "b")}
+    assert near and near <= met and first <= met and len(met) < 80 * 79 // 2 - 40
+    assert all(a // 2 != b // 2 for a, b in met)
+
+
 # --- lines ------------------------------------------------------------------------------
 
 def distance(a, b):
