@@ -203,17 +203,21 @@ def string_agg_chunks(
     """The string of each key in numbered chunks: keys, ``part_no`` (increasing) and ``col``; NULL parts are left out.
 
     Chunks of a key joined by ``sep`` in the order of ``part_no`` are its ``string_agg``. The rows are sorted into
-    ranges of about ``rows_per_chunk``, so a key of any size spreads over tasks and no chunk grows with it. Equal rows are
-    told apart by a running number, so copies spread too.
+    ranges, and each range is cut into chunks of at most ``rows_per_chunk``, so a key of any size spreads over tasks and no
+    chunk grows with it. Equal rows are told apart by a running number, so copies spread too. There are as many ranges as
+    chunks, but no more than ``spark.sql.shuffle.partitions``: the driver holds a sample for each.
     """
     rows = df.where(F.col(col).isNotNull()).select(*keys, *[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)], F.col(col).alias("_part"))
     names = [f"_o{i}" for i in range(len(order))]
+    place = [*keys, *names, "_part", "_number"]
     numbered = rows.withColumn("_number", F.monotonically_increasing_id())
-    ranges = numbered.repartitionByRange(1 + rows.count() // rows_per_chunk, *keys, *names, "_part", "_number")
-    placed = ranges.withColumn("_range", F.spark_partition_id())
+    most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = numbered.repartitionByRange(min(1 + rows.count() // rows_per_chunk, most), *place).sortWithinPartitions(*place)
+    at = F.monotonically_increasing_id()  # range number and place in it
+    placed = ranges.withColumn("_at", at).withColumn("_chunk", F.col("_at") - F.col("_at").bitwiseAND((1 << 33) - 1) % rows_per_chunk)
     parts = F.transform(F.sort_array(F.collect_list(F.struct(*names, "_part"))), lambda p: p["_part"])
-    chunks = placed.groupBy(*keys, "_range").agg(F.array_join(parts, sep).alias(col))
-    return chunks.select(*keys, F.col("_range").alias("part_no"), col)
+    chunks = placed.groupBy(*keys, "_chunk").agg(F.array_join(parts, sep).alias(col))
+    return chunks.select(*keys, F.col("_chunk").alias("part_no"), col)
 
 
 def pivot(df: DataFrame, keys: Sequence[str], for_col: str, values: Sequence, agg: Column) -> DataFrame:

@@ -1,5 +1,6 @@
 """Helper columns leave the user's alone, copies spread over chunks, and staging needs a shared folder."""
 
+import re
 from types import SimpleNamespace
 
 import pytest
@@ -45,6 +46,18 @@ def test_equal_parts_spread_over_chunks(spark):
     assert len(sizes) > 20 and max(sizes) < 6_000 and sum(sizes) + len(sizes) - 1 == 59_999
 
 
+def test_ranges_do_not_grow_with_the_rows(spark, capsys):
+    rows = spark.range(20_000).selectExpr("id % 3 AS k", "hash(id) AS o", "cast(id AS string) AS v")
+    chunks = tsql.string_agg_chunks(rows, ["k"], "v", "-", ["o"], rows_per_chunk=50)
+    chunks.explain()
+    (ranges,) = {int(n) for n in re.findall(r"rangepartitioning\(.*?, (\d+)\)", capsys.readouterr().out)}
+    assert ranges <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = sorted(tuple(r) for r in chunks.collect())
+    assert max(v.count("-") + 1 for _, _, v in found) == 50 and len({r[:2] for r in found}) == len(found)
+    whole = {r.k: r.v for r in tsql.string_agg(rows, ["k"], "v", "-", ["o", "v"]).collect()}
+    assert {k: "-".join(v for a, _, v in found if a == k) for k in whole} == whole
+
+
 def test_a_cluster_needs_a_shared_folder():
     conf = SimpleNamespace(get=lambda name, default=None: default if name == "spark.checkpoint.dir" else "/here")
 
