@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import os
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,30 +18,68 @@ from . import text as tx
 END_ID = 1
 MAX_TOKENS, MAX_SEGMENTS, MAX_LOSS = 2048, 256, 2048
 OPEN_BINS = 16
-_TABLES = tx.alphabet("nonspace", fold=False)
 _KEPT_WORDS, _AT_ONCE = 1 << 19, 500
 _SLICE_BYTES = 1 << 20
 NUL = "\0"
-_PLAIN = re.compile(r"[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+([!-&(-/:-@\[-`{-~]*)").fullmatch
-"""Letters of one part, and signs (no apostrophe) that are another: such words need no mark between them."""
+_INSIDE, _VALUES = tx.alphabet("nonspace", fold=False)
+_FOLDED = tx.alphabet("nonspace")[1]
+_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+_SALT = tx.U64(0x6A09E667F3BCC909)
+
+
+def _byte_kinds() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte tables for words of ASCII and U+00C0 to U+00FF: letters, signs, and bytes that no such word has."""
+    b = np.arange(256)
+    low = b | 32
+    letter = (low >= 97) & (low <= 122) & (b < 128) | (b == 0xC3) | (b >= 128) & (b < 0xC0) & (b != 0x97) & (b != 0xB7)
+    sign = (b > 32) & (b < 127) & ~letter & ~((b >= 48) & (b <= 57))
+    return letter, sign, (b >= 0xC0) & (b != 0xC3)
+
+
+_LETTER, _SIGN, _FOREIGN = _byte_kinds()
+
+
+def cuts_known(definition: dict) -> bool:
+    """Is it a tokenizer that lower-cases A-Z, tells ends of words by a suffix, and cuts words by _SPLIT alone?
+
+    Then a word cuts between a letter and an ASCII sign, and between such a sign (but an apostrophe) and a letter, and
+    runs of letters or of such signs are one part, with one suffix.
+    """
+    normalizer = definition["normalizer"] or {}
+    steps = normalizer.get("normalizers", [normalizer])
+    harmless = [
+        {"type": "NFC"}, {"type": "Lowercase"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+    ]
+    split = {"type": "Split", "pattern": {"Regex": _SPLIT}, "behavior": "Removed", "invert": True}
+    levels = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+    exact = not any(t["normalized"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in definition["added_tokens"])
+    model = definition["model"]
+    return (
+        exact and {"type": "Lowercase"} in steps and all(x in harmless for x in steps)
+        and definition["pre_tokenizer"] == {"type": "Sequence", "pretokenizers": [split, levels]}
+        and model["type"] == "BPE" and bool(model["end_of_word_suffix"]) and not model["dropout"]
+    )
 
 
 class WordTokens:
     """Ids of a text from the ids of its words, for tokenizers that never join what white space parts.
 
-    Each distinct word is tokenized once while it is remembered; the memory starts anew when it is full.
+    Each distinct word is tokenized once while it is remembered; the memory starts anew when it is full. If the
+    tokenizer's cuts are known (see ``cuts_known``), words of ASCII and U+00C0 to U+00FF are cut further and remembered
+    in lower case: most words that differ only in case or in a sign beside them are one.
     """
 
     def __init__(self, definition: str):
         self.tokenizer = Tokenizer.from_str(definition)
         mark = self.tokenizer.encode(NUL, add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 else None
-        suffix = json.loads(definition)["model"].get("end_of_word_suffix")
+        parsed = json.loads(definition)
         self.closing = None
-        if suffix:
-            vocabulary = self.tokenizer.get_vocab()
+        if cuts_known(parsed):
+            suffix, vocabulary = parsed["model"]["end_of_word_suffix"], self.tokenizer.get_vocab()
             self.closing = np.zeros(max(vocabulary.values()) + 1, bool)
             self.closing[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+            self.added = [t["content"].encode() for t in parsed["added_tokens"]]
         self._forget()
 
     def _forget(self) -> None:
@@ -54,6 +91,49 @@ class WordTokens:
     def _encode(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
+    def _words(self, raw: np.ndarray, bounds: np.ndarray):
+        """Start, end and hash of every word, the rows' bounds in them, and which words are one part."""
+        inside = _INSIDE[raw]
+        start, end = tx.spans(inside, bounds)
+        if self.closing is None or not len(start):
+            hashes = tx.range_hash(tx.prefix_sums(_VALUES[raw]), start, end)
+            return start, end, hashes, np.searchsorted(start, bounds), np.zeros(len(start), bool)
+        foreign = _FOREIGN[raw]
+        data = raw.tobytes() if self.added else b""
+        for token in self.added:
+            at = data.find(token)
+            while at >= 0:
+                foreign[at] = True
+                at = data.find(token, at + 1)
+        values, fold = _FOLDED[raw], None
+        if foreign.any():
+            whole = np.logical_or.reduceat(foreign, start)  # white space behind a word is not foreign
+            fold = np.zeros(len(raw), bool)
+            fold[tx.ragged(start[~whole], (end - start)[~whole])] = True
+            values = np.where(fold, values, _VALUES[raw])
+        letter, sign = _LETTER[raw], _SIGN[raw]
+        plain_sign = sign & (raw != 39)
+        begins = letter.copy()
+        begins[:-1] &= (raw[:-1] != 0xC3) | letter[1:]  # U+00D7 and U+00F7 are no letters
+        cut = np.zeros(len(raw), bool)
+        cut[1:] = letter[:-1] & sign[1:] | plain_sign[:-1] & begins[1:]
+        if fold is not None:
+            cut &= fold
+        cut[bounds[:-1][bounds[:-1] < len(raw)]] = False
+        extra = np.flatnonzero(cut)
+        start, end = np.sort(np.concatenate([start, extra]), kind="stable"), np.sort(np.concatenate([end, extra]), kind="stable")
+        hashes = tx.range_hash(tx.prefix_sums(values), start, end)
+        one = np.zeros(len(start), bool)
+        for kind in (letter, plain_sign):
+            sums = np.concatenate([[0], np.cumsum(kind)])
+            one |= sums[end] - sums[start] == end - start
+        if fold is None:
+            hashes ^= _SALT
+        else:
+            hashes[fold[start]] ^= _SALT
+            one &= fold[start]
+        return start, end, hashes, np.searchsorted(start, bounds), one
+
     def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words one behind the other, and how many each has.
 
@@ -66,39 +146,41 @@ class WordTokens:
         ends = np.flatnonzero(ids == self.mark)
         return np.delete(ids, ends), np.diff(ends, prepend=-1) - 1
 
-    def _plain_ids(self, words: list[str], parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The same for words of so many ``parts``, each of which ends with an id that ends a part."""
-        ids = self._encode(" ".join(words))
+    def _part_ids(self, raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for words of one part: each ends with an id that ends a part."""
+        length = end - start
+        text = np.full(int(length.sum()) + len(length), 32, np.uint8)
+        text[tx.ragged(np.cumsum(length + 1) - length - 1, length)] = raw[tx.ragged(start, length)]
+        ids = self._encode(text.tobytes().decode())
         ends = np.flatnonzero(self.closing[ids])
-        if len(ends) != parts.sum():
-            return self._ids(words)
-        return ids, np.diff(ends[np.cumsum(parts) - 1], prepend=-1)
+        if len(ends) != len(start):
+            return self._ids(text.tobytes().decode().split(" ")[:-1])
+        return ids, np.diff(ends, prepend=-1)
 
-    def _learn(self, fresh: list[str], hashes: np.ndarray) -> None:
+    def _learn(self, raw: np.ndarray, start: np.ndarray, end: np.ndarray, hashes: np.ndarray, one: np.ndarray) -> None:
         if len(self.hashes) + len(hashes) > _KEPT_WORDS:
             self._forget()
-        kind = [_PLAIN(w) if self.closing is not None else None for w in fresh]
-        parts = np.array([0 if m is None else 1 + bool(m.group(1)) for m in kind])
-        order = np.argsort(parts == 0, kind="stable")
-        hashes, parts, n_plain = hashes[order], parts[order], int((parts > 0).sum())
-        fresh = [fresh[k] for k in order]
-        found = []
-        for first, last, plain in ((0, n_plain, True), (n_plain, len(fresh), False)):
+        found, order = [], np.argsort(~one, kind="stable")
+        start, end, hashes, n_one = start[order], end[order], hashes[order], int(one.sum())
+        for first, last in ((0, n_one), (n_one, len(order))):
             for at in range(first, last, _AT_ONCE):  # few at once: encodings are large
-                to = min(at + _AT_ONCE, last)
-                found.append(self._plain_ids(fresh[at:to], parts[at:to]) if plain else self._ids(fresh[at:to]))
+                a, b = start[at : min(at + _AT_ONCE, last)], end[at : min(at + _AT_ONCE, last)]
+                if at < n_one:
+                    found.append(self._part_ids(raw, a, b))
+                else:
+                    found.append(self._ids([raw[i:j].tobytes().decode() for i, j in zip(a, b, strict=True)]))
         new, length = np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
-        start = len(self.pool) + np.cumsum(length) - length
+        place = len(self.pool) + np.cumsum(length) - length
         self.pool = np.concatenate([self.pool, new])
         every = np.concatenate([self.hashes, hashes])
-        order = np.argsort(every)
+        order = np.argsort(every, kind="stable")  # runs that are sorted already
         self.hashes = every[order]
-        self.start = np.concatenate([self.start, start])[order]
+        self.start = np.concatenate([self.start, place])[order]
         self.length = np.concatenate([self.length, length])[order]
 
     def encode(self, raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows one behind the other, and the rows' bounds in them."""
-        start, end, hashes, by_row = tx.words(raw, bounds, _TABLES)
+        start, end, hashes, by_row, one = self._words(raw, bounds)
         distinct, first, which = np.unique(hashes, return_index=True, return_inverse=True)
         at = np.searchsorted(self.hashes, distinct)
         known = at < len(self.hashes)
@@ -106,9 +188,8 @@ class WordTokens:
         if not known.all():
             if len(self.hashes) + int((~known).sum()) > _KEPT_WORDS:
                 known[:] = False  # all words of this slice are learnt anew
-            data = raw.tobytes()
-            fresh = [data[start[k] : end[k]].decode() for k in first[~known]]
-            self._learn(fresh, distinct[~known])
+            fresh = first[~known]
+            self._learn(raw, start[fresh], end[fresh], distinct[~known], one[fresh])
             at = np.searchsorted(self.hashes, distinct)
         at = at[which]
         length = self.length[at]

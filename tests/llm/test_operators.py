@@ -444,6 +444,25 @@ def test_packing_round_trip(spark, limits):
     assert packing.pack(docs(spark, []), path).count() == 0
 
 
+def test_words_that_differ_in_case_or_signs_are_tokenized_once():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    plain = Tokenizer.from_file(path)
+    with open(path, encoding="utf-8") as file:
+        tokens = packing.WordTokens(file.read())
+    for text, known in (("Word word, WORD. (word) -word", 6), ("word", 6), ("\u00e9t\u00e9, \u00c9T\u00c9", 8)):  # only A-Z are folded
+        raw = np.frombuffer(text.encode(), np.uint8)
+        ids, _ = tokens.encode(raw, np.array([0, len(raw)]))
+        assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids and len(tokens.hashes) == known
+    pick = random.Random(3)
+    parts = ["a", "The", "don't", "'S", "'re", "'", "-", "\"", "H\u0331", "h\u0331", "e", "\u0301", "\u00c9", "\u00d7", "\u00f7", "\u00df",
+             "\u0130", "\u4e2d", "1", "\u00b2", "\0", "\x1c", "\x85", "\xa0", " ", " ", "\n", "<|endoftext|>", "<|ENDOFTEXT|>", "<|", "</w>", ">", "!"]
+    texts = ["".join(pick.choices(parts, k=25)) for _ in range(600)]
+    data = [t.encode() for t in texts]
+    ids, at = tokens.encode(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]))
+    for k, text in enumerate(texts):
+        assert ids[at[k] : at[k + 1]].tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
 def test_sequences_are_full(spark):
     path = public_tokenizers.path("word_bpe_49k.json")
     rows = docs(spark, [(k, " ".join(prose(k, 3 + 37 * k % 400))) for k in range(200)]).coalesce(1)
