@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,18 +12,34 @@ from tablekeeper.llm import leaks, lines, minhash, packing, quality
 from tablekeeper.sources.tables import stage
 
 TOKENIZER = "word_bpe_49k.json"
+BATCH_ROWS = 2_000
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(step):
+    """Let the stage hand its rows to Python a few megabytes at a time: whole texts are large rows, and an executor keeps
+    the memory of its largest batches, in the JVM and in each Python worker.
+    """
+
+    @wraps(step)
+    def run_step(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+        return step(spark, docs, sf_dir)
+
+    return run_step
+
+
+@small_batches
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
     trees = quality.train(docs, _table(spark, sf_dir, "labels"))
     return quality.score(docs, trees).where(F.col("score") >= quality.THRESHOLD).select(docs.columns)
 
 
+@small_batches
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the lines that are nearly equal to an earlier one; a document that loses all it had goes."""
     done = lines.remove_lines(docs)
@@ -34,6 +52,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
 
 
+@small_batches
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word shingles, similarity 0.8 or more)."""
     found = minhash.near_duplicates(docs)
@@ -41,6 +60,7 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
     return docs.join(stage(dropped.select("doc_id"), "dropped"), "doc_id", "left_anti").select(docs.columns)
 
 
+@small_batches
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages of the benchmark; a document that holds nothing else goes."""
     done = leaks.remove_benchmark(docs, _table(spark, sf_dir, "benchmark"))
@@ -49,6 +69,7 @@ def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     )
 
 
+@small_batches
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token sequences of at most 2048 ids."""
     return packing.pack(docs, public_tokenizers.path(TOKENIZER))

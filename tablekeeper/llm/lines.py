@@ -17,7 +17,8 @@ NEAR_CHARS = 20
 """In lines of fewer characters two edits change too much: they are copies of equal lines only."""
 _VALUES = tx.alphabet("nonspace", fold=False)[1]
 _NONSPACE = tx.alphabet("nonspace")[0]
-_CELLS = 4 << 20
+_CELLS = 1 << 20
+_SLICE = 1 << 18
 
 
 def split_lines(raw: np.ndarray, bounds: np.ndarray):
@@ -213,7 +214,7 @@ def _lines(docs: DataFrame, extra: str, make) -> DataFrame:
     def run(batches):
         for batch in batches:
             ids, copies = batch.column(0), batch.column(1)
-            for a, b, raw, bounds in tx.slices(tx.column(batch, "text")):
+            for a, b, raw, bounds in tx.slices(tx.column(batch, "text"), _SLICE):
                 begin, stop, row, number = split_lines(raw, bounds)
                 line = tx.range_hash(tx.prefix_sums(_VALUES[raw]), begin, stop)
                 arrays, names = make(raw, bounds, begin, stop, line)
@@ -349,7 +350,7 @@ def _near_earlier(rows: DataFrame, scan: DataFrame, entries: DataFrame, edits: i
 
     def keyed(batches):
         for batch in batches:
-            for a, b, raw, bounds in tx.slices(batch.column(1)):
+            for a, b, raw, bounds in tx.slices(batch.column(1), _SLICE):
                 arrays, names = _keyed(raw, bounds, bounds[:-1], bounds[1:], edits, deep=True)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *arrays], ["line", *names])
 
@@ -420,6 +421,10 @@ def _without(texts: pa.Array, gone: pa.Array) -> pa.Array:
     return pa.array([t if n is None else cut(t, n) for t, n in zip(texts.to_pylist(), gone.to_pylist(), strict=True)], pa.string())
 
 
+_without = _without.asNondeterministic()
+"""So a filter on the new texts does not run it a second time, in a second Python worker beside the first."""
+
+
 def remove_lines(docs: DataFrame, edits: int = EDITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the lines of ``duplicate_lines``; ``removed_lines`` (long) is added, or replaces its like.
 

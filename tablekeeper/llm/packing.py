@@ -19,7 +19,7 @@ END_ID = 1
 MAX_TOKENS, MAX_SEGMENTS, MAX_LOSS = 2048, 256, 2048
 OPEN_BINS = 16
 _KEPT_WORDS, _AT_ONCE = 1 << 19, 500
-_SLICE_BYTES = 1 << 20
+_SLICE_BYTES = 1 << 18
 NUL = "\0"
 _INSIDE, _VALUES = tx.alphabet("nonspace", fold=False)
 _FOLDED = tx.alphabet("nonspace")[1]

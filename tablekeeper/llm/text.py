@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,19 +36,17 @@ def slices(values: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int
         first = last
 
 
-@cache
-def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    out = []
-    for base in (_BASE, _INVERSE):
-        steps = np.full(1 << bits, base, U64)
-        steps[0] = 1
-        out.append(np.cumprod(steps, dtype=U64))
-    return out[0], out[1]
+_kept: list[np.ndarray] = [np.ones(1, U64), np.ones(1, U64)]
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The hash base and its inverse to the powers 0 .. n, at least."""
-    return _powers(max(16, int(n).bit_length()))
+    """The hash base and its inverse to the powers 0 .. n, at least. The longest asked for so far are kept."""
+    if len(_kept[0]) <= n:
+        for i, base in enumerate((_BASE, _INVERSE)):
+            steps = np.full(1 << max(16, int(n).bit_length()), base, U64)
+            steps[0] = 1
+            _kept[i] = np.cumprod(steps, dtype=U64)
+    return _kept[0], _kept[1]
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -39,6 +39,15 @@ def folder(spark, tmp_path_factory):
     return path, rows, items
 
 
+def test_lines_are_cut_out_once(spark, folder, capsys):
+    """A filter on the texts would take a second Python worker for each task, and its memory."""
+    docs = spark.read.parquet(f"{folder[0]}/documents.parquet")
+    dict(corpus_pipeline.STAGES)["line_dedup"](spark, docs, folder[0]).explain()
+    plan = capsys.readouterr().out
+    final = plan.split("== Initial Plan ==")[-1]
+    assert final.count("ArrowEvalPython") == 1
+
+
 def texts_of(df):
     return {r.doc_id: r.text for r in df.collect()}
 
