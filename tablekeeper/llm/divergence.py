@@ -15,7 +15,6 @@ SCALE_STEPS = 3
 """Shares are whole numbers of 1 / 1000 ** SCALE_STEPS."""
 BLOCK, TILE = 1 << 15, 8
 """An array holds the terms of one of the blocks of so many ids; a task, the arrays of a block of so many sources and so many others."""
-_SLICE = 4 << 20
 _ANCHORS = 64
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -121,7 +120,7 @@ def term_counts(rows: DataFrame) -> DataFrame:
         for batch in batches:
             langs, sources = batch.column(0).dictionary_encode(), batch.column(1).dictionary_encode()
             group = langs.indices.to_numpy().astype(np.int64) * len(sources.dictionary) + sources.indices.to_numpy()
-            for a, _, raw, bounds in tx.slices(batch.column(2), _SLICE):
+            for a, _, raw, bounds in tx.slices(batch.column(2)):
                 start, end, hashes, by_row = tx.words(raw, bounds, _LETTERS)
                 if not len(start):
                     continue
