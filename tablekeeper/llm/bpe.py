@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import json
+import re
+from array import array
+from collections.abc import Callable
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 from itertools import chain
@@ -18,9 +21,29 @@ from pyspark.sql import types as T
 from . import text as tx
 
 KEPT_WORDS, KEPT_CHARS = 1 << 18, 64
-"""So many encoded words, of so many characters at most, are remembered by a worker; then it starts anew."""
+"""A worker remembers so many encoded words, of so many characters at most, and as many older ones."""
 _DECODED_IDS = 1 << 18
-_SPLIT = r"'(?:s|t|re|ve|m|ll|d)| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
+
+
+def _split(space: str, letter: str, number: str) -> str:
+    """Pattern of a word, of what is within the brackets of three classes of characters."""
+    other = f"[^{space}{letter}{number}]"
+    return rf"'(?:s|t|re|ve|m|ll|d)| ?[{letter}]+| ?[{number}]+| ?{other}+|[{space}]+(?![^{space}])|[{space}]+"
+
+
+_CLASSES = r"\p{White_Space}", r"\p{L}", r"\p{N}"
+_WORDS = regex.compile(_split(*_CLASSES)).findall
+# the same for texts of the first 256 characters only, which the plain matcher goes through faster
+_LATIN_WORDS = re.compile(_split(*["".join(rf"\x{c:02x}" for c in range(256) if regex.match(kind, chr(c))) for kind in _CLASSES])).findall
+
+
+def split(text: str) -> list[str]:
+    """The words of a text; together they are the text."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return _WORDS(text)
+    return _LATIN_WORDS(text)
 
 
 def byte_letters() -> list[str]:
@@ -30,6 +53,28 @@ def byte_letters() -> list[str]:
     return [chr(b if b in plain else next(spare)) for b in range(256)]
 
 
+class Kept(dict):
+    """Ids of words, as bytes of 32-bit numbers; ``make`` gives those that are not there.
+
+    When it is full its words become the older ones, and the older ones before them are forgotten. An older word that comes
+    again is taken over, so frequent words stay.
+    """
+
+    def __init__(self, make: Callable[[bytes], list[int]]):
+        self.make, self.older = make, {}
+
+    def __missing__(self, word: str) -> bytes:
+        found = self.older.get(word)
+        if found is None:
+            found = array("i", self.make(word.encode())).tobytes()
+        if len(word) <= KEPT_CHARS:
+            if len(self) >= KEPT_WORDS:
+                self.older = dict(self)
+                self.clear()
+            self[word] = found
+        return found
+
+
 class Coder:
     """Encoder and decoder of a tokenizer file with a byte-level BPE model.
 
@@ -56,8 +101,7 @@ class Coder:
         self.added = {t["content"]: t["id"] for t in added}
         longest = sorted(self.added, key=len, reverse=True)
         self.marks = regex.compile("|".join(map(regex.escape, longest))) if longest else None
-        self.words = regex.compile(_SPLIT).findall
-        self.kept: dict[str, list[int]] = {}
+        self.kept = Kept(self.merge)
 
         byte_of = {c: b for b, c in enumerate(letters)}
         names = {i: s for s, i in chain(vocab.items(), self.added.items())}
@@ -97,27 +141,15 @@ class Coder:
                 heappush(queue, (found[0], h))
         return [i for i in ids if i >= 0]
 
-    def _word(self, word: str) -> list[int]:
-        ids = self.kept.get(word)
-        if ids is None:
-            ids = self.merge(word.encode())
-            if len(word) <= KEPT_CHARS:
-                if len(self.kept) >= KEPT_WORDS:
-                    self.kept.clear()
-                self.kept[word] = ids
-        return ids
-
     def encode(self, text: str) -> np.ndarray:
         """Ids of a whole text; strings of added tokens in it are these tokens."""
-        return np.fromiter(chain.from_iterable(self._encode(text)), np.int32)
-
-    def _encode(self, text: str):
-        at = 0
-        for found in self.marks.finditer(text) if self.marks else ():
-            yield from map(self._word, self.words(text[at : found.start()]))
-            yield (self.added[found.group()],)
-            at = found.end()
-        yield from map(self._word, self.words(text[at:] if at else text))
+        found, at, ids_of = [], 0, self.kept.__getitem__
+        for mark in self.marks.finditer(text) if self.marks else ():
+            found += map(ids_of, split(text[at : mark.start()]))
+            found.append(array("i", [self.added[mark.group()]]).tobytes())
+            at = mark.end()
+        found += map(ids_of, split(text[at:] if at else text))
+        return np.frombuffer(b"".join(found), np.int32)
 
     def decode(self, ids: np.ndarray) -> np.ndarray:
         """Bytes of the vocabulary strings of the ids, one behind the other, and how many each id has."""
@@ -143,7 +175,7 @@ def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
     NULL and empty texts have no ids (an empty array). A NULL id stays NULL; rows that repeat an id, or whole rows, each
     give a row. An empty table gives an empty result; other columns are not read. Rows do not meet, so nothing is
     shuffled, and a lost task is computed anew from its rows alone. The vocabulary (one file, read here) goes along with
-    the tasks; a worker remembers the ids of words, at most KEPT_WORDS.
+    the tasks; a worker remembers the ids of words, at most KEPT_WORDS and as many older ones.
     """
     definition = _definition(tokenizer_path)
     _coder(definition)
@@ -184,14 +216,15 @@ def decode(encoded: DataFrame, tokenizer_path: str, ids_col: str = "ids", text_c
             size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
             flat = lists.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
             at = np.concatenate([[0], np.cumsum(size)])
-            texts, first = [], 0
+            first = 0
             while first < len(size):
                 last = max(first + 1, int(np.searchsorted(at, at[first] + _DECODED_IDS, "right")) - 1)
                 raw, length = coder.decode(flat[at[first] : at[last]])
                 ends = np.concatenate([[0], np.cumsum(length)])[at[first : last + 1] - at[first]]
                 data = raw.tobytes()
-                texts += [data[i:j].decode("utf-8", "replace") for i, j in zip(ends[:-1], ends[1:], strict=True)]
+                texts = [data[i:j].decode("utf-8", "replace") for i, j in zip(ends[:-1], ends[1:], strict=True)]
+                given = batch.slice(first, last - first).columns[:-1]
+                yield pa.RecordBatch.from_arrays([*given, pa.array(texts, pa.string())], schema.names)
                 first = last
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], schema.names)
 
     return rows.mapInArrow(run, schema)

@@ -75,6 +75,26 @@ def test_forgets_words(coder, monkeypatch):
     assert bpe.Coder(open(PATH, encoding="utf-8").read()).encode(text).tolist() == ids_of(text)
 
 
+def test_frequent_words_stay_remembered(monkeypatch):
+    """Before, every full memory was forgotten as a whole, so a frequent word was merged again each time."""
+    made, merge = [], bpe.Coder.merge
+    monkeypatch.setattr(bpe, "KEPT_WORDS", 10)
+    monkeypatch.setattr(bpe.Coder, "merge", lambda self, data: made.append(data) or merge(self, data))
+    coder = bpe.Coder(open(PATH, encoding="utf-8").read())
+    text = "".join(f" often x{'abcdefghij'[i // 10]}{'abcdefghij'[i % 10]}" for i in range(100))
+    assert coder.encode(text).tolist() == ids_of(text)
+    assert made.count(b" often") == 1 and len(made) == 101
+    assert len(coder.kept) <= 10 and len(coder.kept.older) <= 10
+
+
+def test_latin_texts_are_split_alike():
+    pick = random.Random(7)
+    for size in [1, 2, 3] * 400 + [300] * 100:
+        text = "".join(chr(pick.choice((pick.randrange(256), 32, 39, 115))) for _ in range(size))
+        assert bpe.split(text) == bpe._WORDS(text) and "".join(bpe.split(text)) == text, text
+    assert bpe.split("é" + " 東'll " * 2) == ["é", " 東", "'ll", " ", " 東", "'ll", " "]
+
+
 def test_other_tokenizers_are_refused():
     with pytest.raises(ValueError, match="byte-level"):
         bpe.Coder(open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8").read())
