@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from . import text as tx
 
 KEPT_WORDS, KEPT_CHARS = 1 << 18, 64
-"""A worker remembers so many encoded words, of so many characters at most, and as many older ones."""
+"""So many encoded words, of so many characters at most, are remembered by a worker; half of them are older ones."""
 _DECODED_IDS = 1 << 18
 
 
@@ -56,7 +56,7 @@ def byte_letters() -> list[str]:
 class Kept(dict):
     """Ids of words, as bytes of 32-bit numbers; ``make`` gives those that are not there.
 
-    When it is full its words become the older ones, and the older ones before them are forgotten. An older word that comes
+    When it has half of KEPT_WORDS its words become the older ones, and the older ones before them are forgotten. An older word that comes
     again is taken over, so frequent words stay.
     """
 
@@ -68,7 +68,7 @@ class Kept(dict):
         if found is None:
             found = array("i", self.make(word.encode())).tobytes()
         if len(word) <= KEPT_CHARS:
-            if len(self) >= KEPT_WORDS:
+            if len(self) >= KEPT_WORDS // 2:
                 self.older = dict(self)
                 self.clear()
             self[word] = found
@@ -175,7 +175,7 @@ def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
     NULL and empty texts have no ids (an empty array). A NULL id stays NULL; rows that repeat an id, or whole rows, each
     give a row. An empty table gives an empty result; other columns are not read. Rows do not meet, so nothing is
     shuffled, and a lost task is computed anew from its rows alone. The vocabulary (one file, read here) goes along with
-    the tasks; a worker remembers the ids of words, at most KEPT_WORDS and as many older ones.
+    the tasks; a worker remembers the ids of words, at most KEPT_WORDS.
     """
     definition = _definition(tokenizer_path)
     _coder(definition)
@@ -214,12 +214,12 @@ def decode(encoded: DataFrame, tokenizer_path: str, ids_col: str = "ids", text_c
         for batch in batches:
             lists = batch.column(batch.num_columns - 1)
             size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-            flat = lists.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
             at = np.concatenate([[0], np.cumsum(size)])
             first = 0
             while first < len(size):
                 last = max(first + 1, int(np.searchsorted(at, at[first] + _DECODED_IDS, "right")) - 1)
-                raw, length = coder.decode(flat[at[first] : at[last]])
+                flat = lists.slice(first, last - first).flatten().fill_null(-1)
+                raw, length = coder.decode(flat.to_numpy(zero_copy_only=False))
                 ends = np.concatenate([[0], np.cumsum(length)])[at[first : last + 1] - at[first]]
                 data = raw.tobytes()
                 texts = [data[i:j].decode("utf-8", "replace") for i, j in zip(ends[:-1], ends[1:], strict=True)]
